@@ -32,9 +32,11 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root, self.paths = spark, f"{scratch_dir(spark)}/cl-{uuid.uuid4().hex}", {}
+        self.saved = 0
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
-        path, schema = f"{self.root}/{name}-{len(self.paths)}", df.schema
+        self.saved += 1
+        path, schema = f"{self.root}/{name}-{self.saved}", df.schema
         df.write.parquet(path)
         out = self.spark.read.schema(schema).parquet(path)
         self.paths[id(out)] = (out, path)
