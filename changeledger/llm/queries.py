@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changeledger.llm import simhash
+from changeledger.llm import simhash, substring
 from changeledger.llm.common import table
 
 
@@ -10,5 +10,9 @@ def op1_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash}
+def op10_substring(spark, sf_dir):
+    return substring.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+QUERIES = {"op10_substring": op10_substring, "op1_simhash": op1_simhash}
 ORACLE_SQL: dict[str, str] = {}
