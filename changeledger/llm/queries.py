@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changeledger.llm import simhash, substring
+from changeledger.llm import packing, repair, simhash, substring
 from changeledger.llm.common import table
 
 
@@ -14,5 +14,16 @@ def op10_substring(spark, sf_dir):
     return substring.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES = {"op10_substring": op10_substring, "op1_simhash": op1_simhash}
+def op6_repair(spark, sf_dir):
+    return repair.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op7_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op6_repair": op6_repair,
+    "op7_packing": op7_packing,
+    "op10_substring": op10_substring, "op1_simhash": op1_simhash}
 ORACLE_SQL: dict[str, str] = {}
