@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changeledger.llm import packing, repair, simhash, substring
+from changeledger.llm import mixing, packing, repair, secrets, simhash, substring, urls
 from changeledger.llm.common import table
 
 
@@ -22,7 +22,22 @@ def op7_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_urls(spark, sf_dir):
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op2_secrets(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_secrets": op2_secrets,
+    "op8_mixing": op8_mixing,
+    "op9_urls": op9_urls,
     "op6_repair": op6_repair,
     "op7_packing": op7_packing,
     "op10_substring": op10_substring, "op1_simhash": op1_simhash}
