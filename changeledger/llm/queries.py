@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changeledger.llm import mixing, packing, repair, secrets, simhash, substring, urls
+from changeledger.llm import ann, mixing, packing, repair, secrets, simhash, substring, toxicity, urls
 from changeledger.llm.common import table
 
 
@@ -34,7 +34,18 @@ def op2_secrets(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_ann(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.search(rows, rows.where("vec_id % 100 = 0"))
+
+
 QUERIES = {
+    "op4_toxicity": op4_toxicity,
+    "op5_ann": op5_ann,
     "op2_secrets": op2_secrets,
     "op8_mixing": op8_mixing,
     "op9_urls": op9_urls,
