@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changeledger.llm import ann, mixing, packing, repair, secrets, simhash, substring, toxicity, urls
+from changeledger.llm import ann, flac, mixing, packing, repair, secrets, simhash, substring, toxicity, urls
 from changeledger.llm.common import table
 
 
@@ -43,7 +43,12 @@ def op5_ann(spark, sf_dir):
     return ann.search(rows, rows.where("vec_id % 100 = 0"))
 
 
+def op3_flac(spark, sf_dir):
+    return flac.round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_flac": op3_flac,
     "op4_toxicity": op4_toxicity,
     "op5_ann": op5_ann,
     "op2_secrets": op2_secrets,
