@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeledger.llm.common import Scratch
-from changeledger.llm.tokens import END_ID, Encoder
+from changeledger.llm.tokens import END_ID, encoder
 
 #: A group of pieces that one task packs: about so many sequences, and never much more than so many pieces.
 GROUP_SEQUENCES, GROUP_PIECES = 8192, 200_000
@@ -82,11 +82,11 @@ def pieces(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None)
     def run(batches):
         from pyspark import TaskContext
 
-        encoder, rid = Encoder(tokenizer), TaskContext.get().partitionId() << 40
+        tokens, rid = encoder(tokenizer), TaskContext.get().partitionId() << 40
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part, out = b.slice(at, 256), []
-                for d, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
+                for d, ids in zip(part.column(0).to_pylist(), tokens.encode(part.column(1).to_pylist())):
                     ids = np.append(ids.astype("<u4"), np.uint32(END_ID))
                     cuts = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)]
                     for k, (a, z) in enumerate(zip(cuts[:-1], cuts[1:])):

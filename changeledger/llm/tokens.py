@@ -1,18 +1,21 @@
 """Token ids of whole texts by a public tokenizer, with a bounded cache of space-separated chunks.
 
-A single space between two non-space characters always starts a new pre-token of the byte-level pattern, so the
-chunk from it up to the next such space is encoded alike wherever it stands. Chunks are encoded by the tokenizers
-library once and then looked up; the ids are those of encoding the whole text.
+A single space between two non-space characters always starts a new pre-token of the byte-level pattern, and a line
+feed between two such characters is a pre-token of its own. So a chunk from one such place to the next is encoded
+alike wherever it stands. Chunks are encoded by the tokenizers library once, many at a time with a tab between them
+(a pre-token of its own there as well), and then looked up; the ids are those of encoding the whole text.
 """
 
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 
 import numpy as np
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
+MARKS = ".,;:!?"
 
 
 class Encoder:
@@ -32,47 +35,114 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.known: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        self.tab, self.line = (self.tokenizer.encode(c, add_special_tokens=False).ids for c in "\t\n")
+        self.line = np.array(self.line, self.dtype).tobytes()
 
-    def _learn(self, chunks: list[str], into: dict[str, bytes]) -> None:
-        for at in range(0, len(chunks), 4096):
-            part = chunks[at : at + 4096]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                into[c] = np.array(e.ids, self.dtype).tobytes()
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, chunks: list[str], prefix: str) -> list[bytes]:
+        """The ids of each chunk after the prefix."""
+        out: list[bytes] = [b""] * len(chunks)
+        plain = [i for i, c in enumerate(chunks) if c and "\t" not in c and not c[0].isspace() and not c[-1].isspace()] if len(self.tab) == 1 else []
+        for at in range(0, len(plain), 512):
+            part = plain[at : at + 512]
+            ids = self._ids(["\t".join([prefix + chunks[i] for i in part])])[0]
+            cut = np.flatnonzero(ids == self.tab[0])
+            if len(cut) != len(part) - 1:
+                raise ValueError("the vocabulary does not keep a tab apart")
+            data, width = ids.tobytes(), ids.itemsize
+            for i, a, z in zip(part, [0, *((cut + 1) * width).tolist()], [*(cut * width).tolist(), len(data)]):
+                out[i] = data[a:z]
+        rest = [i for i, x in enumerate(out) if not x and chunks[i] + prefix]
+        for i, ids in zip(rest, self._ids([prefix + chunks[i] for i in rest])):
+            out[i] = ids.tobytes()
+        return out
+
+    def _fill(self, known: dict[str, bytes], chunks: list[str], values: list, gaps: list[int], prefix: str, odd: bool) -> None:
+        """Puts the ids of unknown chunks in the places (gaps) of `values` that are None.
+
+        odd: chunks may begin or end with a space character, or hold one; those are not kept.
+        """
+        if not gaps:
+            return
+        # Letters before closing punctuation are a pre-token, so a known word with a mark costs no encoding.
+        new: dict[str, bytes] = dict.fromkeys(chunks[i] for i in gaps)
+        stems: dict[str, tuple[str, str]] = {}
+        for c in new:
+            stem = c.rstrip(MARKS)
+            if stem and stem != c and stem[-1].isalpha():
+                stems[c] = stem, c[len(stem) :]
+        wanted = [c for c in dict.fromkeys([s for s, _ in stems.values()] + [c for c in new if c not in stems]) if c not in known]
+        learnt = dict(zip(wanted, self._learn(wanted, prefix)))
+        for c, (stem, mark) in stems.items():
+            if mark not in self.marks:
+                self.marks[mark] = self._ids([mark])[0].tobytes()
+            new[c] = (known.get(stem) or learnt[stem]) + self.marks[mark]
+        new.update((c, learnt[c]) for c in new if c not in stems)
+        for i in gaps:
+            values[i] = new[chunks[i]]
+        if len(known) + len(new) + len(learnt) > self.KEPT:
+            known.clear()
+        for table in (learnt, new):
+            if odd or max(map(len, table), default=0) > self.LONGEST:
+                table = {c: v for c, v in table.items() if 0 < len(c) <= self.LONGEST and not c[0].isspace() and not c[-1].isspace()}
+            known.update(table)
 
     @staticmethod
     def _merge(parts: list[str]) -> list[str]:
         """Joins chunks again at spaces that stand next to another space character."""
-        out = [parts[0]]
+        out = [[parts[0]]]
         for p in parts[1:]:
-            if not p or not out[-1] or p[0].isspace() or out[-1][-1].isspace():
-                out[-1] += " " + p
+            before = out[-1][-1]
+            if not p or not before or p[0].isspace() or before[-1].isspace():
+                out[-1].append(p)
             else:
-                out.append(p)
-        return out
+                out.append([p])
+        return [" ".join(x) for x in out]
+
+    @staticmethod
+    def _lines(text: str) -> list[str]:
+        lines = text.split("\n")
+        return lines if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines) else [text]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
         for at in range(0, len(texts), 64):
-            split, seen = [], set()
-            for t in texts[at : at + 64]:
-                parts = t.split(" ") if t else []
-                split.append(parts)
-                seen.update(parts[1:])
-            fresh = seen - self.known.keys()
-            if any(not p or p[0].isspace() or p[-1].isspace() for p in fresh) or any(p and (not p[0] or p[0][-1].isspace()) for p in split):
-                split = [self._merge(p) if p else p for p in split]
-                fresh = {c for p in split for c in p[1:]} - self.known.keys()
-            if len(self.known) + len(fresh) > self.KEPT:
-                self.known.clear()
-                fresh = {c for p in split for c in p[1:]}
-            once: dict[str, bytes] = {}
-            spaced = [" " + c for c in fresh]
-            self._learn(spaced, once)
-            new = {c[1:]: v for c, v in once.items()}
-            self.known.update((c, v) for c, v in new.items() if len(c) <= self.LONGEST and c and not c[0].isspace() and not c[-1].isspace())
-            look = self.known if all(c in self.known for c in fresh) else {**new, **{c: self.known[c] for p in split for c in p[1:] if c not in new}}
-            heads: dict[str, bytes] = {}
-            self._learn(list({p[0] for p in split if p}), heads)
-            for p in split:
-                out.append(np.frombuffer(heads[p[0]] + b"".join([look[c] for c in p[1:]]), self.dtype) if p else np.zeros(0, self.dtype))
+            split = [[x.split(" ") for x in self._lines(t)] if t else [] for t in texts[at : at + 64]]
+            flat = [c for doc in split for p in doc for c in p]
+            values = list(map(self.known.get, flat))
+            gaps = [i for i, v in enumerate(values) if v is None]
+            odd = any(not (c := flat[i]) or c[0].isspace() or c[-1].isspace() for i in gaps)
+            if odd:
+                split = [[self._merge(p) for p in doc] for doc in split]
+                flat = [c for doc in split for p in doc for c in p]
+                values = list(map(self.known.get, flat))
+                gaps = [i for i, v in enumerate(values) if v is None]
+            place, firsts = 0, []
+            for doc in split:
+                for p in doc:
+                    firsts.append(place)
+                    place += len(p)
+            heads = [flat[i] for i in firsts]
+            begun = list(map(self.heads.get, heads))
+            self._fill(self.heads, heads, begun, [i for i, v in enumerate(begun) if v is None], "", True)
+            for i, v in zip(firsts, begun):
+                values[i] = v
+            self._fill(self.known, flat, values, [i for i in gaps if values[i] is None], " ", odd)
+            place = 0
+            for doc in split:
+                joined = []
+                for p in doc:
+                    joined.append(b"".join(values[place : place + len(p)]))
+                    place += len(p)
+                out.append(np.frombuffer(self.line.join(joined), self.dtype))
         return out
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str | None = None) -> Encoder:
+    """This process's encoder, whose cache later tasks of the same worker share."""
+    return Encoder(path)
