@@ -22,9 +22,9 @@ from changeledger.llm.common import Scratch
 #: Vectors (expected number) that fit the tree and the visits; children of a node; sample vectors in a leaf.
 SAMPLE, BRANCH, LEAF, SEED = 20_000, 8, 40, 5
 #: Recall of the sample's own neighbours from which no more leaves are visited.
-RECALL = 0.97
+RECALL = 0.94
 #: Rows of a leaf, and queries of it, in one block.
-BLOCK = 4096
+BLOCK = 2048
 
 
 class Tree:
@@ -135,45 +135,84 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, sample: int = SA
     that valid() drops. Repeated query rows count once; repeated candidate rows are candidates each. An empty table
     gives no rows.
     """
-    scratch = Scratch(vectors.sparkSession)
+    spark, scratch = vectors.sparkSession, Scratch(vectors.sparkSession)
     rows = valid(vectors)
     tree = fit(rows, k, sample)
-    shared = vectors.sparkSession.sparkContext.broadcast(tree)  # bounded by the sample
+    shared = spark.sparkContext.broadcast(tree)  # bounded by the sample
 
     def place(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(shared.value.leaves(_matrix(b.column(1))), pa.int64())], ["vec_id", "v", "leaf"])
 
+    members = scratch.save(rows.mapInArrow(place, "vec_id long, v array<double>, leaf long"), "members")
+    # One row per leaf, and the sample bounds the leaves.
+    cells = _cells({r.leaf: r.n for r in members.groupBy("leaf").agg(F.count("*").alias("n")).collect()})
+    homes = spark.createDataFrame([(leaf, cell, parts) for leaf, (cell, parts) in cells.items()], "leaf long, cell long, parts int")
+
     def probe(batches):
         for b in batches:
-            q = _matrix(b.column(1))
-            found = [shared.value.search(x, shared.value.visits) for x in q]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.int64()))], ["query_id", "q", "leaves"])
-
-    members = scratch.save(rows.mapInArrow(place, "vec_id long, v array<double>, leaf long"), "members")
-    asked = valid(queries).dropDuplicates(["vec_id", "v"]).mapInArrow(probe, "query_id long, q array<double>, leaves array<long>")
-    probes = scratch.save(asked.select("query_id", "q", F.explode("leaves").alias("leaf")), "probes")
-    blocks = members.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("rows")).join(probes.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("asks")), "leaf")
+            out: list[tuple] = []
+            for i, x in enumerate(_matrix(b.column(1))):
+                by: dict[int, list[int]] = {}
+                for leaf in shared.value.search(x, shared.value.visits):
+                    if leaf in cells:
+                        by.setdefault(cells[leaf][0], []).append(leaf)
+                out += [(i, cell, cells[leaves[0]][1], leaves) for cell, leaves in by.items()]
+            at, cell, parts, leaves = zip(*out) if out else ((), (), (), ())
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(cell, pa.int64()), pa.array(parts, pa.int32()), pa.array(leaves, pa.list_(pa.int64()))], ["query_id", "q", "cell", "parts", "leaves"])
+
+    asked = valid(queries).dropDuplicates(["vec_id", "v"])
+    probes = scratch.save(asked.mapInArrow(probe, "query_id long, q array<double>, cell long, parts int, leaves array<long>"), "probes")
+    asks = probes.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("asks"))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = members.join(blocks, "leaf").withColumn("r", F.pmod(F.xxhash64("vec_id", "v"), "rows").cast("int")).withColumn("a", spread("asks")).select("leaf", "r", "a", "vec_id", "v")
-    right = probes.join(blocks, "leaf").withColumn("a", F.pmod(F.xxhash64("query_id"), "asks").cast("int")).withColumn("r", spread("rows")).select("leaf", "r", "a", "query_id", "q")
+    left = members.join(F.broadcast(homes), "leaf").join(asks, "cell").withColumn("r", F.pmod(F.xxhash64("vec_id", "v"), "parts").cast("int")).withColumn("a", spread("asks")).select("cell", "r", "a", "leaf", "vec_id", "v")
+    right = probes.join(asks, "cell").withColumn("a", F.pmod(F.xxhash64("query_id"), "asks").cast("int")).withColumn("r", spread("parts")).select("cell", "r", "a", "query_id", "q", "leaves")
 
     def meet(m: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        if not len(m) or not len(p):
-            return pd.DataFrame({"query_id": [], "qh": [], "vec_id": [], "score": []})
-        ids, x, q = m["vec_id"].to_numpy(), np.stack(m["v"].to_numpy()), np.stack(p["q"].to_numpy())
-        out = []
-        for i, query in enumerate(p["query_id"].to_numpy()):
-            other = ids != query
-            d = np.sqrt(((x[other] - q[i]) ** 2).sum(1))
-            best = np.lexsort((ids[other], d))[:k] if len(d) <= 4 * k else None
-            if best is None:
-                kth = np.partition(d, k - 1)[k - 1]
-                near = np.flatnonzero(d <= kth)
-                best = near[np.lexsort((ids[other][near], d[near]))[:k]]
-            out.append(pd.DataFrame({"query_id": query, "qh": int(xxhash.xxh64_intdigest(q[i].tobytes()) >> 1), "vec_id": ids[other][best], "score": d[best]}))
-        return pd.concat(out)
-
-    met = left.groupBy("leaf", "r", "a").cogroup(right.groupBy("leaf", "r", "a")).applyInPandas(meet, "query_id long, qh long, vec_id long, score double")
+        found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        if len(m) and len(p):
+            ids, x, q, own = m["vec_id"].to_numpy(), np.stack(m["v"].to_numpy()), np.stack(p["q"].to_numpy()), p["query_id"].to_numpy()
+            leaf, wanted = m["leaf"].to_numpy(), p["leaves"].to_numpy()
+            at = np.repeat(np.arange(len(p)), [len(w) for w in wanted])
+            visit = np.concatenate(wanted)
+            parts = [_near(ids[rows], x[rows], q[asking], own[asking], asking, k) for value in np.unique(leaf) for rows, asking in [(leaf == value, at[visit == value])] if len(asking)]
+            if parts:
+                who, vec, far = (np.concatenate(c) for c in zip(*parts))
+                order = np.lexsort((vec, far, who))
+                who, vec, far = who[order], vec[order], far[order]
+                first = np.searchsorted(who, who, "left")
+                keep = np.arange(len(who)) - first < k
+                found = [who[keep], vec[keep], far[keep]]
+        hashes = np.array([xxhash.xxh64_intdigest(v.tobytes()) >> 1 for v in p["q"]], np.int64) if len(p) else np.zeros(0, np.int64)
+        return pd.DataFrame({"query_id": p["query_id"].to_numpy()[found[0]], "qh": hashes[found[0]], "vec_id": found[1], "score": found[2]})
+
+    met = left.groupBy("cell", "r", "a").cogroup(right.groupBy("cell", "r", "a")).applyInPandas(meet, "query_id long, qh long, vec_id long, score double")
     order = Window.partitionBy("query_id", "qh").orderBy("score", "vec_id")
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _cells(sizes: dict[int, int]) -> dict[int, tuple[int, int]]:
+    """leaf -> (cell, parts): small leaves share a cell of some BLOCK rows, a large one has its own, in parts."""
+    out, cell, held = {}, 0, 0
+    for leaf, n in sorted(sizes.items()):
+        if held and held + n > BLOCK:
+            cell, held = cell + 1, 0
+        out[leaf] = (cell, max(1, -(-n // BLOCK)))
+        held += n
+    return out
+
+
+def _near(ids: np.ndarray, x: np.ndarray, q: np.ndarray, own: np.ndarray, who: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query place, vec_id, distance) of each query's k nearest rows of one leaf, ties of the last included.
+
+    A matrix product finds them up to its rounding error; the distances returned are computed exactly.
+    """
+    square, length = (x * x).sum(1), (q * q).sum(1)
+    d = length[:, None] + square[None, :] - 2 * q @ x.T
+    d[ids[None, :] == own[:, None]] = np.inf
+    last = np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1]
+    slack = 1e-12 * (length + square.max())
+    i, j = np.nonzero((d <= (last + slack)[:, None]) & np.isfinite(d))
+    far = np.concatenate([np.sqrt(((x[j[a : a + 65536]] - q[i[a : a + 65536]]) ** 2).sum(1)) for a in range(0, len(i), 65536)] or [np.zeros(0)])
+    return who[i], ids[j], far
