@@ -1,7 +1,7 @@
-"""Token ids of whole texts by a public tokenizer, with a bounded cache of space-separated chunks.
+"""Token ids of whole texts by a public tokenizer, with a bounded cache of chunks.
 
 A single space between two non-space characters always starts a new pre-token of the byte-level pattern, and a line
-feed between two such characters is a pre-token of its own. So a chunk from one such place to the next is encoded
+feed between two such characters is a pre-token of its own. So the chunk from one such place to the next is encoded
 alike wherever it stands. Chunks are encoded by the tokenizers library once, many at a time with a tab between them
 (a pre-token of its own there as well), and then looked up; the ids are those of encoding the whole text.
 """
@@ -18,11 +18,20 @@ END_ID = 2
 MARKS = ".,;:!?"
 
 
+def _odd(chunk: str) -> bool:
+    """Whether a chunk has space characters at its edges, so that it must not stand alone."""
+    core = chunk[1:] if chunk[:1] == "\n" else chunk
+    return not core or core[0].isspace() or core[-1].isspace()
+
+
 class Encoder:
-    """encode(texts) gives one array of ids (uint16 if the vocabulary allows it) per text; null is empty."""
+    """encode(texts) gives one array of ids (uint16 if the vocabulary allows it) per text; null is empty.
 
-    #: Entries kept, and the longest chunk kept, so that the cache takes some 60 MB at most.
-    KEPT, LONGEST = 300_000, 48
+    `known` holds the ids of chunks: of the chunk itself if it begins with a line feed, else of a space and the chunk.
+    """
+
+    #: Entries kept, and the longest chunk kept, so that the cache takes some 120 MB at most.
+    KEPT, LONGEST = 600_000, 48
 
     def __init__(self, path: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -35,110 +44,100 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.known: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
-        self.tab, self.line = (self.tokenizer.encode(c, add_special_tokens=False).ids for c in "\t\n")
-        self.line = np.array(self.line, self.dtype).tobytes()
+        self.tab = self.tokenizer.encode("\t", add_special_tokens=False).ids
+        self.line = len(self._ids(["\n"])[0])
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: list[str], prefix: str) -> list[bytes]:
-        """The ids of each chunk after the prefix."""
-        out: list[bytes] = [b""] * len(chunks)
-        plain = [i for i, c in enumerate(chunks) if c and "\t" not in c and not c[0].isspace() and not c[-1].isspace()] if len(self.tab) == 1 else []
+    def _learn(self, chunks: list[str], odd: bool = False) -> dict[str, bytes]:
+        """The ids of each chunk; odd: some may be."""
+        out: dict[str, bytes] = {}
+        spaced = lambda c: c if c[:1] == "\n" else " " + c
+        plain = [c for c in chunks if "\t" not in c and not (odd and _odd(c))] if len(self.tab) == 1 else []
         for at in range(0, len(plain), 512):
             part = plain[at : at + 512]
-            ids = self._ids(["\t".join([prefix + chunks[i] for i in part])])[0]
+            ids = self._ids(["\t".join(map(spaced, part))])[0]
             cut = np.flatnonzero(ids == self.tab[0])
             if len(cut) != len(part) - 1:
                 raise ValueError("the vocabulary does not keep a tab apart")
             data, width = ids.tobytes(), ids.itemsize
-            for i, a, z in zip(part, [0, *((cut + 1) * width).tolist()], [*(cut * width).tolist(), len(data)]):
-                out[i] = data[a:z]
-        rest = [i for i, x in enumerate(out) if not x and chunks[i] + prefix]
-        for i, ids in zip(rest, self._ids([prefix + chunks[i] for i in rest])):
-            out[i] = ids.tobytes()
+            for c, a, z in zip(part, [0, *((cut + 1) * width).tolist()], [*(cut * width).tolist(), len(data)]):
+                out[c] = data[a:z]
+        rest = [c for c in chunks if c not in out] if len(out) < len(chunks) else []
+        out.update(zip(rest, (ids.tobytes() for ids in self._ids(list(map(spaced, rest))))))
         return out
 
-    def _fill(self, known: dict[str, bytes], chunks: list[str], values: list, gaps: list[int], prefix: str, odd: bool) -> None:
-        """Puts the ids of unknown chunks in the places (gaps) of `values` that are None.
+    def _unknown(self, chunks: list[str]) -> dict[str, bytes]:
+        """The ids of distinct chunks that are not known and not odd; they are kept unless long.
 
-        odd: chunks may begin or end with a space character, or hold one; those are not kept.
+        Letters before closing punctuation are a pre-token, so a known word with a mark costs no encoding.
         """
-        if not gaps:
-            return
-        # Letters before closing punctuation are a pre-token, so a known word with a mark costs no encoding.
-        new: dict[str, bytes] = dict.fromkeys(chunks[i] for i in gaps)
         stems: dict[str, tuple[str, str]] = {}
-        for c in new:
+        for c in chunks:
             stem = c.rstrip(MARKS)
             if stem and stem != c and stem[-1].isalpha():
                 stems[c] = stem, c[len(stem) :]
-        wanted = [c for c in dict.fromkeys([s for s, _ in stems.values()] + [c for c in new if c not in stems]) if c not in known]
-        learnt = dict(zip(wanted, self._learn(wanted, prefix)))
+        wanted = dict.fromkeys([s for s, _ in stems.values()] + [c for c in chunks if c not in stems])
+        learnt = self._learn([c for c in wanted if c not in self.known])
+        new = {}
         for c, (stem, mark) in stems.items():
             if mark not in self.marks:
                 self.marks[mark] = self._ids([mark])[0].tobytes()
-            new[c] = (known.get(stem) or learnt[stem]) + self.marks[mark]
-        new.update((c, learnt[c]) for c in new if c not in stems)
-        for i in gaps:
-            values[i] = new[chunks[i]]
-        if len(known) + len(new) + len(learnt) > self.KEPT:
-            known.clear()
-        for table in (learnt, new):
-            if odd or max(map(len, table), default=0) > self.LONGEST:
-                table = {c: v for c, v in table.items() if 0 < len(c) <= self.LONGEST and not c[0].isspace() and not c[-1].isspace()}
-            known.update(table)
-
-    @staticmethod
-    def _merge(parts: list[str]) -> list[str]:
-        """Joins chunks again at spaces that stand next to another space character."""
-        out = [[parts[0]]]
-        for p in parts[1:]:
-            before = out[-1][-1]
-            if not p or not before or p[0].isspace() or before[-1].isspace():
-                out[-1].append(p)
+            new[c] = (self.known.get(stem) or learnt[stem]) + self.marks[mark]
+        learnt.update(new)
+        if len(self.known) + len(learnt) > self.KEPT:
+            self.known.clear()
+        if max(map(len, learnt), default=0) <= self.LONGEST:
+            self.known.update(learnt)
+        else:
+            self.known.update((c, v) for c, v in learnt.items() if len(c) <= self.LONGEST)
+        return learnt
+
+    def _one(self, text: str) -> np.ndarray:
+        """A text with space characters side by side: chunks are joined again there."""
+        chunks: list[list[str]] = []
+        for p in text.split(" "):
+            if not chunks or not p or not chunks[-1][-1] or p[0].isspace() or chunks[-1][-1][-1].isspace():
+                chunks.append([p]) if not chunks else chunks[-1].append(p)
             else:
-                out.append([p])
-        return [" ".join(x) for x in out]
-
-    @staticmethod
-    def _lines(text: str) -> list[str]:
-        lines = text.split("\n")
-        return lines if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines) else [text]
+                chunks.append([p])
+        first, *rest = [" ".join(c) for c in chunks]
+        new = self._learn(list(dict.fromkeys(c for c in rest if c not in self.known)), True)
+        ids = [self._ids([first])[0].tobytes() if first else b""] + [new[c] if c in new else self.known[c] for c in rest]
+        return np.frombuffer(b"".join(ids), self.dtype)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
         for at in range(0, len(texts), 64):
-            split = [[x.split(" ") for x in self._lines(t)] if t else [] for t in texts[at : at + 64]]
-            flat = [c for doc in split for p in doc for c in p]
+            group = texts[at : at + 64]
+            flat: list[str] = []
+            ends = []
+            for t in group:
+                if t:
+                    flat += ("\n" + t).replace("\n", " \n").split(" ")[1:]
+                ends.append(len(flat))
             values = list(map(self.known.get, flat))
             gaps = [i for i, v in enumerate(values) if v is None]
-            odd = any(not (c := flat[i]) or c[0].isspace() or c[-1].isspace() for i in gaps)
-            if odd:
-                split = [[self._merge(p) for p in doc] for doc in split]
-                flat = [c for doc in split for p in doc for c in p]
-                values = list(map(self.known.get, flat))
-                gaps = [i for i, v in enumerate(values) if v is None]
-            place, firsts = 0, []
-            for doc in split:
-                for p in doc:
-                    firsts.append(place)
-                    place += len(p)
-            heads = [flat[i] for i in firsts]
-            begun = list(map(self.heads.get, heads))
-            self._fill(self.heads, heads, begun, [i for i, v in enumerate(begun) if v is None], "", True)
-            for i, v in zip(firsts, begun):
-                values[i] = v
-            self._fill(self.known, flat, values, [i for i in gaps if values[i] is None], " ", odd)
-            place = 0
-            for doc in split:
-                joined = []
-                for p in doc:
-                    joined.append(b"".join(values[place : place + len(p)]))
-                    place += len(p)
-                out.append(np.frombuffer(self.line.join(joined), self.dtype))
+            missing = dict.fromkeys([flat[i] for i in gaps])
+            bad = {c for c in missing if _odd(c)}
+            new = self._unknown([c for c in missing if c not in bad])
+            slow = set()
+            for i in gaps:
+                c = flat[i]
+                if c in bad:
+                    slow.add(int(np.searchsorted(ends, i, "right")))
+                else:
+                    values[i] = new[c]
+            begin = 0
+            for k, (t, end) in enumerate(zip(group, ends)):
+                if k in slow:
+                    out.append(self._one(t))
+                else:
+                    ids = np.frombuffer(b"".join(values[begin:end]), self.dtype)
+                    out.append(ids[self.line :] if t else ids)  # without the line feed put before the text
+                begin = end
         return out
 
 
