@@ -221,8 +221,14 @@ def list_ledger(log: DataFrame, order: str, source_id: str | None = None, descen
 
 
 def keep_newest(log: DataFrame, n: int, by: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(kept, removed): the newest n rows of each group in descending order; n <= 0 keeps all."""
+    """(kept, removed): the newest n rows of each group in descending order (unique); n <= 0 keeps all.
+
+    The top n are cut in every task before the shuffle; what is removed lies below the last kept row of its group, a
+    join that can split a hot group.
+    """
     if n <= 0:
         return log, log.limit(0)
-    ranked = log.withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy(*[F.col(c).desc() for c in order])))
-    return ranked.where(F.col("__n") <= n).drop("__n"), ranked.where(F.col("__n") > n).drop("__n")
+    newest = Window.partitionBy(*by).orderBy(*[F.col(c).desc() for c in order])
+    kept = log.withColumn("__n", F.row_number().over(newest)).where(F.col("__n") <= n).drop("__n")
+    last = kept.groupBy(*by).agg(F.min(F.struct(*order)).alias("__last"))
+    return kept, log.join(last, list(by)).where(F.struct(*order) < F.col("__last")).drop("__last")
