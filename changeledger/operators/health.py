@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from changeledger.functions import status as S
 from changeledger.functions import tokens as K
+from changeledger.operators.prefix import running_within, sequence
 
 #: Bytes of retained and unflushed log from which a slot is reported.
 RETAINED_WARN, FLUSH_WARN = 268_435_456, 67_108_864
@@ -87,12 +88,13 @@ def source_report(status: DataFrame, health: DataFrame, coverage: DataFrame, slo
 
 
 def failure_streaks(attempts: DataFrame) -> DataFrame:
-    """attempts (source_id, at, ok) with streak: failures in a row up to and with this attempt, since the last success."""
-    order = Window.partitionBy("source_id").orderBy("at")
-    island = F.sum(F.col("ok").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    out = attempts.withColumn("__i", island)
-    run = Window.partitionBy("source_id", "__i").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    return out.withColumn("streak", F.sum((~F.col("ok")).cast("long")).over(run)).drop("__i")
+    """attempts (source_id, at, ok) with streak: failures in a row up to and with this attempt, since the last success.
+
+    at is unique within a source. A source with very many attempts is spread over partitions.
+    """
+    numbered = sequence(attempts, ["at"], "__n", ["source_id"])
+    run = running_within(numbered, ["at"], ["source_id"], F.when(F.col("ok"), F.col("__n")), "__good")
+    return run.withColumn("streak", F.col("__n") - F.coalesce("__good", F.lit(0))).drop("__n", "__good")
 
 
 def recent_errors(attempts: DataFrame, k: int = 5) -> DataFrame:

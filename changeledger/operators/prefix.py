@@ -40,3 +40,17 @@ def running_last(df: DataFrame, keys: list[str], group: str, groups: list[str],
     joined = rows.withColumn("__local", lasts).join(F.broadcast(carried), "__b")
     state = F.zip_with("__local", "__carried", lambda a, b: F.coalesce(a, b))
     return joined.withColumn("__state", state).drop("__b", "__v", "__local", "__carried")
+
+
+def running_within(df: DataFrame, keys: list[str], within: list[str], value: Column, name: str) -> DataFrame:
+    """df with `name`: the last non-null value so far in the order of keys (unique), apart for each combination of `within`.
+
+    A hot group is spread over partitions like any other rows; only its last value per partition is carried on.
+    """
+    rows = bucketed(df.withColumn("__v", value), [*within, *keys])
+    local = F.last("__v", ignorenulls=True).over(Window.partitionBy("__b", *within).orderBy(*keys))
+    ends = rows.groupBy("__b", *within).agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), F.struct(*keys))).alias("__end"))
+    before = Window.partitionBy(*within).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("__b", *within, F.last("__end", ignorenulls=True).over(before).alias("__carried"))
+    joined = rows.withColumn("__local", local).join(carried, ["__b", *within])
+    return joined.withColumn(name, F.coalesce("__local", "__carried")).drop("__b", "__v", "__local", "__carried")

@@ -279,3 +279,8 @@ def replica_identity_drift(t):
 @query("union_candidates", "select o_orderkey as k, 'orders' as src from orders union all select event_id, 'events' from events")
 def union_candidates(t):
     return t.orders.select(F.col("o_orderkey").alias("k"), F.lit("orders").alias("src")).unionByName(t.events.select(F.col("event_id").alias("k"), F.lit("events").alias("src")))
+
+
+@query("read_source", "select n_nationkey, n_name from nation")
+def read_source(t):
+    return specs.read_source(t.spark, "parquet", {"path": f"{t.sf_dir}/nation.parquet"}).select("n_nationkey", "n_name")
