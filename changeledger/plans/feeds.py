@@ -141,9 +141,9 @@ def redo_members(t):
 
 
 @query("change_docs", """select event_id, case event_type when 'signup' then 'insert' when 'error' then 'delete' else 'update' end as operation, '{"_id":"' || event_id || '"}' as primary_key,
- case when event_type <> 'error' then '{"_id":"' || event_id || '","user":' || user_id || '}' end as after, cast(null as varchar) as before from events where event_type <> 'view'""")
+ case when event_type <> 'error' then '{"_id":"' || event_id || '","user":' || user_id || '}' end as after, cast(null as varchar) as before from events where event_type <> 'view' and user_id % 3 <> 0""")
 def change_docs(t):
-    docs = t.sql("""select event_id, concat('r', event_id) as resume, case event_type when 'signup' then 'insert' when 'error' then 'delete' when 'click' then 'replace' when 'view' then 'drop' else 'update' end as operation_type, 'app' as db, 'events' as coll,
+    docs = t.sql("""select event_id, concat('r', event_id) as resume, case event_type when 'signup' then 'insert' when 'error' then 'delete' when 'click' then 'replace' when 'view' then 'drop' else 'update' end as operation_type, 'app' as db, if(user_id % 3 = 0, 'other', 'events') as coll,
         concat('{"_id": "', event_id, '"}') as document_key, concat('{"user": ', user_id, ', "_id": "', event_id, '"}') as full_document, cast(null as string) as update_description from {events}""")
     return feeds.change_docs(docs, values(t, [("app", "events")], "db string, coll string")).select("event_id", "operation", "primary_key", "after", "before")
 
