@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changeledger.llm import ann, flac, mixing, packing, repair, secrets, simhash, substring, toxicity, urls
+from changeledger.llm import ann, flac, mixing, oracles, packing, repair, secrets, simhash, substring, toxicity, urls
 from changeledger.llm.common import table
 
 
@@ -57,4 +57,4 @@ QUERIES = {
     "op6_repair": op6_repair,
     "op7_packing": op7_packing,
     "op10_substring": op10_substring, "op1_simhash": op1_simhash}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op9_urls": oracles.OP9, "op10_substring": oracles.OP10}

@@ -1,4 +1,6 @@
-from changeledger.llm import urls
+import duckdb
+
+from changeledger.llm import oracles, urls
 from changeledger.llm.queries import op9_urls
 from tests.conftest import SF
 
@@ -31,6 +33,11 @@ def test_small(spark):
         assert (r.host, r.path, r.rule) == (host, path, rule)
         assert r.verdict == (verdict or ("block" if r.page_id in aliases else "allow"))
     assert urls.judge(df.limit(0)).count() == 0
+    con = duckdb.connect()
+    con.execute("create table pages (page_id bigint, url varchar, html varchar)")
+    con.executemany("insert into pages values (?, ?, ?)", rows)
+    want = con.execute(oracles.OP9).fetchall()
+    assert sorted(map(str, want)) == sorted(str((r.page_id, r.host, r.path, r.rule, r.verdict)) for r in got)
 
 
 def test_query(spark):
