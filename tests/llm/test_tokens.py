@@ -34,13 +34,14 @@ def test_grammar():
     row = repair._shard_row(0, 0, 0, docs, 50)
     s = repair.Shard(row)
     ids = np.concatenate([d for _, d in docs])
+    assert repair.compress(ids, np.zeros(len(ids), bool), 50, rounds=5)[2].max() > 49
     assert len(s.rules) > 10 and len(s.symbols) < 0.7 * len(ids)
     assert (s.all() == ids).all() and all((s.document(k) == d).all() for k, (_, d) in enumerate(docs))
     for a, b in ((0, 1), (5, 1200), (len(ids) - 3, len(ids)), (77, 78)):
         assert (s.ids_between(a, b) == ids[a:b]).all()
 
 
-def test_round_trip(spark):
+def test_round_trip(spark, tmp_path):
     rows = [(i * 7 % 23 if i else None, t) for i, t in enumerate(ODD)] + [(3, "same"), (3, "same"), (4, "word " * 30000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as part", "2 as start")
     got = sorted(((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in repair.round_trip(df).collect()))
@@ -52,6 +53,9 @@ def test_round_trip(spark):
     assert [x[:2] for x in seen] == sorted(x[:2] for x in seen)
     assert sorted(seen) == sorted((d is not None, d or 0, zlib.crc32(np.array(plain(t), "<u4").tobytes())) for d, t in rows)
     assert repair.round_trip(df.limit(0)).count() == 0
+    repair.encode(df, f"{tmp_path}/ids", shard_ids=500)
+    ids = {(r.doc_id, zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in repair.decode(spark, f"{tmp_path}/ids").collect()}
+    assert ids == {(d, zlib.crc32(np.array(plain(t), "<u4").tobytes())) for d, t in rows}
 
 
 def check_packing(rows, got, capacity=1024):
