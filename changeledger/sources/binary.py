@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeledger.functions.decode import pg_value_json
+from changeledger.shipping import ship
 
 RELATION = "seq long, relid long, schema string, table string, columns array<struct<name:string,oid:long,key:boolean>>"
 
@@ -42,6 +43,8 @@ def parse_relation(data: bytes) -> dict:
 
 
 def relations(feed: DataFrame) -> DataFrame:
+    ship(feed.sparkSession)
+
     def run(batches):
         types = pa.schema([("seq", pa.int64()), ("relid", pa.int64()), ("schema", pa.string()), ("table", pa.string()), ("columns", pa.list_(pa.struct([("name", pa.string()), ("oid", pa.int64()), ("key", pa.bool_())])))])
         for b in batches:

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from changeledger.operators.ledger import upsert_latest
+from changeledger.shipping import ship
 
 
 def stream_feed(spark: SparkSession, path: str, schema, decode: Callable[[DataFrame], DataFrame] | None = None, form: str = "parquet", files: int = 100) -> DataFrame:
@@ -94,6 +95,7 @@ def stream_health(attempts: DataFrame, threshold: int = 3, fallback_s: float = 3
     A failure lengthens the streak and the backoff; from `threshold` failures on the source falls back for a while,
     and then is on probation. A success clears streak and backoff only. The first connect is no reconnect.
     """
+    ship(attempts.sparkSession)
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         streak, backoff, fallback, probation, reconnects, connected, errors = state.get if state.exists else (0, None, None, None, 0, False, [])
