@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeledger.shipping import ship
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -33,6 +35,7 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.root, self.paths = spark, f"{scratch_dir(spark)}/cl-{uuid.uuid4().hex}", {}
         self.saved = 0
+        ship(spark)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         self.saved += 1
@@ -49,6 +52,10 @@ class Scratch:
             jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
             jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(jpath, True)
         del frames
+        self.sweep()
+
+    def sweep(self) -> None:
+        """Lets Spark delete the shuffle files of plans that nothing refers to any more."""
         gc.collect()
         self.spark._jvm.System.gc()
 

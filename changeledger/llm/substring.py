@@ -161,13 +161,18 @@ def repeated_spans(docs: DataFrame, window: int = 20) -> tuple[DataFrame, DataFr
     rows = scratch.save(facts.join(lead, ["s1", "s2"]), "rows")
     scratch.free(facts)
     occ = rows.where(f"dk = lead and n >= {window}").select("dk", F.explode(F.arrays_zip("ah", "ap")).alias("x")).select("dk", F.col("x.ah").alias("a"), F.col("x.ap").alias("p"))
-    again = occ.groupBy("a").agg(F.count("*").alias("c")).where("c > 1").select("a")
+    # The repeated keys are written before the join: a join of two plain exchanges can split a hot key's rows.
+    again = scratch.save(occ.groupBy("a").agg(F.count("*").alias("c")).where("c > 1").select("a"), "again")
+    scratch.sweep()
     hits = scratch.save(occ.join(again, "a").groupBy("dk").agg(F.collect_list("p").alias("hits")), "hits")
+    scratch.free(again)
     packed = texts.mapInArrow(_pack, "dk long, th long, z binary")
     edges = scratch.save(packed.join(hits, "dk").select("dk", "th", "z", "hits").mapInArrow(_edges(window), "dk long, th long, h array<long>, v array<int>, p array<int>, own array<struct<start:int,n:int>>"), "edges")
     scratch.free(hits)
     flat = edges.select("dk", "th", F.explode(F.arrays_zip("h", "v", "p")).alias("x")).select("dk", "th", "x.h", "x.v", "x.p")
     first = flat.groupBy("h", "v").agg(F.min("dk").alias("src"), F.max("dk").alias("other"), F.min_by("p", "dk").alias("src_p")).where("src < other").drop("other")
+    first = scratch.save(first, "first")
+    scratch.sweep()
     gone = flat.join(first, ["h", "v"]).where("dk > src").select("dk", "th", "p", "src", "src_p")
     lane = Window.partitionBy("dk", "th", "src", F.col("src_p") - F.col("p")).orderBy("p")
     paths = (
@@ -177,7 +182,7 @@ def repeated_spans(docs: DataFrame, window: int = 20) -> tuple[DataFrame, DataFr
     )
     own = edges.select("dk", "th", F.explode("own").alias("x")).select("dk", "th", "x.start", "x.n", F.lit(None).cast("long").alias("src"), F.lit(None).cast("int").alias("src_start"))
     spans = scratch.save(paths.unionByName(own), "spans")
-    scratch.free(edges)
+    scratch.free(edges, first)
     return rows, spans, scratch
 
 
