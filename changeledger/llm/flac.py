@@ -20,6 +20,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from changeledger.shipping import ship
+
 FRAME, RATE, ORDER, PRECISION, SHIFT, SEEK_EVERY = 192, 8000, 4, 12, 9, 16
 #: Frame header up to the frame number: sync and fixed blocking, 192 samples at 8 kHz, mono with 8 bits.
 SYNC = bytes([0xFF, 0xF8, 0x14, 0x02])
@@ -414,6 +416,7 @@ def _slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
 
 def to_media(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, media): each text as a FLAC stream; a null text is empty."""
+    ship(docs.sparkSession)
 
     def run(batches):
         for b in batches:
@@ -434,6 +437,7 @@ def feature(pcm: bytes) -> str:
 
 def from_media(media: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, media, pcm): the decoded PCM block beside each stream."""
+    ship(media.sparkSession)
 
     def run(batches):
         for b in batches:
@@ -446,6 +450,7 @@ def from_media(media: DataFrame) -> DataFrame:
 
 def digests(media: DataFrame) -> DataFrame:
     """Facts of each stream, from its stored bytes; the tail is read through the seek table."""
+    ship(media.sparkSession)
 
     def run(batches):
         for b in batches:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from changeledger.llm.common import Scratch
 from changeledger.llm.tokens import END_ID, encoder
+from changeledger.shipping import ship
 
 #: A group of pieces that one task packs: about so many sequences, and never much more than so many pieces.
 GROUP_SEQUENCES, GROUP_PIECES = 8192, 200_000
@@ -78,6 +79,7 @@ def pieces(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None)
 
     A null text has the end id alone; repeated rows and null ids are kept, told apart by rid.
     """
+    ship(docs.sparkSession)
 
     def run(batches):
         from pyspark import TaskContext
