@@ -9,6 +9,7 @@ alike wherever it stands. Chunks are encoded by the tokenizers library once, man
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -18,6 +19,13 @@ END_ID = 2
 MARKS = ".,;:!?"
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter that byte-level vocabularies write for each byte: itself if printable, else the next free one."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + i for i, b in enumerate(rest)}
+
+
 def _odd(chunk: str) -> bool:
     """Whether a chunk has space characters at its edges, so that it must not stand alone."""
     core = chunk[1:] if chunk[:1] == "\n" else chunk
@@ -47,13 +55,24 @@ class Encoder:
         self.marks: dict[str, bytes] = {}
         self.tab = self.tokenizer.encode("\t", add_special_tokens=False).ids
         self.line = len(self._ids(["\n"])[0])
+        self.letters, self.tokenize = _byte_letters(), self.tokenizer.model.tokenize
+        self.code = "H" if self.dtype == np.uint16 else "I"
+        probe = ["probe", "étéß", "internationalisation"]
+        self.direct = [x.tolist() for x in self._ids([" " + w for w in probe])] == [np.frombuffer(self._word(w), self.dtype).tolist() for w in probe]
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _word(self, word: str) -> bytes:
+        """The ids of a space and a word of letters, which is one pre-token: straight from the vocabulary's model."""
+        text = "\u0120" + word if word.isascii() else (" " + word).encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.tokenize(text)]).tobytes()
+
     def _learn(self, chunks: list[str], odd: bool = False) -> dict[str, bytes]:
         """The ids of each chunk; odd: some may be."""
-        out: dict[str, bytes] = {}
+        # Letters up to U+024F, so that no two versions of the character tables disagree.
+        out = {c: self._word(c) for c in chunks if self.direct and c.isalpha() and max(c) < "\u0250"}
+        chunks = [c for c in chunks if c not in out]
         spaced = lambda c: c if c[:1] == "\n" else " " + c
         plain = [c for c in chunks if "\t" not in c and not (odd and _odd(c))] if len(self.tab) == 1 else []
         for at in range(0, len(plain), 512):
@@ -65,7 +84,7 @@ class Encoder:
             data, width = ids.tobytes(), ids.itemsize
             for c, a, z in zip(part, [0, *((cut + 1) * width).tolist()], [*(cut * width).tolist(), len(data)]):
                 out[c] = data[a:z]
-        rest = [c for c in chunks if c not in out] if len(out) < len(chunks) else []
+        rest = [c for c in chunks if c not in out] if len(plain) < len(chunks) else []
         out.update(zip(rest, (ids.tobytes() for ids in self._ids(list(map(spaced, rest))))))
         return out
 
