@@ -157,9 +157,11 @@ def repeated_spans(docs: DataFrame, window: int = 20) -> tuple[DataFrame, DataFr
     scratch = Scratch(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("dk"), "text")
     facts = scratch.save(texts.mapInArrow(_anchors(window), P1), "facts")
-    lead = facts.groupBy("s1", "s2").agg(F.min("dk").alias("lead"))
-    rows = scratch.save(facts.join(lead, ["s1", "s2"]), "rows")
-    scratch.free(facts)
+    # Only word sequences that occur more than once have a lead; written first, so that a hot one can be split.
+    lead = facts.groupBy("s1", "s2").agg(F.min("dk").alias("lead"), F.count("*").alias("c")).where("c > 1").drop("c")
+    lead = scratch.save(lead, "lead")
+    rows = scratch.save(facts.join(lead, ["s1", "s2"], "left").withColumn("lead", F.coalesce("lead", "dk")), "rows")
+    scratch.free(facts, lead)
     occ = rows.where(f"dk = lead and n >= {window}").select("dk", F.explode(F.arrays_zip("ah", "ap")).alias("x")).select("dk", F.col("x.ah").alias("a"), F.col("x.ap").alias("p"))
     # The repeated keys are written before the join: a join of two plain exchanges can split a hot key's rows.
     again = scratch.save(occ.groupBy("a").agg(F.count("*").alias("c")).where("c > 1").select("a"), "again")
