@@ -24,46 +24,62 @@ SHARD_IDS = 1 << 20
 SCHEMA = "part int, shard int, start long, n_ids long, base int, doc_ids binary, id_null binary, lengths binary, first binary, rules binary, spans binary, symbols binary"
 
 
-def compress(ids: np.ndarray, last: np.ndarray, base: int, rounds: int = 2, top: int = 7000, least: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, last flags, rules): replaces up to `top` pairs a round that occur `least` times or more.
+def _ranks(kind: np.ndarray, pair: np.ndarray, bits: int) -> np.ndarray:
+    """The place in `kind` of each pair, -1 for others: hash tables of fixed size; what loses a slot goes to the next table."""
+    out, todo, slots, odd = np.full(len(pair), -1, np.int32), np.arange(len(kind)), 18, 0x9E3779B97F4A7C15 >> (64 - bits) | 1
+    while len(todo):
+        turn, shift = kind.dtype.type(odd), kind.dtype.type(bits - slots)
+        slot = (kind[todo] * turn) >> shift
+        _, first = np.unique(slot, return_index=True)
+        table = np.full(1 << slots, -1, np.int32)
+        table[slot[first]] = todo[first]
+        own = table[(pair * turn) >> shift]
+        np.maximum(out, np.where(kind[own] == pair, own, -1), out=out)
+        todo, odd = np.delete(todo, first), (odd * 0xD1342543DE82EF95 + 2) % (1 << bits) | 1
+    return out
+
+
+def compress(ids: np.ndarray, last: np.ndarray, base: int, rounds: int | None = None, top: int = 7000, least: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, last flags, rules): replaces up to `top` pairs a round that occur `least` times or more, until none does.
 
-    Pairs of a round are looked up in a hash table of fixed size; of two pairs in one slot the more frequent is kept.
+    A round counts only places whose pair is new or was left over by the round before: any other pair has been counted
+    as too rare, and its count never grows.
     """
-    narrow = base + rounds * top <= 1 << 16
-    word, wide, bits = (np.uint16, np.uint32, 16) if narrow else (np.uint32, np.uint64, 32)
-    odd, slots = (wide(0x9E3779B1), 18) if narrow else (wide(0x9E3779B97F4A7C15), 18)
-    seq, rules = ids.astype(word), []
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        pair = seq[:-1].astype(wide) << wide(bits) | seq[1:]
-        inner = ~last[:-1]
-        run = np.sort(pair[inner])
-        edge = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1]))) if len(run) else np.zeros(0, np.int64)
+    seq, rules = ids.astype(np.uint16 if base <= 1 << 16 else np.uint32), []
+    near = np.ones(len(seq), bool)
+    while len(seq) > 1 and rounds != 0:
+        rounds = rounds and rounds - 1
+        at = np.flatnonzero(near[:-1] & ~last[:-1])
+        word, bits = (np.uint32, 32) if seq.dtype == np.uint16 else (np.uint64, 64)
+        half = word(bits // 2)
+        if len(at) > len(seq) // 2:
+            pair = (seq[:-1].astype(word) << half | seq[1:])[near[:-1] & ~last[:-1]]
+        else:
+            pair = seq[at].astype(word) << half | seq[at + 1]
+        run = np.sort(pair)
+        edge = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1]))) if len(run) else at
         count, kind = np.diff(np.concatenate((edge, [len(run)]))), run[edge]
         good = count >= least
         count, kind = count[good], kind[good]
         if not len(kind):
             break
-        kind = kind[np.lexsort((kind, -count))[:top]]
-        slot = (kind * odd) >> wide(2 * bits - slots)
-        _, first = np.unique(slot, return_index=True)
-        kind, slot = kind[np.sort(first)], slot[np.sort(first)]
-        table, number = np.full(1 << slots, np.iinfo(wide).max, wide), np.zeros(1 << slots, np.int32)
-        table[slot], number[slot] = kind, np.arange(len(kind))
-        own = (pair * odd) >> wide(2 * bits - slots)
-        hit = np.flatnonzero((table[own] == pair) & inner)
+        kind = kind[np.lexsort((kind, -count))]
+        rank = _ranks(kind, pair, bits)
+        chosen, left, kind = np.flatnonzero((rank >= 0) & (rank < top)), at[rank >= top], kind[:top]
+        hit = at[chosen]
         # Of overlapping pairs every other one is taken, from the left.
         place = np.arange(len(hit))
-        start = np.maximum.accumulate(np.where(np.concatenate(([True], hit[1:] != hit[:-1] + 1)), place, 0)) if len(hit) else place
-        take = hit[(place - start) % 2 == 0]
-        seq[take] = (base + len(rules) + number[own[take]]).astype(word)
-        last = last.copy()
-        last[take] = last[take + 1]
-        stay = np.ones(len(seq), bool)
-        stay[take + 1] = False
-        seq, last = seq[stay], last[stay]
-        rules.extend(zip((kind >> wide(bits)).tolist(), (kind & wide((1 << bits) - 1)).tolist()))
+        start = np.maximum.accumulate(np.where(np.concatenate(([True], hit[1:] != hit[:-1] + 1)), place, 0))
+        mine = (place - start) % 2 == 0
+        take, symbol = hit[mine], base + len(rules) + rank[chosen[mine]]
+        if base + len(rules) + len(kind) > 1 << 16:
+            seq = seq.astype(np.uint32)
+        stay, fresh, near, last = np.ones(len(seq), bool), np.zeros(len(seq), bool), np.zeros(len(seq), bool), last.copy()
+        seq[take], last[take], stay[take + 1], fresh[take], near[left] = symbol, last[take + 1], False, True, True
+        seq, last, fresh, near = seq[stay], last[stay], fresh[stay], near[stay]
+        near |= fresh
+        near[:-1] |= fresh[1:]
+        rules.extend(zip((kind >> half).tolist(), (kind & word((1 << bits // 2) - 1)).tolist()))
     return seq, last, np.array(rules, np.int64).reshape(-1, 2)
 
 
