@@ -171,11 +171,18 @@ def advance_checkpoints(results: DataFrame) -> DataFrame:
     return results.where("ok").groupBy("source_id").agg(F.max_by("checkpoint_token", "seq").alias("token"))
 
 
-def route_failures(results: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(deliveries, dlq) of failed results; a failed single event without a request has its reference as request id."""
+def route_failures(results: DataFrame, events: DataFrame | None = None, by: list[str] = ("source_id", "batch_no"), created_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(deliveries, dlq) of failed results; a failed result without a request has its reference as request id.
+
+    events are the chunked events of the same run: every member of a failed batch becomes a DLQ row with the batch's
+    error. Without them each result is an event itself, and the failed ones are returned for dlq_rows.
+    """
     failed = results.where("status = 'failed'")
     deliveries = failed.select(F.coalesce("request_id", "external_ref").alias("request_id"), "source_id", "external_ref", "status", "last_error")
-    return deliveries, failed
+    if events is None:
+        return deliveries, failed
+    lost = failed.select(*by, F.col("last_error").alias("__error"))
+    return deliveries, dlq_rows(events.join(lost, list(by)), F.col("__error"), created_at)
 
 
 def gate_ready(events: DataFrame, readiness: DataFrame) -> tuple[DataFrame, DataFrame]:

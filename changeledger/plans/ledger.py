@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from changeledger.functions import canonical as C
 from changeledger.functions import status as S
+from changeledger.operators import batching as B
 from changeledger.operators import evidence as E
 from changeledger.operators import health as H
 from changeledger.operators import ledger as L
@@ -149,6 +150,20 @@ def route_failures(t):
     return L.route_failures(t.sql(RESULTS))[0]
 
 
+MEMBER = """'{"after":{"k":' || k || '},"change_version":"order:' || k || '","checkpoint_token":"t' || k || '","database_name":"main","identity_key":"' || sha256('{"change_version":"order:' || k || '","database_name":"main","operation":"insert","primary_key":{"k":' || k || '},"schema_or_namespace":"app","source_instance":"main","source_type":"mysql","table_or_collection":"orders"}') || '","operation":"insert","primary_key":{"k":' || k || '},"schema_or_namespace":"app","source_id":"' || source_id || '","source_instance":"main","source_type":"mysql","table_or_collection":"orders"}'"""
+
+
+@query("route_batch_failures", f"""with e as (select o_orderkey as k, 's' || (o_custkey % 20) as source_id, (row_number() over (partition by o_custkey % 20 order by o_orderkey) - 1) // 10 as batch_no from orders),
+b as (select source_id, batch_no, max(k) as top from e group by 1, 2) select source_id, 'boom ' || top as reason, sha256({MEMBER}) as payload_hash from e join b using (source_id, batch_no) where top % 3 = 0""")
+def route_batch_failures(t):
+    rows = t.sql("""select o_orderkey as k, concat('s', o_custkey % 20) as source_id, concat('{"k":', o_orderkey, '}') as after, concat('order:', o_orderkey) as change_version, 'insert' as operation, concat('{"k":', o_orderkey, '}') as primary_key, 'main' as database_name, 'main' as source_instance, 'mysql' as source_type, 'app' as schema_or_namespace, 'orders' as table_or_collection,
+ concat('t', o_orderkey) as checkpoint_token, concat('ref', o_orderkey) as external_ref from {orders}""")
+    events = B.chunk(rows, 10, ["k"], ["source_id"])
+    top = F.substring("last_token", 2, 20).cast("long")
+    results = B.batches(events, ["source_id", "batch_no"]).withColumns({"external_ref": F.col("batch_external_ref"), "request_id": F.lit(None).cast("string"), "status": F.when(top % 3 == 0, "failed").otherwise("broadcast_included"), "last_error": F.when(top % 3 == 0, F.concat(F.lit("boom "), top))})
+    return L.route_failures(results, events)[1].select("source_id", "reason", C.sha256_hex(F.col("payload")).alias("payload_hash"))
+
+
 @query("run_summary", "select 's' || (o_custkey % 20) as source_id, cast(sum(case when o_orderkey % 6 <> 0 then o_orderkey % 4 + 1 else 0 end) as bigint) as processed, cast(sum(case when o_orderkey % 6 = 0 then o_orderkey % 4 + 1 else 0 end) as bigint) as failed from orders group by 1")
 def run_summary(t):
     return H.run_summary(t.sql(RESULTS))

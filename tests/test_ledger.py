@@ -1,3 +1,5 @@
+import json
+
 from pyspark.sql import functions as F
 
 from changeledger.functions import canonical as C
@@ -58,6 +60,18 @@ def test_gate_and_dlq(spark, tmp_path):
     assert [r.request_id for r in spark.read.json(f"{tmp_path}/proofs").collect()] == ["q1"]
 
 
+def test_members_of_failed_batches(spark):
+    """Every event of a failed batch reaches the DLQ although a later batch moves the checkpoint past it."""
+    versions = [("a", 0, 1), ("a", 0, 2), ("a", 1, 3), ("b", 0, 1)]
+    events = spark.createDataFrame([(s, *EVENT[1:8], f"lsn:{n}", *EVENT[9:], n, k) for s, k, n in versions], CHANGE_EVENT + ", seq long, batch_no long")
+    results = spark.createDataFrame([("a", 0, "failed", "boom", None, "ra", False, 2, "t2"), ("a", 1, "broadcast_included", None, "q", "rb", True, 3, "t3"), ("b", 0, "broadcast_included", None, "q", "rc", True, 1, "t1")], "source_id string, batch_no long, status string, last_error string, request_id string, external_ref string, ok boolean, seq long, checkpoint_token string")
+    deliveries, dead = L.route_failures(results, events)
+    assert [(r.request_id, r.source_id) for r in deliveries.collect()] == [("ra", "a")]
+    rows = [(r.source_id, r.reason, json.loads(r.payload)["change_version"], len(json.loads(r.payload)["identity_key"])) for r in dead.collect()]
+    assert sorted(rows) == [("a", "boom", "lsn:1", 64), ("a", "boom", "lsn:2", 64)]
+    assert {r.source_id: r.token for r in L.advance_checkpoints(results).collect()}["a"] == "t3"
+
+
 def test_retention_and_latest(spark):
     log = spark.createDataFrame([("a", "s", "1", None), ("a", "s", "2", "x"), ("b", "s", "3", None), ("c", "t", "1", None)], "request_id string, source_id string, updated_at string, note string")
     now = {r.request_id: (r.updated_at, r.note) for r in L.upsert_latest(log, ["request_id"], ["updated_at"]).collect()}
