@@ -43,6 +43,18 @@ def test_small(spark):
     assert ann.search(few, few.where("vec_id % 100 = 0")).count() == 4
 
 
+def test_outliers_get_k_rows(spark, monkeypatch):
+    """Where the visited leaves hold too few rows besides the query's own, more are visited."""
+    monkeypatch.setattr(ann.Tree, "calibrate", lambda self, x, k: setattr(self, "visits", 1))
+    rnd = np.random.default_rng(3)
+    rows = [(i, (rnd.normal(0, 1e-3, 4) + 1).tolist()) for i in range(1, 1200)] + [(5000 + i, [1e6 + i, 1.0, -1.0, 2.0]) for i in range(3)] + [(9000, [-1e6, 3.0, 1.0, float(i)]) for i in range(45)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in ann.search(df, df.where("vec_id >= 5000 and embedding[3] < 3")).collect():
+        found[r.query_id] = found.get(r.query_id, 0) + 1
+    assert found == {5000: 10, 5001: 10, 5002: 10, 9000: 30}
+
+
 def test_query(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     rows = [r for r in rows if r[1] is not None and all(x is not None and np.isfinite(x) for x in r[1]) and any(r[1])]
