@@ -20,6 +20,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from changeledger.llm.common import Scratch
 from changeledger.shipping import ship
 
 FRAME, RATE, ORDER, PRECISION, SHIFT, SEEK_EVERY = 192, 8000, 4, 12, 9, 16
@@ -229,6 +230,14 @@ class Header:
         self.start = at
 
 
+def _whole(frame: np.ndarray) -> bool:
+    """Whether the last two bytes are the CRC-16 of those before."""
+    if len(frame) < 8:
+        return False
+    crc = _crc(frame[None, :-2], np.array([len(frame) - 2]), CRC16, 16)[0]
+    return int(crc) == int(frame[-2]) << 8 | int(frame[-1])
+
+
 def _frame_starts(data: np.ndarray, first: int, count: int) -> np.ndarray:
     """Offsets of frames first, first + 1, ... in data, which begins with the first of them; count or fewer."""
     d = data
@@ -236,9 +245,11 @@ def _frame_starts(data: np.ndarray, first: int, count: int) -> np.ndarray:
     padded = np.concatenate((d, np.zeros(16, np.uint8)))
     heads, sizes = _headers(np.arange(first, first + count))
     if len(hit) != count or not (padded[hit[:, None] + np.arange(heads.shape[1])] == heads)[np.arange(heads.shape[1]) < sizes[:, None]].all():
-        good, want = [], 0  # the sync pattern also occurs inside a frame: keep the hits whose whole header is the next one's
+        good, want = [], 0
+        # Coded bits may look like a header, even like the next one: then the frame before it has no right checksum.
         for h in hit.tolist():
-            if want < count and padded[h : h + sizes[want]].tobytes() == heads[want, : sizes[want]].tobytes():
+            same = want < count and padded[h : h + sizes[want]].tobytes() == heads[want, : sizes[want]].tobytes()
+            if same and (not good or _whole(d[good[-1] : h])):
                 good.append(h)
                 want += 1
         hit = np.array(good, np.int64)
@@ -468,10 +479,34 @@ def digests(media: DataFrame) -> DataFrame:
     return media.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
+def pcm_blocks(media: DataFrame, frames: int = 64) -> DataFrame:
+    """(doc_id, sample_offset, pcm): each stream's samples in blocks of `frames` frames, to be found by their offset.
+
+    Every stream has at least one block, the last may be shorter; offsets count samples from the stream's start.
+    """
+    ship(media.sparkSession)
+    size = frames * FRAME
+
+    def run(batches):
+        for b in batches:
+            for lo, hi in _slices(b.column(1), 4 * BATCH):
+                ids, at, blocks = [], [], []
+                for doc_id, pcm in zip(b.column(0).slice(lo, hi - lo).to_pylist(), decode(b.column(1).slice(lo, hi - lo).to_pylist())):
+                    for a in range(0, len(pcm), size):
+                        ids.append(doc_id)
+                        at.append(a)
+                        blocks.append(pcm[a : a + size])
+                columns = [pa.array(ids, pa.int64()), pa.array(at, pa.int64()), pa.array(blocks, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sample_offset", "pcm"])
+
+    return media.select("doc_id", "media").mapInArrow(run, "doc_id long, sample_offset long, pcm binary")
+
+
 def round_trip(docs: DataFrame) -> DataFrame:
-    """Facts of every row's text after its way through a FLAC stream.
+    """Facts of every row's text, from the streams that are stored in the shared folder and read back.
 
     Null and empty texts are 192 spaces; repeated rows and null ids each get a row; equal texts have equal streams;
     other columns are ignored; an empty table gives no rows.
     """
-    return digests(to_media(docs))
+    stored = Scratch(docs.sparkSession).save(to_media(docs), "media", compression="zstd")
+    return digests(stored)
