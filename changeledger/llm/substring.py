@@ -1,11 +1,13 @@
 """Removal of repeated word spans through a compacted De Bruijn graph.
 
-A window of `window` words is an edge between the two (window - 1)-word nodes that it joins. Every window holds a
-minimizer, the least k-mer inside it; equal windows hold equal minimizers, so only windows with a minimizer that
-occurs twice can repeat, and only those edges enter the graph. An edge key is two independent hashes (96 bits).
-Edges meet in one partially aggregated group-by and a join (both safe with a hot edge), which give each repeated edge
-the coordinates of its first source. Consecutive edges whose source coordinates advance in step form a nonbranching
-path; a path is kept as one span, and its words are removed from the text.
+A window of `window` words is an edge between two nodes, its first and its last (window - 1) words; an edge's key is the
+pair of its nodes' hashes (128 bits). Every window holds a minimizer, the least k-mer inside it; equal windows hold equal
+minimizers, so only windows with a minimizer that occurs twice can repeat, and only those edges are looked at. Edges meet in
+one partially aggregated group-by, which gives each repeated edge its first source (row and place); only repeated edges
+stay in the graph. Joins on the node keys give every edge the in- and out-degree of the node that it leaves. Edges with
+consecutive source coordinates are compacted into one path as long as the nodes between them do not branch. A document's
+occurrences of a path that advance in step are a span; its words are compared, by SHA-256, with the words at its source
+coordinates, and the spans that hold are removed.
 """
 
 from __future__ import annotations
@@ -23,10 +25,10 @@ from pyspark.sql import functions as F
 from changeledger.llm.common import Scratch
 
 KMER = 8
-#: Odd multipliers of the two rolling hashes.
+#: Odd multipliers of the two rolling hashes: of nodes and of minimizers.
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-LAST = (1 << 63) - 1
-P1 = "dk long, th long, n long, sha string, s1 long, s2 long, ah array<long>, ap array<int>"
+FACTS = "rid long, dk long, n long, sha string, s1 long, s2 long, ah array<long>, ap array<int>, z binary"
+EDGES = "rid long, dk long, f array<long>, t array<long>, p array<int>, own array<struct<start:int,n:int,src_start:int>>"
 
 
 def _roll(h: np.ndarray, k: int, multiplier: int) -> np.ndarray:
@@ -59,150 +61,228 @@ def _words(text: bytes | None) -> list[bytes]:
     return (text or b"").split()
 
 
-def _text_hash(text: bytes | None) -> int:
-    return xxhash.xxh3_64_intdigest(text or b"") >> 1
+def _record(columns: list[list], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, schema.types)], schema=schema)
 
 
-def _anchors(window: int):
+def _facts(window: int):
+    """(rid, dk, text) rows to FACTS: words, their digests, minimizers and the packed text."""
+    wide, narrow = pa.list_(pa.int64()), pa.list_(pa.int32())
+    kinds = [pa.int64()] * 3 + [pa.string()] + [pa.int64()] * 2 + [wide, narrow, pa.binary()]
+    schema = pa.schema(list(zip(("rid", "dk", "n", "sha", "s1", "s2", "ah", "ap", "z"), kinds)))
+
     def run(batches):
+        squeeze = zstandard.ZstdCompressor(level=1)
         for b in batches:
-            rows: dict = {k: [] for k in ("dk", "th", "n", "sha", "s1", "s2", "ah", "ap")}
-            for dk, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
+            rows: list[list] = [[] for _ in schema]
+            for rid, dk, text in zip(*(c.to_pylist() for c in b.columns)):
                 words = _words(text)
                 joined = b" ".join(words)
-                key = xxhash.xxh3_128_digest(joined)
+                s1, s2 = np.frombuffer(xxhash.xxh3_128_digest(joined), "<i8").tolist()
+                low, at = np.zeros(0, np.int64), np.zeros(0, np.int32)
                 if len(words) >= window:
                     low, at = _minimizers(_hashes(words), window)
                     new = np.concatenate(([True], at[1:] != at[:-1]))
                     low, at = low[new].view(np.int64), at[new].astype(np.int32)
-                else:
-                    low, at = np.zeros(0, np.int64), np.zeros(0, np.int32)
-                s1, s2 = np.frombuffer(key, "<i8")
-                for k, v in zip(rows, (dk, _text_hash(text), len(words), hashlib.sha256(joined).hexdigest(), int(s1), int(s2), low, at)):
-                    rows[k].append(v)
-            types = [pa.int64()] * 3 + [pa.string()] + [pa.int64()] * 2 + [pa.list_(pa.int64()), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types)], list(rows))
+                sha = hashlib.sha256(joined).hexdigest()
+                for out, v in zip(rows, (rid, dk, len(words), sha, s1, s2, low, at, squeeze.compress(joined))):
+                    out.append(v)
+            yield _record(rows, schema)
 
     return run
 
 
-def _pack(batches):
-    squeeze = zstandard.ZstdCompressor(level=1)
-    for b in batches:
-        texts = b.column(1).cast(pa.binary()).to_pylist()
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(_text_hash, texts), pa.int64()), pa.array([squeeze.compress(t or b"") for t in texts], pa.binary())], ["dk", "th", "z"])
-
-
-def _runs(places: np.ndarray) -> list[tuple[int, int]]:
-    """Consecutive window starts as (start, number of windows)."""
+def _own(words: list[bytes], places: np.ndarray, source: np.ndarray, window: int) -> list[dict]:
+    """Runs of windows that repeat earlier ones of their own text, place and source in step; words are compared."""
     if not len(places):
         return []
-    cut = np.flatnonzero(np.diff(places) != 1) + 1
+    cut = np.flatnonzero((np.diff(places) != 1) | (np.diff(source) != 1)) + 1
     first = np.concatenate(([0], cut))
-    return list(zip(places[first].tolist(), np.diff(np.concatenate((first, [len(places)]))).tolist()))
+    out = []
+    for start, src, n in zip(places[first].tolist(), source[first].tolist(), np.diff(np.append(first, len(places))).tolist()):
+        size = n + window - 1
+        if words[start : start + size] == words[src : src + size]:
+            out.append({"start": start, "n": n, "src_start": src})
+    return out
 
 
 def _edges(window: int):
+    """(rid, dk, z, hits) rows to EDGES: the windows whose minimizer occurs again, each at its first place in the text."""
+    span = pa.struct([("start", pa.int32()), ("n", pa.int32()), ("src_start", pa.int32())])
+    kinds = [pa.int64()] * 2 + [pa.list_(pa.int64())] * 2 + [pa.list_(pa.int32()), pa.list_(span)]
+    schema = pa.schema(list(zip(("rid", "dk", "f", "t", "p", "own"), kinds)))
+
     def run(batches):
         expand = zstandard.ZstdDecompressor()
         for b in batches:
-            out: list[list] = [[] for _ in range(6)]
-            for dk, th, z, hits in zip(*(c.to_pylist() for c in b.columns)):
-                h = _hashes(_words(expand.decompress(z)))
-                if len(h) < window:
-                    continue
+            out: list[list] = [[] for _ in schema]
+            for rid, dk, z, hits in zip(*(c.to_pylist() for c in b.columns)):
+                words = _words(expand.decompress(z))
+                h = _hashes(words)
                 _, at = _minimizers(h, window)
                 places = np.flatnonzero(np.isin(at, np.array(hits, np.int64)))
-                key, check = _roll(h, window, MULTIPLIERS[0])[places], _roll(h, window, MULTIPLIERS[1])[places]
-                both = np.rec.fromarrays([key, check])
-                _, first = np.unique(both, return_index=True)  # index of the first window of each kind in this text
-                new = np.zeros(len(places), bool)
-                new[first] = True
-                for k, v in enumerate((dk, th, key[new].view(np.int64), (check[new] >> np.uint64(32)).astype(np.uint32).view(np.int32), places[new].astype(np.int32), [{"start": s, "n": n} for s, n in _runs(places[~new])])):
-                    out[k].append(v)
-            types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32())]))]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)], ["dk", "th", "h", "v", "p", "own"])
+                node = _roll(h, window - 1, MULTIPLIERS[0])
+                f, t = node[places], node[places + 1]
+                _, first, kind = np.unique(np.rec.fromarrays([f, t]), return_index=True, return_inverse=True)
+                source = places[first[kind]]  # of equal windows in this text the first
+                new = source == places
+                own = _own(words, places[~new], source[~new], window)
+                row = (rid, dk, f[new].view(np.int64), t[new].view(np.int64), places[new].astype(np.int32), own)
+                for column, v in zip(out, row):
+                    column.append(v)
+            yield _record(out, schema)
+
+    return run
+
+
+def _span_digest(words: list[bytes], start: int, n: int, window: int) -> bytes:
+    return hashlib.sha256(b" ".join(words[start : start + n + window - 1])).digest()
+
+
+def _sources(window: int):
+    """(src, z, wanted) rows to (src, src_start, n, digest): the words at the source coordinates of spans."""
+    schema = pa.schema([("src", pa.int64()), ("src_start", pa.int32()), ("n", pa.int32()), ("digest", pa.binary())])
+
+    def run(batches):
+        expand = zstandard.ZstdDecompressor()
+        for b in batches:
+            out: list[list] = [[] for _ in schema]
+            for src, z, wanted in zip(*(c.to_pylist() for c in b.columns)):
+                words = _words(expand.decompress(z))
+                for x in wanted:
+                    start, n = x["src_start"], x["n"]
+                    for column, v in zip(out, (src, start, n, _span_digest(words, start, n, window))):
+                        column.append(v)
+            yield _record(out, schema)
 
     return run
 
 
 def _cut(window: int):
+    """(rid, z, spans) rows to (rid, n_removed, cut_sha, kept) without the words of the spans that hold."""
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
+    schema = pa.schema(list(zip(("rid", "n_removed", "cut_sha", "kept"), kinds)))
+
     def run(batches):
         expand = zstandard.ZstdDecompressor()
         for b in batches:
-            out: list[list] = [[] for _ in range(4)]
-            for dk, th, z, spans in zip(*(c.to_pylist() for c in b.columns)):
+            out: list[list] = [[] for _ in schema]
+            for rid, z, spans in zip(*(c.to_pylist() for c in b.columns)):
                 words = _words(expand.decompress(z))
                 edge = np.zeros(len(words) + 1, np.int32)
-                np.add.at(edge, [s["start"] for s in spans], 1)
-                np.add.at(edge, [s["start"] + s["n"] + window - 1 for s in spans], -1)
+                for x in spans:
+                    start, n = x["start"], x["n"]
+                    if x["digest"] is None or x["digest"] == _span_digest(words, start, n, window):
+                        edge[start] += 1
+                        edge[start + n + window - 1] -= 1
                 keep = np.cumsum(edge[:-1]) == 0
                 kept = b" ".join(compress(words, keep.tolist()))
-                for k, v in enumerate((dk, th, len(words) - int(keep.sum()), kept)):
-                    out[k].append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["dk", "th", "n_removed", "kept"])
+                row = (rid, len(words) - int(keep.sum()), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace"))
+                for column, v in zip(out, row):
+                    column.append(v)
+            yield _record(out, schema)
 
     return run
 
 
-def repeated_spans(docs: DataFrame, window: int = 20) -> tuple[DataFrame, DataFrame, Scratch]:
-    """(facts, spans, scratch): facts has a row per document, spans the paths (dk, th, start, n, src, src_start).
+def compact(first: DataFrame) -> DataFrame:
+    """Repeated edges (f, t, src, src_p, src_dk) with `head`, the source place of the first edge of their path.
 
-    A path covers n windows, hence n + window - 1 words from word `start`; src is the document of its first
-    occurrence, null for one in the same text. Texts whose whole word sequence occurs under a smaller id appear in
-    facts with `lead` below `dk` and not in spans: all of their windows start earlier.
+    A path follows consecutive source coordinates and ends where the node between two edges has more than one repeated
+    edge in or out.
+    """
+    leaving = first.groupBy(F.col("f").alias("node")).agg(F.count("*").alias("outs"))
+    entering = first.groupBy(F.col("t").alias("node")).agg(F.count("*").alias("ins"))
+    through = leaving.join(entering, "node").where("outs = 1 and ins = 1").select("node")
+    known = first.join(through, first.f == through.node, "left").withColumn("plain", F.col("node").isNotNull()).drop("node")
+    along = Window.partitionBy("src").orderBy("src_p")  # the edges of one source text
+    goes_on = F.col("plain") & F.coalesce(F.lag("src_p").over(along) == F.col("src_p") - 1, F.lit(False))
+    starts = known.withColumn("start", F.when(~goes_on, F.col("src_p"))).drop("plain")
+    return starts.withColumn("head", F.last("start", ignorenulls=True).over(along)).drop("start")
+
+
+def repeated_spans(docs: DataFrame, window: int = 20) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(texts, rows, spans) of docs.
+
+    texts (rid, z): the packed words of every row. rows (rid, dk, n, sha, whole, key): facts of every row; whole tells that
+    its word sequence occurs under a smaller id, so that all of its windows start earlier; key is the row whose spans
+    stand for it (rows with equal id and words share them). spans (rid, start, n, src, src_start, digest): a path of n
+    windows, hence n + window - 1 words from word `start`; src is the row of its first occurrence, null in the same
+    text, and digest the SHA-256 of the words there, null where they are compared already.
     """
     if window < KMER + 2:
         raise ValueError(f"a window has at least {KMER + 2} words")
     scratch = Scratch(docs.sparkSession)
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("dk"), "text")
-    facts = scratch.save(texts.mapInArrow(_anchors(window), P1), "facts")
+    texts = docs.select(
+        F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("dk"), F.col("text").cast("string").cast("binary")
+    )
+    facts = scratch.save(texts.mapInArrow(_facts(window), FACTS), "facts")
     # Only word sequences that occur more than once have a lead; written first, so that a hot one can be split.
-    lead = facts.groupBy("s1", "s2").agg(F.min("dk").alias("lead"), F.count("*").alias("c")).where("c > 1").drop("c")
+    # Null ids come after all others and are never a lead.
+    rep = F.coalesce(F.min_by("rid", "dk"), F.min("rid"))
+    lead = facts.groupBy("s1", "s2").agg(F.min("dk").alias("lead"), rep.alias("rep"), F.count("*").alias("c")).where("c > 1").drop("c")
     lead = scratch.save(lead, "lead")
-    rows = scratch.save(facts.join(lead, ["s1", "s2"], "left").withColumn("lead", F.coalesce("lead", "dk")), "rows")
-    scratch.free(facts, lead)
-    occ = rows.where(f"dk = lead and n >= {window}").select("dk", F.explode(F.arrays_zip("ah", "ap")).alias("x")).select("dk", F.col("x.ah").alias("a"), F.col("x.ap").alias("p"))
+    later = F.coalesce((F.col("dk") > F.col("lead")) | (F.col("dk").isNull() & F.col("lead").isNotNull()), F.lit(False))
+    joined = facts.drop("z").join(lead, ["s1", "s2"], "left").withColumn("whole", later & (F.col("n") >= window))
+    wide = joined.select("rid", "dk", "n", "sha", "whole", F.coalesce("rep", "rid").alias("key"), "ah", "ap")
+    wide = scratch.save(wide, "wide")
+    rows = scratch.save(wide.drop("ah", "ap"), "rows")
+    scratch.free(lead)
+    one = wide.where(f"rid = key and n >= {window}")
+    occ = one.select("rid", F.explode(F.arrays_zip("ah", "ap")).alias("x")).select("rid", F.col("x.ah").alias("a"), F.col("x.ap").alias("p"))
     # The repeated keys are written before the join: a join of two plain exchanges can split a hot key's rows.
     again = scratch.save(occ.groupBy("a").agg(F.count("*").alias("c")).where("c > 1").select("a"), "again")
-    scratch.sweep()
-    hits = scratch.save(occ.join(again, "a").groupBy("dk").agg(F.collect_list("p").alias("hits")), "hits")
-    scratch.free(again)
-    packed = texts.mapInArrow(_pack, "dk long, th long, z binary")
-    edges = scratch.save(packed.join(hits, "dk").select("dk", "th", "z", "hits").mapInArrow(_edges(window), "dk long, th long, h array<long>, v array<int>, p array<int>, own array<struct<start:int,n:int>>"), "edges")
+    hits = scratch.save(occ.join(again, "a").groupBy("rid").agg(F.collect_list("p").alias("hits")), "hits")
+    scratch.free(again, wide)
+    packed = facts.select("rid", "dk", "z")
+    edges = scratch.save(packed.join(hits, "rid").select("rid", "dk", "z", "hits").mapInArrow(_edges(window), EDGES), "edges")
     scratch.free(hits)
-    flat = edges.select("dk", "th", F.explode(F.arrays_zip("h", "v", "p")).alias("x")).select("dk", "th", "x.h", "x.v", "x.p")
-    first = flat.groupBy("h", "v").agg(F.min("dk").alias("src"), F.max("dk").alias("other"), F.min_by("p", "dk").alias("src_p")).where("src < other").drop("other")
-    first = scratch.save(first, "first")
-    scratch.sweep()
-    gone = flat.join(first, ["h", "v"]).where("dk > src").select("dk", "th", "p", "src", "src_p")
-    lane = Window.partitionBy("dk", "th", "src", F.col("src_p") - F.col("p")).orderBy("p")
-    paths = (
-        gone.withColumn("lane", F.col("src_p") - F.col("p")).withColumn("island", F.col("p") - F.row_number().over(lane))
-        .groupBy("dk", "th", "src", "lane", "island").agg(F.min("p").alias("start"), F.count("*").cast("int").alias("n"), F.min("src_p").alias("src_start"))
-        .select("dk", "th", "start", "n", "src", "src_start")
-    )
-    own = edges.select("dk", "th", F.explode("own").alias("x")).select("dk", "th", "x.start", "x.n", F.lit(None).cast("long").alias("src"), F.lit(None).cast("int").alias("src_start"))
-    spans = scratch.save(paths.unionByName(own), "spans")
-    scratch.free(edges, first)
-    return rows, spans, scratch
+    flat = edges.select("rid", "dk", F.explode(F.arrays_zip("f", "t", "p")).alias("x")).select("rid", "dk", "x.f", "x.t", "x.p")
+    # The smallest (id, row, place) is the source; a null id is none.
+    source = F.min(F.when(F.col("dk").isNotNull(), F.struct("dk", "rid", "p"))).alias("s")
+    seen = flat.groupBy("f", "t").agg(source, F.max("dk").alias("most"), F.bool_or(F.col("dk").isNull()).alias("nameless"))
+    first = seen.where("s.dk < most or (s.dk is not null and nameless)")
+    first = scratch.save(first.select("f", "t", F.col("s.dk").alias("src_dk"), F.col("s.rid").alias("src"), F.col("s.p").alias("src_p")), "first")
+    paths = scratch.save(compact(first), "paths")
+    scratch.free(first)
+    gone = flat.join(paths, ["f", "t"]).where("dk > src_dk or dk is null").withColumn("lane", F.col("src_p") - F.col("p"))
+    path = ["rid", "src", "head", "lane"]
+    lane = Window.partitionBy(*path).orderBy("p")
+    runs = (
+        gone.withColumn("island", F.col("p") - F.row_number().over(lane)).groupBy(*path, "island")
+        .agg(F.min("p").alias("start"), F.count("*").cast("int").alias("n"), F.min("src_p").alias("src_start"))
+        .select("rid", "start", "n", "src", "src_start")
+    )
+    runs = scratch.save(runs, "runs")
+    wanted = runs.select("src", "src_start", "n").distinct().groupBy("src").agg(F.collect_list(F.struct("src_start", "n")).alias("wanted"))
+    at_source = wanted.join(facts.select(F.col("rid").alias("src"), "z"), "src").select("src", "z", "wanted")
+    digests = scratch.save(at_source.mapInArrow(_sources(window), "src long, src_start int, n int, digest binary"), "digests")
+    checked = runs.join(digests, ["src", "src_start", "n"]).select("rid", "start", "n", "src", "src_start", "digest")
+    none = F.lit(None)
+    own = edges.select("rid", F.explode("own").alias("x")).select(
+        "rid", "x.start", "x.n", none.cast("long").alias("src"), "x.src_start", none.cast("binary").alias("digest")
+    )
+    spans = scratch.save(checked.unionByName(own), "spans")
+    scratch.free(edges, paths, runs, digests)
+    return facts.select("rid", "z"), rows, spans
 
 
 def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept) per row; kept is null where no word was removed.
 
     Null or empty texts have no words and keep the empty text; texts under `window` words lose nothing. A null doc_id
-    orders after all others. Rows that share an id are judged apart and never against each other; equal rows get
-    equal answers. Other columns are ignored; an empty table gives no rows.
+    orders after all others. Rows that share an id (or have none) are judged apart and never against each other; equal
+    rows get equal answers. Other columns are ignored; an empty table gives no rows.
     """
-    rows, spans, scratch = repeated_spans(docs, window)
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("dk"), "text").mapInArrow(_pack, "dk long, th long, z binary")
-    per_doc = spans.groupBy("dk", "th").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
-    cut = texts.join(per_doc, ["dk", "th"]).select("dk", "th", "z", "spans").mapInArrow(_cut(window), "dk long, th long, n_removed long, kept binary")
-    cut = cut.dropDuplicates(["dk", "th"]).select("dk", "th", F.col("n_removed").alias("cut"), F.col("kept").cast("string").alias("kept"))
-    whole = (F.col("dk") > F.col("lead")) & (F.col("n") >= window)
-    removed = F.when(whole, F.col("n")).otherwise(F.coalesce("cut", F.lit(0)))
-    return (
-        rows.drop("ah", "ap").join(cut, ["dk", "th"], "left").withColumn("kept", F.when(whole, F.lit("")).otherwise(F.col("kept")))
-        .select(F.when(F.col("dk") != LAST, F.col("dk")).alias("doc_id"), F.col("n").alias("n_words"), removed.cast("long").alias("n_removed"), F.when(F.col("kept").isNull(), F.col("sha")).otherwise(F.sha2("kept", 256)).alias("kept_sha256"), "kept")
-    )
+    texts, rows, spans = repeated_spans(docs, window)
+    per_row = spans.groupBy("rid").agg(F.collect_list(F.struct("start", "n", "digest")).alias("spans"))
+    cut = texts.join(per_row, "rid").select("rid", "z", "spans")
+    cut = cut.mapInArrow(_cut(window), "rid long, n_removed long, cut_sha string, kept string").withColumnRenamed("rid", "key")
+    empty = hashlib.sha256(b"").hexdigest()
+    whole = F.col("whole")
+    removed = F.when(whole, F.col("n")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long")
+    sha = F.when(whole, F.lit(empty)).otherwise(F.coalesce("cut_sha", "sha"))
+    kept = F.when(whole, F.lit("")).otherwise(F.col("kept"))
+    return rows.join(cut, "key", "left").select(
+        F.col("dk").alias("doc_id"), F.col("n").alias("n_words"), removed.alias("n_removed"), sha.alias("kept_sha256"), kept.alias("kept")
+    )
