@@ -1,21 +1,40 @@
 """DuckDB SQL of the queries that SQL can express over whole tables."""
 
-from changeledger.llm.urls import LOWER, UPPER
-
-OP9 = rf"""
-with recursive base as (select page_id, html, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) end as rest from pages),
-hp as (select page_id, html, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}'), '') as host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path from base),
-tags as (select host || path as a, host, unnest([regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
- regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1)]) as u from hp),
-named as (select a, host, case when instr(u, '://') > 0 then substr(u, instr(u, '://') + 3) when starts_with(u, '//') then substr(u, 3) end as rest, u from tags where u <> ''),
-edges as (select a, case when rest is not null then translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') || regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) when starts_with(u, '/') then host || regexp_extract(u, '^[^?#]*') end as b from named),
+#: Splits tags at their brackets and addresses at their separators; shares no pattern with the DataFrame code.
+OP9 = r"""
+with recursive cut as (select page_id, html, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+ends as (select *, least(length(rest) + 1, coalesce(nullif(strpos(rest, '/'), 0), 1000000000), coalesce(nullif(strpos(rest, '?'), 0), 1000000000),
+  coalesce(nullif(strpos(rest, '#'), 0), 1000000000)) as e from cut),
+hp as (select page_id, html, array_to_string(list_transform(string_split(substr(rest, 1, e - 1), ''), lambda c: case when c between 'A' and 'Z' and length(c) = 1
+  and ascii(c) between 65 and 90 then chr(ascii(c) + 32) else c end), '') as host, string_split(string_split(substr(rest, e), '?')[1], '#')[1] as path from ends),
+tag as (select host, path, unnest(list_transform(string_split(html, '<')[2:], lambda t: string_split(t, '>')[1])) as t from hp
+  where contains(lower(html), 'canonical') or contains(lower(html), 'refresh')),
+attr as (select host, path, lower(regexp_extract(t, '^[A-Za-z]+')) as name, regexp_extract_all(t, '[\s]([A-Za-z-]+)[\s]*=[\s]*("[^"]*"|''[^'']*''|[^\s"'']+)', 1) as k,
+  regexp_extract_all(t, '[\s]([A-Za-z-]+)[\s]*=[\s]*("[^"]*"|''[^'']*''|[^\s"'']+)', 2) as v from tag),
+kv as (select host, path, name, list_transform(k, lambda x: lower(x)) as k, list_transform(v, lambda x: case when x[1] in ('"', '''') then x[2:length(x) - 1] else x end) as v from attr),
+raw as (select host, path, v[list_position(k, 'href')] as u from kv where name = 'link' and list_contains(string_split(lower(v[list_position(k, 'rel')]), ' '), 'canonical')
+ union all select host, path, case when least(coalesce(nullif(strpos(c, ';'), 0), 1000000000), coalesce(nullif(strpos(c, ','), 0), 1000000000)) < 1000000000 then
+  ltrim(substr(c, least(coalesce(nullif(strpos(c, ';'), 0), 1000000000), coalesce(nullif(strpos(c, ','), 0), 1000000000)) + 1)) end
+  from (select host, path, v[list_position(k, 'content')] as c from kv where name = 'meta' and starts_with(trim(lower(v[list_position(k, 'http-equiv')])), 'refresh'))),
+bare as (select host, path, case when lower(u[1:3]) = 'url' and ltrim(u[4:])[1] = '=' then ltrim(ltrim(u[4:])[2:]) else u end as u from raw where u is not null),
+clean as (select host, path, replace(replace(trim(replace(replace(u, '"', ''), '''', '')), '&#47;', '/'), '&amp;', '&') as u from bare),
+kind as (select host, path, u, case when starts_with(u, '//') then u[3:] when strpos(u, '://') > 0 then u[strpos(u, '://') + 3:] end as r from clean where u <> ''),
+named as (select host, path, case when r is not null then lower(string_split(string_split(string_split(r, '/')[1], '?')[1], '#')[1]) else host end as h,
+ case when r is not null then string_split(string_split(case when strpos(r, '/') > 0 then substr(r, strpos(r, '/')) else '' end, '?')[1], '#')[1] when u[1] in ('?', '#') then path
+ when u[1] = '/' then string_split(string_split(u, '?')[1], '#')[1]
+ else coalesce(nullif(array_to_string(string_split(path, '/')[:-2], '/'), '') || '/', '/') || string_split(string_split(u, '?')[1], '#')[1] end as q
+ from kind where r is not null or strpos(string_split(string_split(u, '/')[1], '?')[1], ':') = 0),
+edges as (select host || path as a, h || case when q = '' then q else list_reduce(list_concat([''], string_split(q, '/')[2:], case when string_split(q, '/')[-1] in ('.', '..') then [''] else [] end),
+ lambda acc, s: case s when '.' then acc when '..' then case when contains(acc, '/') then substr(acc, 1, length(acc) - length(string_split(acc, '/')[-1]) - 1) else '' end
+ else acc || '/' || s end) end as b from named),
 good as (select a, b from edges where a <> '' and b <> '' and a <> b union select b, a from edges where a <> '' and b <> '' and a <> b),
 reach as (select a, b from good union select r.a, g.b from reach r join good g on r.b = g.a),
-nodes as (select host || path as node, host, path from hp union select b, regexp_extract(b, '^([^/]*)', 1), substr(b, length(regexp_extract(b, '^([^/]*)', 1)) + 1) from good),
-ruled as (select node, host, path, case when (host = 'www.example.com' or ends_with(host, '.www.example.com')) and starts_with(path, '/en/') then 'www.example.com/en/' when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/en/') then 'example.com/en/'
- when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/es/') then 'net/es/' when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/fr/') then 'net/fr/' when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/') then 'com/' end as rule from nodes),
-own as (select node, host, path, rule, case when rule in ('com/', 'www.example.com/en/') then 'allow' when rule is not null then 'block' end as v from ruled)
-select page_id, hp.host, hp.path, own.rule, coalesce(own.v, case when exists (select 1 from reach r join own o on o.node = r.b where r.a = own.node and o.v = 'block') then 'block' else 'allow' end) as verdict
+nodes as (select host || path as node, host, path from hp union select b, string_split(b, '/')[1], substr(b, length(string_split(b, '/')[1]) + 1) from good),
+rules as (select * from (values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')) as r (h, p, v)),
+own as (select node, host, path, max_by(h || p, length(h || p)) as rule, max_by(v, length(h || p)) as v
+ from nodes left join rules on ends_with('.' || host, '.' || h) and starts_with(path, p) group by all)
+select page_id, hp.host, hp.path, own.rule,
+ coalesce(own.v, case when exists (select 1 from reach r join own o on o.node = r.b where r.a = own.node and o.v = 'block') then 'block' else 'allow' end) as verdict
 from hp join (select distinct node, rule, v from own) own on own.node = hp.host || hp.path
 """
 

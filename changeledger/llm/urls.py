@@ -1,6 +1,7 @@
 """URL verdicts: host and path rules, and block decisions carried along redirects; DataFrame functions only.
 
-An edge joins a page's address (host and path) to the address that its canonical link or refresh redirect names.
+An edge joins a page's address (host and path) to every address that its canonical links and refresh redirects name:
+absolute, without scheme, from the root or relative, with dot segments resolved and character references decoded.
 Distributed connected components over these edges are the alias classes. A page's own rule decides first, so an
 explicit allow stays; a page without a rule is blocked if any address of its class falls under a block rule.
 """
@@ -21,9 +22,14 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-ATTR = r"""["']?([^"'\s>]+)"""
-CANONICAL = (r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", r"(?is)\bhref\s*=\s*" + ATTR)
-REFRESH = (r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", r"(?is)\burl\s*=\s*" + ATTR)
+#: The named character references that occur in addresses.
+NAMED = (("&quot;", '"'), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
+VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+WORDS = r"""(?:"(?:[^"]*\s)?canonical(?:\s[^"]*)?"|'(?:[^']*\s)?canonical(?:\s[^']*)?'|canonical\b)"""
+CANONICAL = r"(?is)<link\b[^>]*\srel\s*=\s*" + WORDS + "[^>]*>"
+REFRESH = r"""(?is)<meta\b[^>]*\shttp-equiv\s*=\s*["']?\s*refresh\b[^>]*>"""
+TARGET = r"""(?is)^[\s\d.]*[;,]\s*(?:url\s*=)?\s*["']?([^"']+)"""
+REFERENCE = r"&#(?:[xX]([0-9a-fA-F]{1,6})|([0-9]{1,7}));?"
 
 
 def _rest(url: Column) -> Column:
@@ -46,14 +52,64 @@ def rule(host_: Column, path_: Column, rules=RULES) -> tuple[Column, Column]:
     return tuple(F.coalesce(*[F.when(f, F.lit(value(r))) for f, r in zip(fits, ordered)]) for value in (lambda r: r[0] + r[1], lambda r: r[2]))
 
 
+def _attribute(tag: Column, name: str) -> Column:
+    """An attribute's value, whichever way it is quoted; empty if there is none."""
+    pattern = r"(?is)\s" + name + VALUE
+    return F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
+
+
+def _decoded(text: Column) -> Column:
+    """Character references by number and the NAMED ones as characters."""
+    digits = [F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(i)) for i in (1, 2)]
+
+    def char(hexed: Column, decimal: Column) -> Column:
+        n = F.when(hexed != "", F.conv(hexed, 16, 10)).otherwise(decimal).cast("int")
+        good = n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF)
+        return F.coalesce(F.when(good, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")), F.lit("�"))
+
+    chars = F.zip_with(*digits, char)
+    pieces = F.split(text, REFERENCE, -1)
+    out = F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(chars, i), F.lit("")))), "")
+    out = F.when(text.contains("&#"), out).otherwise(text)
+    for name, c in NAMED:
+        out = F.replace(out, F.lit(name), F.lit(c))
+    return out
+
+
+def _resolved(path_: Column) -> Column:
+    """An absolute path without `.` and `..` segments."""
+    parts = F.split(path_, "/", -1)
+    parts = F.slice(parts, 2, F.size(parts))
+
+    def step(kept: Column, x: Column) -> Column:
+        up = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
+        return F.when(x == ".", kept).when(x == "..", up).otherwise(F.concat(kept, F.array(x)))
+
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    kept = F.when(F.get(parts, F.size(parts) - 1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(path_ == "", path_).otherwise(F.concat(F.lit("/"), F.array_join(kept, "/")))
+
+
+def target_address(to: Column, host_: Column, path_: Column) -> Column:
+    """Host and path of the address `to` as named by a page at host_ and path_; empty for other schemes."""
+    to = F.trim(F.regexp_replace(to, r"[\x09\x0A\x0D]", ""))
+    whole = F.when(to.startswith("//"), F.concat(F.lit("x:"), to)).when(to.rlike(r"(?i)^[a-z][a-z0-9+.-]*://"), to)
+    bare = F.regexp_extract(to, r"^[^?#]*", 0)
+    folder = F.coalesce(F.nullif(F.regexp_extract(path_, r"(?s)^.*/", 0), F.lit("")), F.lit("/"))
+    local = F.when(bare == "", path_).when(bare.startswith("/"), _resolved(bare)).otherwise(_resolved(F.concat(folder, bare)))
+    other = to.rlike(r"(?i)^[a-z][a-z0-9+.-]*:")
+    named = F.when(whole.isNotNull(), F.concat(host(whole), _resolved(path(whole))))
+    return named.when(other | (to == ""), F.lit("")).otherwise(F.concat(host_, local))
+
+
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """(a, b): a page's address and the absolute or root-relative address that it names."""
-    found = []
-    for tag, attr in (CANONICAL, REFRESH):
-        to = F.regexp_extract(F.regexp_extract("html", tag, 0), attr, 1)
-        target = F.when(F.instr(to, "://") > 0, F.concat(host(to), path(to))).when(to.startswith("//"), F.concat(host(F.concat(F.lit("x:"), to)), path(F.concat(F.lit("x:"), to)))).when(to.startswith("/"), F.concat("host", F.regexp_extract(to, r"^[^?#]*", 0)))
-        found.append(target)
-    return pages.select(F.col("node").alias("a"), F.explode(F.array(*found)).alias("b")).where("a != '' and b != '' and a != b")
+    """(a, b): a page's address and each address that its canonical links and refresh redirects name."""
+    tags = lambda pattern: F.regexp_extract_all("html", F.lit(pattern), F.lit(0))
+    links = F.transform(tags(CANONICAL), lambda t: _decoded(_attribute(t, "href")))
+    moves = F.transform(tags(REFRESH), lambda t: F.regexp_extract(_decoded(_attribute(t, "content")), TARGET, 1))
+    found = pages.select("node", "host", "path", F.explode(F.concat(links, moves)).alias("to"))
+    edges = found.select(F.col("node").alias("a"), target_address(F.col("to"), F.col("host"), F.col("path")).alias("b"))
+    return edges.where("a != '' and b != '' and a != b")
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -68,9 +124,10 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     scratch = Scratch(pages.sparkSession)
     edges = scratch.save(alias_edges(base).distinct(), "aliases")
     member = components(scratch, edges)
-    address = F.regexp_extract("node", r"^([^/]*)(.*)$", 1), F.regexp_extract("node", r"^([^/]*)(.*)$", 2)
+    address = [F.regexp_extract("node", r"(?s)^([^/]*)(.*)$", i) for i in (1, 2)]
     blocked = member.withColumn("v", rule(*address, rules)[1]).where("v = 'block'").select("component").distinct()
     carried = scratch.save(member.join(blocked, "component").select("node").distinct().withColumn("carried", F.lit("block")), "carried")
+    scratch.free(edges)
     name, verdict = rule(F.col("host"), F.col("path"), rules)
     ruled = base.drop("html").withColumn("rule", name).withColumn("own", verdict)
     return ruled.join(carried, "node", "left").select("page_id", "host", "path", "rule", F.coalesce("own", "carried", F.lit("allow")).alias("verdict"))

@@ -22,11 +22,19 @@ def test_small(spark):
         (1, None, None), (2, "no scheme", ""), (3, "http://A.COM/x?y#z", ""), (4, "http://com", ""), (5, "x://example.com/en/1", ""), (6, "x://www.Example.com/en/1#q", ""),
         (7, "http://a.net/fr/9", ""), (8, "http://b.org/1", link("http://a.net/fr/9?z")), (9, "http://b.org/2", "<meta content='0; url=/1' http-equiv='refresh'>"), (10, "http://b.org/3", link("//b.org/2")),
         (11, "http://z.com/1", link("http://a.net/fr/9")), (12, "http://b.org/4", link("http://c.org/")), (12, "http://b.org/4", link("http://c.org/")), (13, "http://é.net?a/fr/", ""), (None, "http://a.net/es/", "x" * 300000), (14, "http://notcom/", ""),
+        (20, "http://c.net/fr/x\ny", link("http://d.org/z")), (21, "http://d.org/z", ""),
+        (22, "http://e.org/a/b/c", link("../../z")), (23, "http://e.org/z", link("http://f.net/es/q?1&amp;2")),
+        (24, "http://g.org/a/b", link("c.html")), (26, "http://h.org/i", link("?q#f")),
+        (25, "http://g.org/a/c.html", "<link rel='canonical' href='x:y'><link rel=canonical href='http://f.net/es/1'>"),
+        (27, "http://i.org", "<meta http-equiv=refresh content=\"1;URL='j/./k/..'\">"),
+        (28, "http://i.org/j/", '<link rel="nofollow canonical" href="http:&#47;/k.net/fr/&amp;">'),
+        (29, "http://l.org/1", "<link rel=alternate href='http://f.net/es/1'>"), (30, "http://m.org/", '<meta http-equiv="refresh" content="30">'),
+        (31, "http://n.org/1", link("mailto:x@f.net")),
     ]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as host", "2 as node", "3 as own")
     got = urls.judge(df).collect()
     assert len(got) == len(rows)
-    aliases = {8, 9, 10}
+    aliases = {8, 9, 10, 21, 22, 23, 24, 25, 27, 28}
     for r in got:
         u = next(x[1] for x in rows if x[0] == r.page_id)
         host, path, rule, verdict = own(u)
@@ -40,6 +48,18 @@ def test_small(spark):
     assert sorted(map(str, want)) == sorted(str((r.page_id, r.host, r.path, r.rule, r.verdict)) for r in got)
 
 
+def test_resolved(spark):
+    cases = {"/a/b/../c": "/a/c", "/..": "/", "/a/.": "/a/", "/a/./b": "/a/b", "": "", "/../../x": "/x", "/a//b": "/a//b", "/a/..": "/"}
+    df = spark.createDataFrame([(k,) for k in cases], "p string")
+    assert {r.p: r.q for r in df.select("p", urls._resolved(urls.F.col("p")).alias("q")).collect()} == cases
+
+
+def test_references(spark):
+    cases = {"a&amp;b": "a&b", "&#x2F;&#47;": "//", "&#233;&#x1F600;": "é\U0001f600", "&amp;lt;": "&lt;", "&#0;": "�", "plain": "plain"}
+    df = spark.createDataFrame([(k,) for k in cases], "p string")
+    assert {r.p: r.q for r in df.select("p", urls._decoded(urls.F.col("p")).alias("q")).collect()} == cases
+
+
 def test_query(spark):
     pages = {r.page_id: r.url for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     got = op9_urls(spark, SF).collect()
