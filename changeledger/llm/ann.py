@@ -1,14 +1,16 @@
 """Approximate nearest neighbours by a hierarchical k-means tree with best-bin-first search.
 
-The tree is fitted on a bounded sample; every vector is then put into the leaf that it descends to. A query visits
-leaves in the order of a priority queue over the distances to node centres; how many it visits is calibrated on the
-sample until the wanted recall is reached. Queries and vectors meet by leaf, both sides in blocks of bounded size, so
-a hot leaf is many tasks and no task holds all of its rows.
+The tree is fitted on a sample that grows with the vectors up to a bound; every vector is then put into the leaf that it
+descends to. A query visits leaves in the order of a priority queue over the distances to node centres; how many it
+visits is calibrated on other sampled vectors, which the tree has not seen, until the wanted recall is reached. Queries and
+vectors meet by leaf, both sides in blocks of bounded size, so a hot leaf is many tasks and no task holds all of its rows.
+A side is sent once for each block of the other side that it meets: once, up to a block of queries in a leaf.
 """
 
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -19,12 +21,14 @@ from pyspark.sql import functions as F
 
 from changeledger.llm.common import Scratch
 
-#: Vectors (expected number) that fit the tree and the visits; children of a node; sample vectors in a leaf.
-SAMPLE, BRANCH, LEAF, SEED = 20_000, 8, 40, 5
-#: Recall of the sample's own neighbours from which no more leaves are visited.
+#: Sampled vectors that fit the tree: one in SHARE, at least and at most so many (some 100 MB at 64 dimensions).
+SHARE, LEAST, MOST = 50, 20_000, 200_000
+#: Further sampled vectors that calibrate the visits; children of a node; sample vectors in a leaf.
+HELD_OUT, BRANCH, LEAF, SEED = 10_000, 8, 40, 5
+#: Recall among the held-out vectors from which no more leaves are visited.
 RECALL = 0.97
-#: Rows of a leaf, and queries of it, in one block.
-BLOCK = 2048
+#: Rows of a leaf in one block at most, queries of a leaf in one block, and queries compared with a block at a time.
+BLOCK, QUERIES, STEP = 8192, 16_384, 512
 
 
 class Tree:
@@ -77,8 +81,12 @@ class Tree:
                 heapq.heappush(heap, (d, k))
         return out
 
-    def calibrate(self, x: np.ndarray, k: int, recall: float = RECALL, queries: int = 300) -> None:
-        """Fewest visits, doubled and then narrowed, that find `recall` of the k neighbours of sample rows."""
+    def calibrate(self, x: np.ndarray, k: int, recall: float = RECALL, queries: int = 400) -> None:
+        """Fewest visits that find `recall` of the k neighbours of rows of x among its other rows.
+
+        x are vectors that did not fit the tree. They lie less dense than all vectors, so that their neighbours are
+        farther off and the visits rather too many.
+        """
         rows = np.random.default_rng(SEED).permutation(len(x))[:queries]
         total = sum(c is None for c in self.children)
         if len(x) <= k or total < 2:
@@ -109,9 +117,8 @@ def valid(vectors: DataFrame) -> DataFrame:
     """(vec_id, v) with vectors as doubles: none null, zero, or holding null or non-finite components."""
     v = F.col("embedding").cast("array<double>")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where("vec_id is not null and v is not null")
-    rows = rows.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("v", lambda x: x != 0))
-    lengths = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "n").limit(1).collect()
-    return rows.where(F.size("v") == (lengths[0].n if lengths else 0))
+    finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    return rows.where(finite & F.exists("v", lambda x: x != 0))
 
 
 def _matrix(column) -> np.ndarray:
@@ -119,26 +126,38 @@ def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
-def fit(rows: DataFrame, k: int, sample: int = SAMPLE) -> Tree:
-    n = rows.count()
-    picked = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / max(1, n)))).dropDuplicates(["vec_id"])
-    x = np.array([r.v for r in picked.orderBy("vec_id").collect()]) if n else np.zeros((0, 1))
-    tree = Tree(x)
-    tree.calibrate(x, k)
+def fit(rows: DataFrame, k: int, n: int) -> Tree:
+    """The tree of n rows. Vectors are sampled by a hash of id and vector; of few, a third calibrates and does not fit it."""
+    wanted = min(MOST, max(LEAST, n // SHARE), 2 * n // 3)
+    place = F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * n
+    picked = rows.withColumn("place", place).where(F.col("place") < wanted + HELD_OUT).dropDuplicates(["vec_id", "v"]).orderBy("place", "vec_id")
+    found = picked.select("v", (F.col("place") < wanted).alias("fits")).toArrow()
+    x, fits = _matrix(found.column("v")), found.column("fits").to_numpy()
+    tree = Tree(x[fits])
+    tree.calibrate(x[~fits], k)
     return tree
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 10, sample: int = SAMPLE) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of queries its k nearest rows of vectors with another vec_id.
 
     Both have vec_id and embedding; other columns are ignored. score is the Euclidean distance in double precision;
-    ties go to the smaller vec_id. Vectors of another length than most take no part, like null ids and the vectors
-    that valid() drops. Repeated query rows count once; repeated candidate rows are candidates each. An empty table
-    gives no rows.
+    ties go to the smaller vec_id. Null ids and the vectors that valid() drops take no part; a query is compared with the
+    vectors of its own length, each length having its own tree. Repeated query rows count once; repeated candidate rows
+    are candidates each. An empty table gives no rows.
     """
-    spark, scratch = vectors.sparkSession, Scratch(vectors.sparkSession)
-    rows = valid(vectors)
-    tree = fit(rows, k, sample)
+    rows, asked = valid(vectors), valid(queries)
+    lengths = rows.groupBy(F.size("v").alias("length")).agg(F.count("*").alias("n")).orderBy("length").collect()
+    if not lengths:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    of = lambda df, n: df.where(F.size("v") == n)
+    return reduce(DataFrame.unionByName, [_search(of(rows, r.length), of(asked, r.length), k, r.n) for r in lengths])
+
+
+def _search(rows: DataFrame, asked: DataFrame, k: int, n: int) -> DataFrame:
+    spark, scratch = rows.sparkSession, Scratch(rows.sparkSession)
+    tree = fit(rows, k, n)
+    block = max(1024, min(BLOCK, n // 64))
     shared = spark.sparkContext.broadcast(tree)  # bounded by the sample
 
     def place(batches):
@@ -148,7 +167,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, sample: int = SA
     members = scratch.save(rows.mapInArrow(place, "vec_id long, v array<double>, leaf long"), "members")
     # One row per leaf, and the sample bounds the leaves.
     sizes = {r.leaf: r.n for r in members.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-    cells = _cells(sizes)
+    cells = _cells(sizes, block)
     homes = spark.createDataFrame([(leaf, cell, parts) for leaf, (cell, parts) in cells.items()], "leaf long, cell long, parts int")
 
     def probe(batches):
@@ -166,13 +185,15 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, sample: int = SA
 
     # A query's own rows are no candidates.
     mine = members.groupBy(F.col("vec_id").alias("__id")).agg(F.count("*").alias("own"))
-    asked = valid(queries).dropDuplicates(["vec_id", "v"])
+    asked = asked.dropDuplicates(["vec_id", "v"])
     asked = asked.join(mine, asked.vec_id == mine["__id"], "left").select("vec_id", "v", F.coalesce("own", F.lit(0)).alias("own"))
     probes = scratch.save(asked.mapInArrow(probe, "query_id long, q array<double>, cell long, parts int, leaves array<long>"), "probes")
-    asks = probes.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("asks"))
+    asks = probes.groupBy("cell").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("asks"))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = members.join(F.broadcast(homes), "leaf").join(asks, "cell").withColumn("r", F.pmod(F.xxhash64("vec_id", "v"), "parts").cast("int")).withColumn("a", spread("asks")).select("cell", "r", "a", "leaf", "vec_id", "v")
-    right = probes.join(asks, "cell").withColumn("a", F.pmod(F.xxhash64("query_id"), "asks").cast("int")).withColumn("r", spread("parts")).select("cell", "r", "a", "query_id", "q", "leaves")
+    placed = members.join(F.broadcast(homes), "leaf").join(asks, "cell").withColumn("r", F.pmod(F.xxhash64("vec_id", "v"), "parts").cast("int"))
+    left = placed.withColumn("a", spread("asks")).select("cell", "r", "a", "leaf", "vec_id", "v")
+    turned = probes.join(asks, "cell").withColumn("a", F.pmod(F.xxhash64("query_id"), "asks").cast("int"))
+    right = turned.withColumn("r", spread("parts")).select("cell", "r", "a", "query_id", "q", "leaves")
 
     def meet(m: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
@@ -181,7 +202,11 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, sample: int = SA
             leaf, wanted = m["leaf"].to_numpy(), p["leaves"].to_numpy()
             at = np.repeat(np.arange(len(p)), [len(w) for w in wanted])
             visit = np.concatenate(wanted)
-            parts = [_near(ids[rows], x[rows], q[asking], own[asking], asking, k) for value in np.unique(leaf) for rows, asking in [(leaf == value, at[visit == value])] if len(asking)]
+            parts = []
+            for value in np.unique(leaf):
+                rows, asking = leaf == value, at[visit == value]
+                for some in np.split(asking, range(STEP, len(asking), STEP)) if len(asking) else []:
+                    parts.append(_near(ids[rows], x[rows], q[some], own[some], some, k))
             if parts:
                 who, vec, far = (np.concatenate(c) for c in zip(*parts))
                 order = np.lexsort((vec, far, who))
@@ -194,16 +219,17 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, sample: int = SA
 
     met = left.groupBy("cell", "r", "a").cogroup(right.groupBy("cell", "r", "a")).applyInPandas(meet, "query_id long, qh long, vec_id long, score double")
     order = Window.partitionBy("query_id", "qh").orderBy("score", "vec_id")
-    return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _cells(sizes: dict[int, int]) -> dict[int, tuple[int, int]]:
-    """leaf -> (cell, parts): small leaves share a cell of some BLOCK rows, a large one has its own, in parts."""
+def _cells(sizes: dict[int, int], block: int) -> dict[int, tuple[int, int]]:
+    """leaf -> (cell, parts): small leaves share a cell of some `block` rows, a large one has its own, in parts."""
     out, cell, held = {}, 0, 0
     for leaf, n in sorted(sizes.items()):
-        if held and held + n > BLOCK:
+        if held and held + n > block:
             cell, held = cell + 1, 0
-        out[leaf] = (cell, max(1, -(-n // BLOCK)))
+        out[leaf] = (cell, max(1, -(-n // block)))
         held += n
     return out
 

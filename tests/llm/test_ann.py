@@ -39,6 +39,10 @@ def test_small(spark):
     hot = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == 2100)
     assert [(v, s) for _, v, s in hot] == [(2000 + i, 0.0) for i in range(10)]
     assert ann.search(df.limit(0), df.limit(0)).count() == 0
+    other = [(5100, [1.0] * 5), (5101, [2.0] * 5), (5102, [4.0] * 5)]
+    mixed = df.union(spark.createDataFrame(other[1:], "vec_id long, embedding array<double>").selectExpr("*", "1", "2"))
+    apart = ann.search(mixed, mixed.where("vec_id = 5100")).orderBy("rank").collect()
+    assert [(r.rank, r.vec_id, round(r.score**2)) for r in apart] == [(1, 5101, 5), (2, 5102, 45)]
     few = df.where("vec_id in (100, 101, 200, 5001)")
     assert ann.search(few, few.where("vec_id % 100 = 0")).count() == 4
 
@@ -55,6 +59,19 @@ def test_outliers_get_k_rows(spark, monkeypatch):
     assert found == {5000: 10, 5001: 10, 5002: 10, 9000: 30}
 
 
+def test_tree_has_not_seen_what_calibrates_it(spark, monkeypatch):
+    """With a sample smaller than the table, held-out recall holds on all rows, and blocks split both sides."""
+    monkeypatch.setattr(ann, "LEAST", 600)
+    monkeypatch.setattr(ann, "HELD_OUT", 600)
+    monkeypatch.setattr(ann, "QUERIES", 16)
+    monkeypatch.setattr(ann, "STEP", 7)
+    rnd = np.random.default_rng(8)
+    centers = rnd.normal(0, 2, (30, 12))
+    rows = [(i, (centers[i % 30] + rnd.normal(0, 1, 12)).tolist()) for i in range(4000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert recall(ann.search(df, df.where("vec_id % 100 = 0")).collect(), brute(rows, [r for r in rows if r[0] % 100 == 0])) >= 0.9
+
+
 def test_query(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     rows = [r for r in rows if r[1] is not None and all(x is not None and np.isfinite(x) for x in r[1]) and any(r[1])]
