@@ -21,6 +21,8 @@ from changeledger.llm.tokens import END_ID, encoder
 from changeledger.shipping import ship
 
 SHARD_IDS = 1 << 20
+#: Stored bytes of the input in one part (a few shards), and the most parts that a table has.
+PART_BYTES, MOST_PARTS = 8 << 20, 100_000
 SCHEMA = "part int, shard int, start long, n_ids long, base int, doc_ids binary, id_null binary, lengths binary, first binary, rules binary, spans binary, symbols binary"
 
 
@@ -155,6 +157,14 @@ def _shard_row(part: int, shard: int, start: int, docs: list, base: int) -> dict
 TYPES = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("start", pa.int64()), ("n_ids", pa.int64()), ("base", pa.int32())] + [(c, pa.binary()) for c in ("doc_ids", "id_null", "lengths", "first", "rules", "spans", "symbols")])
 
 
+def _parts(docs: DataFrame) -> int:
+    """Parts for the size of docs: Spark's estimate from the stored files, else the measured length of the texts."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 60:  # no files to tell it
+        size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    return max(1, min(MOST_PARTS, -(-size // PART_BYTES)))
+
+
 def encode(docs: DataFrame, path: str, tokenizer: str | None = None, shard_ids: int = SHARD_IDS) -> None:
     """Writes the ids of docs (doc_id, text), each followed by END_ID, as shards in ascending doc_id order.
 
@@ -181,7 +191,7 @@ def encode(docs: DataFrame, path: str, tokenizer: str | None = None, shard_ids:
         if docs:
             yield pa.RecordBatch.from_pylist([_shard_row(part, shard, start, docs, base)], TYPES)
 
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = _parts(docs)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("h"))
     ordered = keyed.repartitionByRange(n, "doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
     ordered.mapInArrow(run, SCHEMA).write.parquet(path)
@@ -230,7 +240,10 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame) -> DataFrame:
-    """Writes docs under the shared folder, reads the files back and returns their digests."""
-    path = f"{Scratch(docs.sparkSession).root}/token-shards"
+    """Writes docs under the shared folder, reads the files back and returns their digests.
+
+    The files stay until the driver ends, because the result reads them.
+    """
+    path = Scratch(docs.sparkSession).path("token-shards")
     encode(docs, path)
     return digests(docs.sparkSession, path)

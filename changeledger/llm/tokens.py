@@ -3,11 +3,13 @@
 A single space between two non-space characters always starts a new pre-token of the byte-level pattern, and a line
 feed between two such characters is a pre-token of its own. So the chunk from one such place to the next is encoded
 alike wherever it stands. Chunks are encoded by the tokenizers library once, many at a time with a tab between them
-(a pre-token of its own there as well), and then looked up; the ids are those of encoding the whole text.
+(a pre-token of its own there as well), and then looked up; the ids are those of encoding the whole text. This holds for
+byte-level BPE without normalizer, by the tokenizer's own description; with any other tokenizer whole texts are encoded.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from array import array
 from functools import lru_cache
@@ -26,6 +28,18 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in plain} | {b: 256 + i for i, b in enumerate(rest)}
 
 
+def byte_level(described: dict) -> bool:
+    """Whether a tokenizer's description is one that chunks are encoded alike under: byte-level words and plain BPE."""
+    before, model = described.get("pre_tokenizer") or {}, described.get("model") or {}
+    words = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+    parts = [model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")]
+    plain = model.get("type") == "BPE" and not any(parts) and not model.get("ignore_merges")
+    added = described.get("added_tokens") or []
+    # An added token is found before words are; in chunks it is only if no space or line feed can be part of it.
+    whole = all(not any(x.isspace() for x in t["content"]) and not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in added)
+    return bool(words and plain and whole and described.get("normalizer") is None)
+
+
 def _odd(chunk: str) -> bool:
     """Whether a chunk has space characters at its edges, so that it must not stand alone."""
     core = chunk[1:] if chunk[:1] == "\n" else chunk
@@ -57,8 +71,7 @@ class Encoder:
         self.line = len(self._ids(["\n"])[0])
         self.letters, self.tokenize = _byte_letters(), self.tokenizer.model.tokenize
         self.code = "H" if self.dtype == np.uint16 else "I"
-        probe = ["probe", "étéß", "internationalisation"]
-        self.direct = [x.tolist() for x in self._ids([" " + w for w in probe])] == [np.frombuffer(self._word(w), self.dtype).tolist() for w in probe]
+        self.chunked = byte_level(json.loads(self.tokenizer.to_str()))
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -71,7 +84,7 @@ class Encoder:
     def _learn(self, chunks: list[str], odd: bool = False) -> dict[str, bytes]:
         """The ids of each chunk; odd: some may be."""
         # Letters up to U+024F, so that no two versions of the character tables disagree.
-        out = {c: self._word(c) for c in chunks if self.direct and c.isalpha() and max(c) < "\u0250"}
+        out = {c: self._word(c) for c in chunks if c.isalpha() and max(c) < "\u0250"}
         chunks = [c for c in chunks if c not in out]
         spaced = lambda c: c if c[:1] == "\n" else " " + c
         plain = [c for c in chunks if "\t" not in c and not (odd and _odd(c))] if len(self.tab) == 1 else []
@@ -128,6 +141,8 @@ class Encoder:
         return np.frombuffer(b"".join(ids), self.dtype)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        if not self.chunked:
+            return [ids for at in range(0, len(texts), 64) for ids in self._ids([t or "" for t in texts[at : at + 64]])]
         out: list[np.ndarray] = []
         for at in range(0, len(texts), 64):
             group = texts[at : at + 64]

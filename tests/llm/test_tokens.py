@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -8,7 +9,7 @@ from tokenizers import Tokenizer
 
 from changeledger.llm import packing, repair
 from changeledger.llm.queries import op6_repair, op7_packing
-from changeledger.llm.tokens import Encoder
+from changeledger.llm.tokens import Encoder, byte_level
 from tests.conftest import SF
 
 T = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -28,6 +29,22 @@ def test_encoder():
     assert [x.tolist() + [2] for x in e.encode(texts)] == [plain(t) for t in texts]
 
 
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    """A normalizer, an added token with a space or another pre-tokenizer: no chunks, and the library's ids."""
+    described = json.loads(T.to_str())
+    assert byte_level(described)
+    spaced = {**described["added_tokens"][0], "id": 50257, "content": "two words", "special": False}
+    others = [{"normalizer": {"type": "Lowercase"}}, {"added_tokens": [*described["added_tokens"], spaced]}, {"pre_tokenizer": {"type": "Whitespace"}}]
+    texts = ["Some TWO words, two words  here", "", None, *ODD]
+    for k, change in enumerate(others):
+        path = f"{tmp_path}/{k}.json"
+        with open(path, "w") as f:
+            json.dump(described | change, f)
+        own, e = Tokenizer.from_file(path), Encoder(path)
+        assert not e.chunked
+        assert [x.tolist() for x in e.encode(texts)] == [own.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 def test_grammar():
     rnd = np.random.default_rng(1)
     docs = [(i, rnd.choice(50, rnd.integers(1, 400), p=np.r_[[0.5], [0.5 / 49] * 49])) for i in range(60)] + [(60, np.zeros(500, int))]
@@ -35,6 +52,13 @@ def test_grammar():
     s = repair.Shard(row)
     ids = np.concatenate([d for _, d in docs])
     assert repair.compress(ids, np.zeros(len(ids), bool), 50, rounds=5)[2].max() > 49
+    # With the shipped parameters no pair is left that occurs 16 times.
+    ended = np.zeros(len(s.symbols), bool)
+    ended[s.first[1:] - 1] = True
+    left = {}
+    for i in np.flatnonzero(~ended):
+        left.setdefault((int(s.symbols[i]), int(s.symbols[i + 1])), []).append(int(i))
+    assert all(len(p) < 16 or (a == b and (len(p) + 1) // 2 < 16) for (a, b), p in left.items())
     assert len(s.rules) > 10 and len(s.symbols) < 0.7 * len(ids)
     assert (s.all() == ids).all() and all((s.document(k) == d).all() for k, (_, d) in enumerate(docs))
     for a, b in ((0, 1), (5, 1200), (len(ids) - 3, len(ids)), (77, 78)):
