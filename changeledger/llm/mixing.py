@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeledger.llm.common import WORD, Scratch
+from changeledger.operators.prefix import sequence
 
 LEVELS = 4096
 WEIGHTS = (5.0, 2.0, 1.0)
-STEPS = 30
+#: Newton steps at most; not to converge by then is an error. Multiplier of a source whose documents all take the cap.
+STEPS, FULL = 100, 1e6
 
 
 def size_of(text: Column) -> Column:
@@ -31,16 +33,23 @@ def source_key(source: Column) -> Column:
 def targets(sources: DataFrame, weights=WEIGHTS, cap: float = 3.0) -> DataFrame:
     """Adds `target` to (k, source_size): all sizes shared out by weight, none above cap times its own size.
 
-    One row per source; sources fill up in the order of cap * size / weight, so running sums tell who is full.
+    One row per source, any number of them. A level of words per weight is raised until the sources that it fills beyond
+    their most stay the same; each step is one aggregation, and filled sources stay filled.
     """
-    all_rows = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    weighed = sources.withColumn("w", F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.row_number().over(Window.orderBy("k")) - 1, F.lit(len(weights))) + 1).cast("int")))
-    weighed = weighed.withColumn("most", F.col("source_size") * F.lit(float(cap))).withColumn("total", F.sum("source_size").over(all_rows))
-    fill = Window.orderBy(F.col("most") / F.col("w"), "k")
-    room = weighed.withColumn("used", F.sum("most").over(fill.rowsBetween(Window.unboundedPreceding, -1))).withColumn("w_left", F.sum("w").over(fill.rowsBetween(0, Window.unboundedFollowing)))
-    room = room.withColumn("used", F.coalesce("used", F.lit(0.0))).withColumn("full", F.col("most") * F.col("w_left") <= F.col("w") * (F.col("total") - F.col("used")))
-    first = F.max(F.when(~F.col("full"), F.struct((-F.col("most") / F.col("w")).alias("order"), ((F.col("total") - F.col("used")) / F.col("w_left")).alias("level")))).over(all_rows)
-    return room.withColumn("level", first["level"]).select("k", "source_size", F.when(F.col("full"), F.col("most")).otherwise(F.col("w") * F.col("level")).alias("target"))
+    numbered = sequence(sources, ["k"], "n")
+    turn = F.pmod(F.col("n") - 1, F.lit(len(weights))).cast("int")
+    weighed = numbered.withColumn("w", F.get(F.array(*map(F.lit, weights)), turn)).withColumn("most", F.col("source_size") * F.lit(float(cap)))
+    level, filled = 0.0, -1
+    while True:
+        full = F.col("most") <= F.col("w") * level
+        now = weighed.agg(
+            F.sum("source_size").alias("total"), F.count_if(full).alias("filled"),
+            F.sum(F.when(full, F.col("most")).otherwise(0.0)).alias("used"), F.sum(F.when(full, 0.0).otherwise(F.col("w"))).alias("open"),
+        ).first()
+        if not now.open or now.filled == filled:
+            break
+        filled, level = now.filled, (now.total - now.used) / now.open
+    return weighed.select("k", "source_size", F.least("most", F.col("w") * level).alias("target"))
 
 
 def _tilt(size: Column) -> Column:
@@ -51,19 +60,26 @@ def _rate(lam: Column, size: Column, cap: float) -> Column:
     return F.lit(cap) / (1.0 + (cap - 1.0) * F.exp(F.least(F.lit(600.0), -lam * _tilt(size))))
 
 
-def _share(k: Column, of: Column) -> Column:
-    """A number in [0, 1) from a hash of the id."""
-    return F.shiftrightunsigned(F.xxhash64(of, k), 11) / F.lit(float(1 << 53))
+def _draw(docs_k: Column) -> Column:
+    """A hash of id, source and text: rows that differ in any of them draw apart."""
+    return F.xxhash64(F.col("doc_id").cast("long"), docs_k, F.col("text").cast("string"))
+
+
+def _share(draw: Column) -> Column:
+    """A number in [0, 1) from a draw."""
+    return F.shiftrightunsigned(draw, 11) / F.lit(float(1 << 53))
 
 
 def plan(docs: DataFrame, weights=WEIGHTS, cap: float = 3.0) -> DataFrame:
     """One row per source: k, source_size, target, lam and cut; copies() turns them into a document's copies."""
     scratch = Scratch(docs.sparkSession)
-    sized = docs.select(source_key(F.col("source")).alias("k"), F.col("doc_id").cast("long").alias("doc_id"), size_of(F.col("text")).alias("size"))
+    key = source_key(F.col("source"))
+    sized = docs.select(key.alias("k"), _draw(key).alias("draw"), size_of(F.col("text")).alias("size"))
     sized = scratch.save(sized, "sized")
     hist = scratch.save(sized.groupBy("k", "size").agg(F.count("*").alias("n")), "hist")
     state = targets(hist.groupBy("k").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")), weights, cap)
-    state = scratch.save(state.withColumn("lam", F.lit(0.0)), "state")
+    at_cap = F.col("target") >= F.col("source_size") * F.lit(cap * (1 - 1e-12))
+    state = scratch.save(state.withColumn("lam", F.when(at_cap, F.lit(FULL)).otherwise(F.lit(0.0))), "state")
     for _ in range(STEPS):
         r = _rate(F.col("lam"), F.col("size"), cap)
         words = F.col("n") * F.col("size")
@@ -79,8 +95,10 @@ def plan(docs: DataFrame, weights=WEIGHTS, cap: float = 3.0) -> DataFrame:
         state = moved
         if worst is None or worst < 1e-4:
             break
+    else:
+        raise RuntimeError(f"the rates miss a target by {worst:.2g} of it after {STEPS} steps")
     r = _rate(F.col("lam"), F.col("size"), cap)
-    drawn = sized.where("size > 0").join(state, "k").withColumn("r", r).withColumn("v", _share(F.col("k"), F.col("doc_id")) - (F.col("r") - F.floor("r")))
+    drawn = sized.where("size > 0").join(state, "k").withColumn("r", r).withColumn("v", _share(F.col("draw")) - (F.col("r") - F.floor("r")))
     base = drawn.groupBy("k").agg(F.sum(F.col("size") * F.floor("r")).alias("whole"))
     need = scratch.save(state.join(base, "k", "left").select("k", "source_size", "target", "lam", (F.col("target") - F.coalesce("whole", F.lit(0))).alias("need")), "need")
     # v is in (-1, 1); the extra copy goes to the documents below the cut.
@@ -101,33 +119,34 @@ def _cross(cells: DataFrame, need: DataFrame) -> DataFrame:
     return sums.where("need > before and need <= before + words").select("k", "b", "before", "words", "need")
 
 
-def _copies(k: Column, doc_id: Column, size: Column, lam: Column, cut: Column, cap: float) -> Column:
+def _copies(draw: Column, size: Column, lam: Column, cut: Column, cap: float) -> Column:
     r = _rate(lam, size, cap)
-    level = (_share(k, doc_id) - (r - F.floor(r)) + 1) / 2 * LEVELS
+    level = (_share(draw) - (r - F.floor(r)) + 1) / 2 * LEVELS
     extra = (r < cap) & (F.floor(level * LEVELS) < F.round(cut * LEVELS))
     return F.when(size == 0, F.lit(0)).otherwise(F.least(F.floor(r) + extra.cast("int"), F.lit(int(cap)))).cast("long")
 
 
 def _chosen(docs: DataFrame, weights, cap: float) -> DataFrame:
+    """(row, k, size, source_size, target, copies): docs' rows as structs, so that their columns may have any names."""
     per_source = plan(docs, weights, cap)
-    per_source = per_source.select([F.col(c).alias(f"__{c}") for c in per_source.columns])
-    rows = docs.withColumn("__k", source_key(F.col("source"))).withColumn("__size", size_of(F.col("text"))).join(per_source, "__k")
-    return rows.withColumn("__copies", _copies(F.col("__k"), F.col("doc_id").cast("long"), F.col("__size"), F.col("__lam"), F.col("__cut"), cap))
+    key = source_key(F.col("source"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), key.alias("k"), size_of(F.col("text")).alias("size"), _draw(key).alias("draw"))
+    return rows.join(per_source, "k").withColumn("copies", _copies(F.col("draw"), F.col("size"), F.col("lam"), F.col("cut"), cap))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, cap: float = 3.0) -> DataFrame:
     """docs with size, source_size, target, copies and taken; input columns of those names are replaced.
 
-    Null texts have size 0 and, like empty ones, no copies. Null sources are one source, the last. A null doc_id is a
-    value of its own; rows that share source and id share their draw, so reruns and repeated rows agree. An empty
-    table gives no rows; where all sizes are 0 all targets are.
+    Null texts have size 0 and, like empty ones, no copies. Null sources are one source, the last. Rows that share
+    source, id (null is a value) and text share their draw, so reruns and repeated rows agree. An empty table gives no
+    rows; where all sizes are 0 all targets are. Sources of any number are targeted; those filled to the cap take it whole.
     """
-    new = {"size": "__size", "source_size": "__source_size", "target": "__target", "copies": "__copies"}
-    rows = _chosen(docs, weights, cap).drop(*new, "taken").withColumnsRenamed({b: a for a, b in new.items()})
-    return rows.withColumn("taken", F.col("copies") * F.col("size")).drop("__k", "__lam", "__cut")
+    new = ("size", "source_size", "target", "copies", "taken")
+    rows = _chosen(docs, weights, cap).withColumn("taken", F.col("copies") * F.col("size"))
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c not in new], *new)
 
 
 def mixed(docs: DataFrame, weights=WEIGHTS, cap: float = 3.0) -> DataFrame:
-    """docs in the mixed corpus: each row as often as its copies, with the columns of docs."""
-    rows = _chosen(docs, weights, cap).where("__copies > 0")
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
+    """docs in the mixed corpus: each row as often as its copies, with the columns of docs. Empty texts have no copies."""
+    rows = _chosen(docs, weights, cap).where("copies > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select("row.*")
