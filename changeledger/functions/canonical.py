@@ -47,18 +47,32 @@ def normalize(col: Column, dtype: T.DataType) -> Column:
 
 def canonical_json(col: Column, dtype: T.DataType) -> Column:
     """Sorted keys, no spaces, nulls kept, text not escaped beyond JSON's needs; a null struct stays null."""
-    if isinstance(dtype, T.MapType):
-        pairs = F.array_sort(F.map_entries(normalize(col, dtype)))
-        value = lambda v: _value_json(v, dtype.valueType)
-        return F.concat(F.lit("{"), F.array_join(F.transform(pairs, lambda p: F.concat(quote(p["key"]), F.lit(":"), value(p["value"]))), ","), F.lit("}"))
-    return F.to_json(normalize(col, dtype), {"ignoreNullFields": "false"})
+    value = normalize(col, dtype)
+    return _json(value, dtype) if _has_map(dtype) else F.to_json(value, {"ignoreNullFields": "false"})
+
+
+def _has_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return any(_has_map(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, T.MapType) or isinstance(dtype, T.ArrayType) and _has_map(dtype.elementType)
 
 
-def _value_json(v: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
-        return F.coalesce(F.to_json(v, {"ignoreNullFields": "false"}), F.lit("null"))
-    text = dtype.simpleString() not in ("tinyint", "smallint", "int", "bigint", "boolean")
-    return F.coalesce(quote(v) if text else v.cast("string"), F.lit("null"))
+def _json(v: Column, dtype: T.DataType) -> Column:
+    """JSON of a normalized value with the keys of maps in order at every depth; null where the value is."""
+    if not _has_map(dtype):
+        if isinstance(dtype, (T.StructType, T.ArrayType)):
+            return F.to_json(v, {"ignoreNullFields": "false"})
+        return v.cast("string") if isinstance(dtype, (T.IntegralType, T.BooleanType)) else quote(v)
+    inner = lambda x, kind: F.coalesce(_json(x, kind), F.lit("null"))
+    if isinstance(dtype, T.StructType):
+        fields = sorted(dtype.fields, key=lambda f: f.name)
+        parts = [F.concat(quote(F.lit(f.name)), F.lit(":"), inner(v[f.name], f.dataType)) for f in fields]
+        return F.when(v.isNotNull(), F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")))
+    if isinstance(dtype, T.ArrayType):
+        return F.concat(F.lit("["), F.array_join(F.transform(v, lambda x: inner(x, dtype.elementType)), ","), F.lit("]"))
+    named = F.transform_keys(v, lambda k, _: k.cast("string"))
+    pair = lambda k: F.concat(quote(k), F.lit(":"), inner(F.try_element_at(named, k), dtype.valueType))
+    return F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(F.map_keys(named)), pair), ","), F.lit("}"))
 
 
 def variant_json(text: Column) -> Column:
@@ -95,8 +109,9 @@ IDENTITY = ("change_version", "database_name", "operation", "primary_key", "sche
 
 
 def identity_json(json_columns: tuple[str, ...] = ("primary_key",)) -> Column:
-    """Canonical JSON of the eight identity fields; json_columns already hold JSON."""
-    parts = [F.concat(F.lit(f'"{c}":'), F.col(c) if c in json_columns else quote(F.col(c))) for c in IDENTITY]
+    """Canonical JSON of the eight identity fields, null where one is missing; json_columns already hold JSON."""
+    value = lambda c: F.coalesce(F.col(c) if c in json_columns else quote(F.col(c)), F.lit("null"))
+    parts = [F.concat(F.lit(f'"{c}":'), value(c)) for c in IDENTITY]
     return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: One column of a decoded text row: name, type (arrays included) and literal; quotes are doubled inside literals.
-TEXT_COLUMN = r"([A-Za-z_]\w*)\[((?:[^\[\]]|\[\])+)\]:(NULL|null|'(?:''|[^'])*'|\S+)"
+#: An identifier as the output plugin writes it: bare, or quoted with doubled quotes inside.
+IDENTIFIER = r"""(?:"(?:[^"]|"")*"|[^\s".:\[\]]+)"""
+#: One column of a decoded text row, name[type]:literal. A type may have spaces, a modifier, quoted parts and a trailing [].
+TEXT_COLUMN = rf"""({IDENTIFIER})\[((?:"(?:[^"]|"")*"|[^"\[\]]|\[\])+)\]:('(?:[^']|'')*'|[^\s']\S*)"""
 #: A redo value: a call with quoted arguments, a quoted literal or a bare word.
 REDO_VALUE = r"((?:TO_\w+\((?:'(?:''|[^'])*'|[^()'])*\))|'(?:''|[^'])*'|[^,\s()]+)"
+#: Type numbers by the form of their values.
 OIDS = {"int": (20, 21, 23, 26), "float": (700, 701), "bool": (16,), "text_number": (1700,), "json": (114, 3802)}
 
 
@@ -37,10 +40,17 @@ def pg_value_json(kind: Column, payload: Column, oid: Column) -> Column:
     return F.when(kind.isin("n", "u"), F.lit("null")).when(kind == "b", _string(F.lower(F.hex(payload)))).otherwise(typed)
 
 
+def identifier(name: Column) -> Column:
+    """A name without its quotes."""
+    inner = F.substring(name, F.lit(2), F.length(name) - 2)
+    return F.when(name.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(name)
+
+
 def text_image(section: Column) -> Column:
     """Map column -> JSON value of one section of a decoded text line."""
     names, values = F.regexp_extract_all(section, F.lit(TEXT_COLUMN), F.lit(1)), F.regexp_extract_all(section, F.lit(TEXT_COLUMN), F.lit(3))
-    return F.when(section.isNotNull() & (F.size(names) > 0), F.map_from_arrays(names, F.transform(values, pg_literal_json)))
+    image_ = F.map_from_arrays(F.transform(names, identifier), F.transform(values, pg_literal_json))
+    return F.when(section.isNotNull() & (F.size(names) > 0), image_)
 
 
 def redo_value(value: Column) -> Column:
@@ -55,7 +65,11 @@ def _pairs(text: Column) -> Column:
     """Map of `"name" = value` pairs; unquoted names such as ROWID are left out."""
     pair = r'"((?:""|[^"])*)"\s*(?:=|is)\s*' + REDO_VALUE
     names, values = F.regexp_extract_all(text, F.lit(pair), F.lit(1)), F.regexp_extract_all(text, F.lit(pair), F.lit(2))
-    return F.map_from_arrays(names, F.transform(values, redo_value))
+    return F.map_from_arrays(F.transform(names, _single), F.transform(values, redo_value))
+
+
+def _single(name: Column) -> Column:
+    return F.replace(name, F.lit('""'), F.lit('"'))
 
 
 #: Text without unbalanced quotes, so that words inside literals never end a clause.
@@ -66,7 +80,7 @@ def redo_insert_values(sql: Column) -> Column:
     head = r'(?is)^insert\s+into\s+"[^"]+"\."[^"]+"\s*\(((?:"(?:""|[^"])*"|[^)"])*)\)\s*values\s*\((.*)\)\s*;?\s*$'
     names = F.regexp_extract_all(F.regexp_extract(sql, head, 1), F.lit(r'"((?:""|[^"])*)"'), F.lit(1))
     values = F.regexp_extract_all(F.regexp_extract(sql, head, 2), F.lit(REDO_VALUE), F.lit(1))
-    return F.when(F.size(names) == F.size(values), F.map_from_arrays(names, F.transform(values, redo_value)))
+    return F.when(F.size(names) == F.size(values), F.map_from_arrays(F.transform(names, _single), F.transform(values, redo_value)))
 
 
 def redo_set_values(sql: Column) -> Column:

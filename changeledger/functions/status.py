@@ -61,8 +61,11 @@ def derive_commit_timestamp(after: Column, before: Column, epoch: Column | None
 
 
 def event_start_pos(packet_pos: Column, size: Column, stream_pos: Column) -> Column:
-    """Start of a row event: its end less its size, 4 at least; the stream position where either is unknown."""
-    return F.when((packet_pos > 0) & (size > 0), F.greatest(F.lit(4).cast("long"), packet_pos - size)).otherwise(stream_pos)
+    """Start of a row event: its end less its size, 4 at least. Without a size it is the end, without an end the position
+    of the stream, and 4 if that is unknown too. Zero and null are unknown."""
+    four = F.lit(4).cast("long")
+    started = F.when((packet_pos > 0) & (size > 0), F.greatest(four, packet_pos - size))
+    return started.when(packet_pos > 0, packet_pos).when(stream_pos > 0, stream_pos).otherwise(four)
 
 
 def classify_stream_error(text: Column) -> Column:

@@ -10,8 +10,8 @@ from changeledger.functions.canonical import quote
 
 def change_version(mode: str, *parts: Column) -> Column:
     """watermark: key, commit, pk; trigger: id; logical: lsn, i; binlog: file, pos, i; tracking: key, version, pk;
-    redo: scn, rs_id, ssn, i; kv: db number, key; doc: resume text."""
-    text = [p.cast("string") for p in parts]
+    redo: scn, rs_id, ssn, i; kv: db number, key; doc: resume text. A missing part is empty and keeps its place."""
+    text = [F.coalesce(p.cast("string"), F.lit("")) for p in parts]
     head = {"trigger": "event", "logical": "lsn"}.get(mode)
     if mode == "kv":
         return F.concat(F.lit("db"), text[0], F.lit(":"), text[1])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeledger.operators.prefix import running_last, sequence
@@ -25,9 +25,10 @@ def assemble_transactions(feed: DataFrame, order: list[str] = ("seq",), within:
     """
     rows = feed.where("kind = 'row'")
     commits = feed.where("kind = 'commit'").groupBy(*within, "xid").agg(F.max("lsn").alias("__commit"))
-    group = Window.partitionBy(*within, "xid")
-    out = rows.withColumn("event_index", F.row_number().over(group.orderBy(*order)).cast("long")).withColumn("total", F.count("*").over(group))
-    out = out.join(commits, [*within, "xid"], "left").withColumn("commit_lsn", F.coalesce("__commit", F.lit("")))
+    totals = rows.groupBy(*within, "xid").agg(F.count("*").alias("total")).join(commits, [*within, "xid"], "left")
+    # Numbered by a prefix pass, so that one huge transaction is many tasks; the joins can split it as well.
+    out = sequence(rows, list(order), "event_index", [*within, "xid"]).join(totals, [*within, "xid"])
+    out = out.withColumn("commit_lsn", F.coalesce("__commit", F.lit("")))
     return out.withColumn("advance", (F.col("commit_lsn") != "") & (F.col("event_index") == F.col("total"))).drop("__commit")
 
 
@@ -36,4 +37,4 @@ def limit_events(assembled: DataFrame, n: int = 0, resume: tuple[str, int] | Non
     out = assembled
     if resume is not None:
         out = out.where(~((F.col("xid") == resume[0]) & (F.col("event_index") <= resume[1])))
-    return sequence(out, list(order), "__n").where(F.col("__n") <= n).drop("__n") if n > 0 else out
+    return out.orderBy(*order).limit(n) if n > 0 else out

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from changeledger.functions import status as S
 from changeledger.functions import tokens as K
-from changeledger.operators.prefix import running_within, sequence
+from changeledger.operators.prefix import since_last
 
 #: Bytes of retained and unflushed log from which a slot is reported.
 RETAINED_WARN, FLUSH_WARN = 268_435_456, 67_108_864
@@ -92,9 +92,7 @@ def failure_streaks(attempts: DataFrame) -> DataFrame:
 
     at is unique within a source. A source with very many attempts is spread over partitions.
     """
-    numbered = sequence(attempts, ["at"], "__n", ["source_id"])
-    run = running_within(numbered, ["at"], ["source_id"], F.when(F.col("ok"), F.col("__n")), "__good")
-    return run.withColumn("streak", F.col("__n") - F.coalesce("__good", F.lit(0))).drop("__n", "__good")
+    return since_last(attempts, ["at"], ["source_id"], F.coalesce("ok", F.lit(False)), "streak")
 
 
 def recent_errors(attempts: DataFrame, k: int = 5) -> DataFrame:

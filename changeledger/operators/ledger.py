@@ -80,16 +80,25 @@ def mismatch(cfg: LedgerConfig, batch: bool = False) -> Column:
 
 
 def validate_prepared(expected: DataFrame, prepared: DataFrame, cfg: LedgerConfig, batch: bool = False) -> DataFrame:
-    """expected rows with their response and `reason`: the first broken rule, or `no response`."""
-    joined = expected.join(prepared.withColumn("__ref", F.col("external_ref_hash")), F.col("external_ref") == F.col("__ref"), "left")
+    """expected rows with their response and `reason`: the first broken rule, or `no response`.
+
+    Of several responses to one reference the one with the greatest request id counts.
+    """
+    one = upsert_latest(prepared, ["external_ref_hash"], ["request_id"])
+    joined = expected.join(one.withColumn("__ref", F.col("external_ref_hash")), F.col("external_ref") == F.col("__ref"), "left")
     return joined.withColumn("reason", F.when(F.col("__ref").isNull(), "no response").otherwise(mismatch(cfg, batch))).drop("__ref")
 
 
 def finalize(deliveries: DataFrame, broadcasts: DataFrame, receipts: DataFrame, audit: DataFrame) -> DataFrame:
     """deliveries (request_id, ...) with tx_id, block_num, finalized: receipt and audit chain present and final.
 
-    Transaction and block come from the receipt, else from the broadcast.
+    Transaction and block come from the receipt, else from the broadcast. Repeated answers to one request count once: a
+    final receipt before others, an included broadcast before others, then one without error, then the latest block.
     """
+    final = S.receipt_is_finalized(F.col("trust_state"), F.col("finality_flag"), F.col("finalized_at"))
+    rank = {"__in": F.coalesce(F.col("block_num") > 0, F.lit(False)), "__clean": F.col("error").isNull()}
+    broadcasts = upsert_latest(broadcasts.withColumns(rank), ["request_id"], ["__in", "__clean", "block_num", "tx_id"])
+    receipts = upsert_latest(receipts.withColumn("__f", F.coalesce(final, F.lit(False))), ["request_id"], ["__f", "block_num", "tx_id"])
     b = broadcasts.select("request_id", F.col("tx_id").alias("__bt"), F.col("block_num").alias("__bb"), F.col("error").alias("broadcast_error"))
     r = receipts.select("request_id", F.col("tx_id").alias("__rt"), F.col("block_num").alias("__rb"), S.receipt_is_finalized(F.col("trust_state"), F.col("finality_flag"), F.col("finalized_at")).alias("__final"))
     a = audit.select("request_id", F.lit(True).alias("__audit")).distinct()
@@ -213,12 +222,16 @@ def proof_bundles(finalized: DataFrame, members: DataFrame | None = None, by: li
 
 
 def write_bundles(bundles: DataFrame, directory: str) -> None:
-    """Safe bundles as JSON lines, one folder per source."""
-    bundles.where("safe").drop("safe").write.mode("append").partitionBy("source_id").json(directory)
+    """Safe bundles, one JSON file per request in its own folder under its source; a rerun replaces the same requests."""
+    rows = bundles.where("safe").drop("safe").repartition("source_id", "request_id")
+    replace = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    replace.partitionBy("source_id", "request_id").json(directory)
 
 
-def write_dlq(rows: DataFrame, directory: str) -> None:
-    rows.write.mode("append").parquet(directory)
+def write_dlq(rows: DataFrame, directory: str, run: str) -> None:
+    """Dead letters of one run (a batch, a cycle); the same run again replaces its own rows and doubles none."""
+    replace = rows.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    replace.partitionBy("run").parquet(directory)
 
 
 def list_ledger(log: DataFrame, order: str, source_id: str | None = None, descending: bool = True) -> DataFrame:

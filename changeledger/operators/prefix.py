@@ -1,56 +1,103 @@
 """Global sequences and running states without one big partition.
 
-Rows are range-partitioned on a unique order and the partition number becomes a checkpointed column, so that the pass
-within partitions and the pass over their totals agree. Only a row per partition (and table) is combined globally.
+Only the order columns and the value that runs are range-partitioned, on a unique order, and stored with their partition
+number, so that the pass within partitions and the pass over their totals agree. One row per partition (and group) is
+combined globally. The result joins df again by its order columns, so that wide columns are neither stored nor built for
+readers that do not want them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeledger.operators.scratch import checkpointed
+from changeledger.operators.scratch import stored
+
+#: Stored bytes of the rows, by Spark's estimate, from which a further partition pays, and which one should not exceed.
+FEW, MANY = 4 << 20, 256 << 20
+
+
+def buckets(df: DataFrame) -> int:
+    """Partitions for df's size: the session's number, fewer for little data and more for much."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return usual if size >= 1 << 60 else max(1, min(max(usual, size // MANY), -(-size // FEW)))
+
+
+def bucketed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return stored(df.repartitionByRange(buckets(df), *keys).withColumn("__b", F.spark_partition_id()))
 
 
-def bucketed(df: DataFrame, keys: list[str]) -> DataFrame:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return checkpointed(df.repartitionByRange(n, *keys).withColumn("__b", F.spark_partition_id()))
+def _joined(df: DataFrame, found: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """df with found's value by equal keys, nulls included."""
+    names = {k: f"__k{i}" for i, k in enumerate(keys)}
+    right = found.select(*[F.col(k).alias(n) for k, n in names.items()], value)
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(right[n]) for k, n in names.items()])
+    return df.join(right, same).drop(*names.values())
 
 
-def sequence(df: DataFrame, keys: list[str], name: str = "seq", within: list[str] = ()) -> DataFrame:
+def _before(*groups: str):
+    return Window.partitionBy(*groups).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def sequence(df: DataFrame, keys: Sequence[str], name: str = "seq", within: Sequence[str] = ()) -> DataFrame:
     """df with `name` = 1, 2, ... in the order of keys (unique), apart for each combination of `within`."""
-    rows = bucketed(df, [*within, *keys])
+    whole = [*within, *[k for k in keys if k not in within]]
+    rows = bucketed(df.select(*whole), whole)
     local = rows.withColumn("__rn", F.row_number().over(Window.partitionBy("__b", *within).orderBy(*keys)))
     totals = rows.groupBy("__b", *within).agg(F.count("*").alias("__n"))
     # A row for each partition and group at most; groups hold a range of partitions each.
-    before = Window.partitionBy(*within).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    joined = local.join(offsets, ["__b", *within])
-    return joined.withColumn(name, (F.col("__rn") + F.col("__off")).cast("long")).drop("__b", "__rn", "__off")
+    offsets = totals.withColumn("__off", F.coalesce(F.sum("__n").over(_before(*within)), F.lit(0))).drop("__n")
+    numbered = _joined(local, offsets, ["__b", *within], "__off")
+    return _joined(df, numbered.withColumn(name, (F.col("__rn") + F.col("__off")).cast("long")), whole, name)
 
 
-def running_last(df: DataFrame, keys: list[str], group: str, groups: list[str], value: Column) -> DataFrame:
+def running_last(df: DataFrame, keys: Sequence[str], group: str, groups: Sequence[str], value: Column) -> DataFrame:
     """df with __state: for each of `groups` (in that order) the last value of its rows so far, null before the first."""
-    rows = bucketed(df.withColumn("__v", value), keys)
+    narrow = df.select(*keys, F.col(group).alias("__g"), value.alias("__v"))
+    rows = bucketed(narrow, keys)
     local = Window.partitionBy("__b").orderBy(*keys)
-    lasts = F.array(*[F.last(F.when(F.col(group) == g, F.col("__v")), ignorenulls=True).over(local) for g in groups])
-    ends = rows.groupBy("__b").agg(*[F.max_by(F.when(F.col(group) == g, F.col("__v")), F.when((F.col(group) == g) & F.col("__v").isNotNull(), F.struct(*keys))).alias(f"g{i}") for i, g in enumerate(groups)])
-    before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    carried = ends.select("__b", F.array(*[F.last(f"g{i}", ignorenulls=True).over(before) for i in range(len(groups))]).alias("__carried"))
+    own = lambda g: F.when(F.col("__g") == g, F.col("__v"))
+    lasts = F.array(*[F.last(own(g), ignorenulls=True).over(local) for g in groups])
+    at = lambda g: F.when((F.col("__g") == g) & F.col("__v").isNotNull(), F.struct(*keys))
+    ends = rows.groupBy("__b").agg(*[F.max_by(own(g), at(g)).alias(f"g{i}") for i, g in enumerate(groups)])
+    # One row per partition.
+    carried = ends.select("__b", F.array(*[F.last(f"g{i}", ignorenulls=True).over(_before()) for i in range(len(groups))]).alias("__carried"))
     joined = rows.withColumn("__local", lasts).join(F.broadcast(carried), "__b")
     state = F.zip_with("__local", "__carried", lambda a, b: F.coalesce(a, b))
-    return joined.withColumn("__state", state).drop("__b", "__v", "__local", "__carried")
+    return _joined(df, joined.withColumn("__state", state), keys, "__state")
 
 
-def running_within(df: DataFrame, keys: list[str], within: list[str], value: Column, name: str) -> DataFrame:
+def running_within(df: DataFrame, keys: Sequence[str], within: Sequence[str], value: Column, name: str) -> DataFrame:
     """df with `name`: the last non-null value so far in the order of keys (unique), apart for each combination of `within`.
 
     A hot group is spread over partitions like any other rows; only its last value per partition is carried on.
     """
-    rows = bucketed(df.withColumn("__v", value), [*within, *keys])
+    whole = [*within, *[k for k in keys if k not in within]]
+    rows = bucketed(df.select(*whole, value.alias("__v")), whole)
     local = F.last("__v", ignorenulls=True).over(Window.partitionBy("__b", *within).orderBy(*keys))
     ends = rows.groupBy("__b", *within).agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), F.struct(*keys))).alias("__end"))
-    before = Window.partitionBy(*within).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select("__b", *within, F.last("__end", ignorenulls=True).over(before).alias("__carried"))
-    joined = rows.withColumn("__local", local).join(carried, ["__b", *within])
-    return joined.withColumn(name, F.coalesce("__local", "__carried")).drop("__b", "__v", "__local", "__carried")
+    carried = ends.select("__b", *within, F.last("__end", ignorenulls=True).over(_before(*within)).alias("__carried"))
+    joined = _joined(rows.withColumn("__local", local), carried, ["__b", *within], "__carried")
+    return _joined(df, joined.withColumn(name, F.coalesce("__local", "__carried")), whole, name)
+
+
+def since_last(df: DataFrame, keys: Sequence[str], within: Sequence[str], mark: Column, name: str) -> DataFrame:
+    """df with `name`: the number of rows so far since the last one where mark holds (0 there), apart for each `within`.
+
+    One pass: numbers and last marks are carried together.
+    """
+    whole = [*within, *[k for k in keys if k not in within]]
+    rows = bucketed(df.select(*whole, mark.alias("__m")), whole)
+    local = Window.partitionBy("__b", *within).orderBy(*keys)
+    counted = rows.withColumn("__rn", F.row_number().over(local))
+    counted = counted.withColumn("__good", F.max(F.when(F.col("__m"), F.col("__rn"))).over(local))
+    ends = counted.groupBy("__b", *within).agg(F.count("*").alias("__n"), F.max("__good").alias("__end"))
+    ends = ends.withColumn("__off", F.coalesce(F.sum("__n").over(_before(*within)), F.lit(0)))
+    ends = ends.withColumn("__last", F.coalesce(F.max(F.col("__end") + F.col("__off")).over(_before(*within)), F.lit(0)))
+    joined = _joined(counted, ends.withColumn("__c", F.struct("__off", "__last")), ["__b", *within], "__c")
+    run = F.col("__rn") + F.col("__c.__off") - F.coalesce(F.col("__good") + F.col("__c.__off"), F.col("__c.__last"))
+    return _joined(df, joined.withColumn(name, run), whole, name)

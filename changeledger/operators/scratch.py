@@ -1,15 +1,32 @@
-"""Cutting lineage through the shared checkpoint folder."""
+"""Intermediate tables in the shared checkpoint folder, which lost executors do not take with them."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df as a checkpoint in the folder that spark.checkpoint.dir names; a local folder only where none is set."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="changeledger-"))
-    return df.checkpoint()
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder under spark.checkpoint.dir, deleted when the driver ends; a local one only where none is set and the
+    master is local."""
+    root, sc = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
+    if not root:
+        if sc._jsc.sc().getCheckpointDir().isEmpty():
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="changeledger-"))
+        root = sc._jsc.sc().getCheckpointDir().get()
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/cl-{uuid.uuid4().hex}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return path.toString()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df, written once as columns and read back: later steps agree on it and read only what they need."""
+    path = scratch_path(df.sparkSession) + "/t"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -94,10 +94,33 @@ def final_checkpoint(t):
 
 @query("order_events", "select row_number() over (order by o_orderdate, o_orderkey) as seq, o_orderkey from orders")
 def ordered(t):
-    from changeledger.operators.prefix import sequence
-
     rows = N.candidates(t.orders, ORDERS, SOURCE, 0).withColumn("o_orderkey", F.get_json_object("primary_key", "$.o_orderkey").cast("long"))
-    return sequence(rows, ["order_time", "order_table", "order_pk"]).select("seq", "o_orderkey")
+    return N.order_events(rows, "watermark").select("seq", "o_orderkey")
+
+
+@query("order_events_text", "select row_number() over (order by \"ts\", 's' || (user_id % 3), event_type, '{\"id\":' || event_id || '}') as seq, event_id from events")
+def ordered_text(t):
+    rows = t.events.select("event_id", F.col("ts").alias("commit_timestamp"), F.concat(F.lit("s"), F.col("user_id") % 3).alias("schema_or_namespace"), F.col("event_type").alias("table_or_collection"),
+                           F.concat(F.lit('{"id":'), "event_id", F.lit("}")).alias("primary_key"))
+    return N.order_events(rows, "text").select("seq", "event_id")
+
+
+@query("order_events_tracking", "select row_number() over (order by user_id, event_type, event_id) as seq, event_id from events")
+def ordered_tracking(t):
+    rows = t.events.select("event_id", F.col("user_id").alias("change_version"), F.col("event_type").alias("table_key"), F.col("event_id").alias("order_pk"))
+    return N.order_events(rows, "tracking").select("seq", "event_id")
+
+
+@query("order_events_redo", "select row_number() over (order by user_id, event_type, event_id % 7, event_id) as seq, event_id from events")
+def ordered_redo(t):
+    rows = t.events.select("event_id", F.col("user_id").alias("scn"), F.col("event_type").alias("rs_id"), (F.col("event_id") % 7).alias("ssn"), F.col("event_id").alias("row_index"))
+    return N.order_events(rows, "redo").select("seq", "event_id")
+
+
+@query("order_events_kv", "select row_number() over (order by doc_id % 3, lang, cast(doc_id as varchar)) as seq, doc_id from documents")
+def ordered_kv(t):
+    rows = t.documents.select("doc_id", (F.col("doc_id") % 3).alias("db"), F.col("lang").alias("pattern"), F.col("doc_id").cast("string").alias("key"))
+    return N.order_events(rows, "kv").select("seq", "doc_id")
 
 
 @query("pk_as_text", "select l_orderkey, l_linenumber from lineitem where l_shipdate > timestamp '1997-01-01' or (l_shipdate = timestamp '1997-01-01' and cast(l_orderkey as varchar) > '9')")
@@ -138,9 +161,10 @@ def kv_events(t):
     return N.kv_events(rows, specs, SourceSpec("kv", "redis"), F.lit("1970-01-01T00:00:00Z")).select("change_version", "primary_key", "after", "checkpoint_token")
 
 
-@query("inline_events", "select 'public' as schema_or_namespace, case when nation.n_nationkey % 2 = 0 then 'update' else 'snapshot' end as operation, coalesce(cast(case when n_nationkey % 3 = 0 then null else n_nationkey end as varchar), '0') as change_version, coalesce(cast(case when n_nationkey % 3 = 0 then null else n_nationkey end as varchar), '0') as checkpoint_token, '1970-01-01T00:00:00Z' as commit_timestamp, '{}' as after, '{\"id\":' || n_nationkey || '}' as primary_key from nation")
+@query("inline_events", """with e as (select event_id, user_id, coalesce(cast(case when event_id % 3 = 0 then null else user_id end as varchar), '0') as v from events)
+select 'public' as schema_or_namespace, case when event_id % 2 = 0 then 'update' else 'snapshot' end as operation, v as change_version, v as checkpoint_token, '1970-01-01T00:00:00Z' as commit_timestamp, '{}' as after, '{"id":' || event_id || '}' as primary_key from e""")
 def inline_events(t):
-    items = t.sql("""select case when n_nationkey % 2 = 0 then 'update' end as operation, case when n_nationkey % 3 = 0 then null else n_nationkey end as checkpoint_token, concat('{"id":', n_nationkey, '}') as primary_key from {nation}""")
+    items = t.sql("""select case when event_id % 2 = 0 then 'update' end as operation, case when event_id % 3 = 0 then null else user_id end as checkpoint_token, concat('{"id":', event_id, '}') as primary_key from {events}""")
     return N.inline_events(items, SOURCE).select("schema_or_namespace", "operation", "change_version", "checkpoint_token", "commit_timestamp", "after", "primary_key")
 
 
@@ -160,6 +184,15 @@ def canonical_map(t):
     return rows.select("user_id", C.canonical_json(F.col("m"), rows.schema["m"].dataType).alias("json"))
 
 
+@query("canonical_nested_map", """select event_id, '{"id":' || event_id || ',"list":[{"k10":null,"k9":' || user_id || '}],"tags":{"a":"' || event_type || '","b":{"x":1,"y":' || user_id || '}}}' as after from events""")
+def canonical_nested_map(t):
+    """Maps in a row image, in an array and in a map: equal values give equal text, whatever the order of their keys."""
+    inner = "if(event_id % 2 = 0, map('y', user_id, 'x', 1L), map('x', 1L, 'y', user_id))"
+    rows = t.sql(f"""select event_id as id, event_id % 2 = 0 as even, array(if(event_id % 2 = 0, map('k9', user_id, 'k10', null), map('k10', null, 'k9', user_id))) as list,
+ if(event_id % 3 = 0, struct({inner} as b, event_type as a), struct({inner} as b, event_type as a)) as tags from {{events}}""")
+    return rows.select(F.col("id").alias("event_id"), C.image(rows, ["id", "list", "tags"]).alias("after"))
+
+
 @query("variant_json", "select event_id, '{\"a\":{\"y\":null,\"z\":' || user_id || '},\"b\":[' || event_id || ',\"q\"]}' as json from events")
 def variant_json(t):
     return t.sql("""select event_id, concat('{ "b" : [', event_id, ', "q"], "a": {"z": ', user_id, ', "y": null} }') as j from {events}""").select("event_id", C.variant_json(F.col("j")).alias("json"))
@@ -217,15 +250,16 @@ def join_checkpoints(t):
     """Fleet-wide resume: rows of many tables against one exploded token."""
     rows = t.sql("select o_orderkey, concat('sales.', case o_orderkey % 3 when 0 then 'a' when 1 then 'b' else 'c' end) as key from {orders}")
     token = '{"sales.a": {"pk": [100], "watermark": "2020-01-01T00:00:00Z"}, "sales.b": {"pk": [200], "watermark": "2020-01-01T00:00:00Z"}}'
-    state = t.spark.range(1).select(F.explode(K.decode_watermarks(F.lit(token), {"sales.a": 1, "sales.b": 1})).alias("key", "s")).select("key", F.col("s.pk")[0].alias("last"))
-    return rows.join(F.broadcast(state), "key", "left").where("last is null or o_orderkey > cast(last as bigint)").select("o_orderkey", "key", "last")
+    return N.join_checkpoints(rows, "key", F.col("o_orderkey"), F.lit(token), {"sales.a": 1, "sales.b": 1}).select("o_orderkey", "key", "last")
 
 
-@query("lsn_math", "select event_id, upper(printf('%x', event_id * 7919 // 4096)) || '/' || upper(printf('%x', (event_id * 104729) % 4294967296)) as lsn, (event_id * 7919 // 4096) * 4294967296 + (event_id * 104729) % 4294967296 as value, cast(sign((event_id * 7919 // 4096) - 5000) as bigint) as cmp from events where event_id * 7919 // 4096 <> 5000")
+@query("lsn_math", """with v as (select event_id, event_id * 7919 // 4096 as hi, case when event_id % 5 = 0 then 0 else (event_id * 104729) % 4294967296 end as lo from events)
+select event_id, upper(printf('%x', hi)) || '/' || upper(printf('%x', lo)) as lsn, hi * 4294967296 + lo as value, cast(sign(hi * 4294967296 + lo - 5 * 4294967296) as bigint) as cmp from v""")
 def lsn_math(t):
-    value = (F.floor(F.col("event_id") * 7919 / 4096).cast("long") * (1 << 32)) + (F.col("event_id") * 104729) % (1 << 32)
-    rows = t.events.where("floor(event_id * 7919 / 4096) <> 5000").select("event_id", K.long_to_lsn(value).alias("lsn"))
-    return rows.select("event_id", "lsn", K.lsn_to_long(F.col("lsn")).alias("value"), K.lsn_compare(F.col("lsn"), F.lit("1388/0")).cast("long").alias("cmp"))
+    low = F.when(F.col("event_id") % 5 == 0, 0).otherwise((F.col("event_id") * 104729) % (1 << 32))
+    value = F.floor(F.col("event_id") * 7919 / 4096).cast("long") * (1 << 32) + low
+    rows = t.events.select("event_id", K.long_to_lsn(value).alias("lsn"))
+    return rows.select("event_id", "lsn", K.lsn_to_long(F.col("lsn")).alias("value"), K.lsn_compare(F.col("lsn"), F.lit("5/0")).cast("long").alias("cmp"))
 
 
 @query("batch_budget", """with s as (select avg(strlen('{"event_id":' || event_id || '}')) as m, count(*) as n from events), k as (select n, greatest(1, cast(ceil(m * 100 / 1024) as bigint)) as kib from s)

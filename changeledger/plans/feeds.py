@@ -168,10 +168,10 @@ def commit_timestamps(t):
     return t.events.select("event_id", F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("at"))
 
 
-@query("event_start", "select event_id, case when event_id % 5 = 0 then event_id else greatest(4, event_id * 3 - user_id) end as pos from events where user_id > 0 and event_id > 0")
+@query("event_start", "select event_id, case when event_id = 0 then 4 when event_id % 5 = 0 then event_id when user_id = 0 then event_id * 3 else greatest(4, event_id * 3 - user_id) end as pos from events")
 def event_start(t):
     e = F.col("event_id")
-    return t.events.where("user_id > 0 and event_id > 0").select("event_id", S.event_start_pos(F.when(e % 5 != 0, e * 3), F.col("user_id"), e).alias("pos"))
+    return t.events.select("event_id", S.event_start_pos(F.when(e % 5 != 0, e * 3), F.col("user_id"), e).alias("pos"))
 
 
 @query("rename_positional", "select event_id, case when event_id % 2 = 0 then 'id,kind' else 'UNKNOWN_COL0,other' end as names from events")
@@ -194,10 +194,13 @@ def pg_values(t):
     return t.events.select("event_id", D.pg_value_json(pick(*map(F.lit, "ntttb")), payload, pick(*map(F.lit, (20, 20, 16, 1700, 17)))).alias("json"))
 
 
-@query("tag_restore", "select event_id, 'decimal' as type, cast(cast(value as decimal(18,2)) as varchar) as value, true as same from events")
+@query("tag_restore", """with e as (select *, cast(value as decimal(18,2)) as d from events) select event_id, 'decimal' as type, cast(d as varchar) as value,
+ case when event_id % 3 = 0 then 'null' else 'datetime' end as time_type, case when event_id % 3 > 0 then strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') end as time_value, lower(hex(cast(event_type as blob))) as raw, true as same from e""")
 def tag_restore(t):
-    tagged = t.events.select("event_id", "value", D.tag_value(F.col("value"), "decimal").alias("g"))
-    return tagged.select("event_id", "g.type", "g.value", (D.restore_value(F.col("g"), "decimal") == F.col("value")).alias("same"))
+    tagged = {"decimal": F.col("value"), "datetime": F.when(F.col("event_id") % 3 > 0, F.col("ts").cast("timestamp")), "bytes": F.col("event_type").cast("binary")}
+    rows = t.events.select("event_id", *[c.alias(f"{k}_c") for k, c in tagged.items()], *[D.tag_value(c, k).alias(k) for k, c in tagged.items()])
+    back = [D.restore_value(F.col(k), k).eqNullSafe(F.col(f"{k}_c")) for k in tagged]
+    return rows.select("event_id", "decimal.type", "decimal.value", F.col("datetime.type").alias("time_type"), F.col("datetime.value").alias("time_value"), F.col("bytes.value").alias("raw"), (back[0] & back[1] & back[2]).alias("same"))
 
 
 FLEET = "select concat('s', c_custkey) as source_id, c_custkey as n, c_custkey % 7 <> 0 as enabled, case when c_custkey % 3 = 0 then 'none' else 'full' end as backfill_mode, case when c_custkey % 11 = 0 then 'logminer' else 'watermark' end as capture_mode from {customer}"
@@ -276,11 +279,15 @@ def replica_identity_drift(t):
     return specs.replica_identity_drift(t.sql(SPECS), held)
 
 
-@query("union_candidates", "select o_orderkey as k, 'orders' as src from orders union all select event_id, 'events' from events")
+@query("union_candidates", "select '{\"o_orderkey\":' || o_orderkey || '}' as pk, 'sales.orders' as tbl from orders union all select '{\"event_id\":' || event_id || '}', 'app.events' from events")
 def union_candidates(t):
-    return t.orders.select(F.col("o_orderkey").alias("k"), F.lit("orders").alias("src")).unionByName(t.events.select(F.col("event_id").alias("k"), F.lit("events").alias("src")))
+    from changeledger.plans.capture import EVENTS, ORDERS, SOURCE
+    from changeledger.sources import snapshot as N
 
+    parts = [N.candidates(t.orders, ORDERS, SOURCE, 0), N.candidates(t.events, EVENTS, SOURCE, 1).drop("state")]
+    return N.union_candidates(parts).select(F.col("primary_key").alias("pk"), F.col("table_key").alias("tbl"))
 
-@query("read_source", "select n_nationkey, n_name from nation")
+
+@query("read_source", "select o_orderkey, o_orderstatus from orders")
 def read_source(t):
-    return specs.read_source(t.spark, "parquet", {"path": f"{t.sf_dir}/nation.parquet"}).select("n_nationkey", "n_name")
+    return specs.read_source(t.spark, "parquet", {"path": f"{t.sf_dir}/orders.parquet"}).select("o_orderkey", "o_orderstatus")

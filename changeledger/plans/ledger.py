@@ -15,14 +15,16 @@ from changeledger.plans.base import query
 CFG = L.LedgerConfig("me", 3, 4)
 FINAL = L.LedgerConfig("me", 3, 4, True)
 
-#: Responses derived from the orders: k is the key; many rules are broken on purpose.
+#: Responses derived from the orders: k is the key; many rules are broken on purpose, and many requests are answered twice.
 EXPECTED = "select o_orderkey as k, concat('s', o_custkey % 20) as source_id, concat('ref', o_orderkey) as external_ref, o_orderkey as seq, concat('t', o_orderkey) as checkpoint_token from {orders}"
 PREPARED = """select concat('q', o_orderkey) as request_id, concat('ref', o_orderkey, if(o_orderkey % 97 = 5, 'x', '')) as external_ref_hash, concat('h', o_orderkey) as object_hash, concat('r', o_orderkey) as root_hash, 'm' as manifest_hash, cast(o_orderkey % 100 as int) as leaf_count, 'verif' as verification_account,
  named_struct('contract', if(o_orderkey % 89 = 3, 'bad', 'verif'), 'action', if(o_orderkey % 83 = 3, 'other', {action}), 'data', if(o_orderkey % 101 = 1, null, named_struct('submitter', if(o_orderkey % 79 = 2, 'you', 'me'), 'schema_id', if(o_orderkey % 17 = 0, 9, 3), 'policy_id', if(o_orderkey % 23 = 0, 9, 4),
   'external_ref', concat('ref', o_orderkey), 'object_hash', if(o_orderkey % 29 = 0, 'zz', concat('h', o_orderkey)), 'root_hash', if(o_orderkey % 31 = 0, 'zz', concat('r', o_orderkey)), 'manifest_hash', 'm', 'leaf_count', cast(if(o_orderkey % 37 = 0, -5, o_orderkey % 100) as int)))) as prepared_action from {orders} where o_orderkey % 10 <> 0"""
 BROADCASTS = """select concat('q', o_orderkey) as request_id, concat('x', o_orderkey) as tx_id, if(o_orderkey % 7 = 0, 0L, o_orderkey) as block_num,
- case when o_orderkey % 7 = 0 then if(o_orderkey % 2 = 0, 'request timed out', 'duplicate request for submitter me') when o_orderkey % 43 = 1 then 'timed out' end as error from {orders}"""
-RECEIPTS = "select concat('q', o_orderkey) as request_id, concat('y', o_orderkey) as tx_id, o_orderkey + 1 as block_num, if(o_orderkey % 4 = 0, 'finalized', 'pending') as trust_state, o_orderkey % 5 <> 0 as finality_flag, cast(null as string) as finalized_at from {orders} where o_orderkey % 3 <> 0"
+ case when o_orderkey % 7 = 0 then if(o_orderkey % 2 = 0, 'request timed out', 'duplicate request for submitter me') when o_orderkey % 43 = 1 then 'timed out' end as error from {orders}""" + """
+ union all select concat('q', o_orderkey), 'early', 0L, 'timed out' from {orders} where o_orderkey % 9 = 0"""
+RECEIPTS = "select concat('q', o_orderkey) as request_id, concat('y', o_orderkey) as tx_id, o_orderkey + 1 as block_num, if(o_orderkey % 4 = 0, 'finalized', 'pending') as trust_state, o_orderkey % 5 <> 0 as finality_flag, cast(null as string) as finalized_at from {orders} where o_orderkey % 3 <> 0" + """
+ union all select concat('q', o_orderkey), 'early', 0L, 'pending', false, null from {orders} where o_orderkey % 3 <> 0 and o_orderkey % 6 = 1"""
 AUDIT = "select concat('q', o_orderkey) as request_id from {orders} where o_orderkey % 2 = 0 or o_orderkey % 7 = 0"
 PRIOR = """select concat('p', o_orderkey) as request_id, concat('s', o_custkey % 20) as source_id, concat('ref', o_orderkey) as external_ref, case o_orderkey % 13 when 0 then 'finalized_exported' when 1 then 'broadcast_included' else 'failed' end as status,
  concat('x', o_orderkey) as tx_id, 'act' as prepared_action, cast(o_orderdate as string) as updated_at from {orders} where o_orderkey % 13 < 3"""
@@ -34,7 +36,10 @@ FINALIZED = "(k % 3 <> 0 and (k % 4 = 0 or k % 5 <> 0) and (k % 2 = 0 or k % 7 =
 
 
 def prepared(t, batch=False):
-    return t.sql(PREPARED.replace("{action}", "'submitroot'" if batch else "'submit'"))
+    """Responses; every eleventh request was asked before, and its first answer is broken."""
+    rows = t.sql(PREPARED.replace("{action}", "'submitroot'" if batch else "'submit'"))
+    early = rows.where("cast(substring(request_id, 2) as bigint) % 11 = 0").withColumns({"request_id": F.concat(F.lit("a"), "request_id"), "verification_account": F.lit("none")})
+    return rows.unionByName(early)
 
 
 def responses(t):

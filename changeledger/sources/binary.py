@@ -9,10 +9,11 @@ from __future__ import annotations
 import struct
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeledger.functions.decode import pg_value_json
+from changeledger.operators.prefix import running_within
 from changeledger.shipping import ship
 
 RELATION = "seq long, relid long, schema string, table string, columns array<struct<name:string,oid:long,key:boolean>>"
@@ -77,8 +78,9 @@ def asof_relation(tuples: DataFrame, rels: DataFrame) -> DataFrame:
     """tuples (seq, relid, ...) with the latest relation (schema, table, columns) of their relid before them."""
     rel = F.struct("schema", "table", "columns")
     both = tuples.withColumn("__rel", F.lit(None).cast("struct<schema:string,table:string,columns:array<struct<name:string,oid:bigint,key:boolean>>>")).unionByName(rels.select("seq", "relid", rel.alias("__rel")), allowMissingColumns=True)
-    last = F.last("__rel", ignorenulls=True).over(Window.partitionBy("relid").orderBy("seq"))
-    return both.withColumn("__at", last).where("__rel is null").select(*tuples.columns, "__at.*")
+    # A feed has a few hot tables: their rows are spread over partitions, and the last relation is carried on.
+    known = running_within(both, ["seq"], ["relid"], F.col("__rel"), "__at")
+    return known.where("__rel is null").select(*tuples.columns, "__at.*")
 
 
 def decode_binary_feed(feed: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def decode_text_feed(feed: DataFrame) -> DataFrame:
     or its only tuple, an update both where the line holds both.
     """
     data = F.col("data")
-    head = r"(?s)^table\s+([^.\s]+)\.([^:\s]+):\s*(INSERT|UPDATE|DELETE):\s*(.*)$"
+    head = rf"(?s)^table ({D.IDENTIFIER})\.({D.IDENTIFIER}): (INSERT|UPDATE|DELETE): ?(.*)$"
     kind = F.when(data.startswith("BEGIN"), "begin").when(data.startswith("COMMIT"), "commit").when(data.rlike(head), "row").otherwise("other")
     out = feed.withColumn("kind", kind).withColumn("__op", F.regexp_extract(data, head, 3)).withColumn("__body", F.regexp_extract(data, head, 4))
     old, new = F.regexp_extract("__body", _OLD, 1), F.regexp_extract("__body", _OLD, 2)
@@ -54,7 +54,7 @@ def decode_text_feed(feed: DataFrame) -> DataFrame:
     is_row = F.col("kind") == "row"
     before = F.when(F.col("__op") == "DELETE", F.col("__body")).when(split & (F.col("__op") == "UPDATE"), old)
     after = F.when(F.col("__op") == "INSERT", F.col("__body")).when(F.col("__op") == "UPDATE", F.when(split, new).otherwise(F.col("__body")))
-    named = lambda i: F.when(is_row, F.regexp_extract(data, head, i))
+    named = lambda i: F.when(is_row, D.identifier(F.regexp_extract(data, head, i)))
     return out.withColumns({"schema": named(1), "table": named(2), "operation": F.when(is_row, F.lower("__op")), "before": D.text_image(before), "after": D.text_image(after)}).drop("__op", "__body")
 
 

@@ -11,7 +11,7 @@ from changeledger.functions import canonical as C
 from changeledger.functions import tokens as K
 from changeledger.model import EVENT_COLUMNS, KeySpec, SourceSpec, TableSpec
 from changeledger.operators.keyset import watermark_scan
-from changeledger.operators.prefix import running_last
+from changeledger.operators.prefix import running_last, sequence
 
 
 def cursor_value(df: DataFrame, column: str) -> Column:
@@ -65,14 +65,34 @@ def snapshot(frames: dict[str, DataFrame], specs: list[TableSpec], source: Sourc
         parts.append(candidates(page, spec, source, i))
         if spec.key in state:
             given[spec.key] = _given(state[spec.key])
-    rows = reduce(DataFrame.unionByName, parts)
+    rows = union_candidates(parts)
     keys = [s.key for s in specs]
-    run = running_last(rows, ["order_time", "order_table", "order_pk"], "table_key", keys, F.col("state"))
+    if len(specs) == 1:  # the last cursor of the only table is each row's own
+        run = rows.withColumn("__state", F.array("state"))
+    else:
+        run = running_last(rows, ORDERS["watermark"], "table_key", keys, F.col("state"))
     shown = [F.concat(F.lit(f'"{k}": '), F.coalesce(F.col("__state")[keys.index(k)], F.lit(given.get(k)).cast("string"))) for k in sorted(keys)]
     token = F.concat(F.lit("{"), F.concat_ws(", ", *shown), F.lit("}"))
     return run.withColumn("checkpoint_token", token).select(*EVENT_COLUMNS, "order_time", "order_table", "order_pk")
 
 
+def union_candidates(parts: list[DataFrame]) -> DataFrame:
+    """Candidates of several tables as one table, by column name; columns that a part lacks are null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def join_checkpoints(rows: DataFrame, key: str, cursor: Column, token: Column, keys: dict[str, int]) -> DataFrame:
+    """Fleet-wide resume: rows of many tables (named in `key`) behind their table's cursor go; tables without one stay.
+
+    token holds the cursors of `keys` (table to number of key columns); rows compare their first key column, `cursor`,
+    with that of the token. The exploded token has a row per table, and Spark picks the join by its size.
+    """
+    spark = rows.sparkSession
+    state = spark.range(1).select(F.explode(K.decode_watermarks(token, keys)).alias("__key", "s")).select("__key", F.col("s.pk")[0].alias("last"))
+    joined = rows.join(state, rows[key] == state["__key"], "left").drop("__key")
+    return joined.where(F.col("last").isNull() | (cursor > F.col("last").cast("bigint")))
+
+
 def _given(cursor: tuple) -> str:
     import json
 
@@ -154,11 +174,13 @@ def inline_events(items: DataFrame, source: SourceSpec) -> DataFrame:
     return items.select(*made)
 
 
+#: Order columns of events by kind of feed.
+ORDERS = {
+    "watermark": ["order_time", "order_table", "order_pk"], "text": ["commit_timestamp", "schema_or_namespace", "table_or_collection", "primary_key"],
+    "tracking": ["change_version", "table_key", "order_pk"], "redo": ["scn", "rs_id", "ssn", "row_index"], "kv": ["db", "pattern", "key"],
+}
+
+
 def order_events(events: DataFrame, mode: str) -> DataFrame:
-    """Global order by range partitioning. watermark: time, table index, key; text: commit time, schema, table, key as
-    text; tracking: version, table, key; redo: scn, rs_id, ssn; kv: database, pattern, key."""
-    keys = {
-        "watermark": ["order_time", "order_table", "order_pk"], "text": ["commit_timestamp", "schema_or_namespace", "table_or_collection", "primary_key"],
-        "tracking": ["change_version", "table_key", "order_pk"], "redo": ["scn", "rs_id", "ssn", "row_index"], "kv": ["db", "pattern", "key"],
-    }
-    return events.orderBy(*keys[mode])
+    """events with seq, their place in the global order of a feed (unique), found without one big partition."""
+    return sequence(events, ORDERS[mode])

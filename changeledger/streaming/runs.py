@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -21,28 +21,44 @@ def stream_feed(spark: SparkSession, path: str, schema, decode: Callable[[DataFr
     return decode(rows) if decode else rows
 
 
-def deliver_batch(sink: str, key: list[str] = ("source_id", "external_ref")) -> Callable[[DataFrame, int], None]:
+#: Partitions of a delivery ledger by a hash of the key, so that a batch reads only those it may meet.
+BUCKETS = 64
+
+
+def deliver_batch(sink: str, key: Sequence[str] = ("source_id", "external_ref"), stream: str = "main") -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that appends only events the ledger does not hold.
 
-    Rows carry the batch id: a batch that runs again after a crash compares with what other batches wrote and
-    replaces its own rows, so no event is lost or doubled.
+    Rows carry the stream, the run (the id that a query keeps with its checkpoint) and the batch id. A batch that runs
+    again after a crash compares with what all others wrote and replaces its own rows; another stream, or the same one
+    after its checkpoint was reset, never replaces them. So no event is lost or doubled.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         jpath = spark._jvm.org.apache.hadoop.fs.Path(sink)
-        fresh = batch.dropDuplicates(list(key))
-        if jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
-            known = spark.read.parquet(sink).where(F.col("batch_id") != batch_id).select(*key)
-            fresh = fresh.join(known, list(key), "left_anti")
-        fresh.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sink)
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        place = F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).cast("int")
+        fresh = batch.dropDuplicates(list(key)).withColumn("bucket", place).persist()
+        try:
+            if jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
+                met = [r.bucket for r in fresh.select("bucket").distinct().collect()]  # BUCKETS of them at most
+                own = (F.col("stream") == stream) & (F.col("run") == query) & (F.col("batch_id") == batch_id)
+                known = spark.read.parquet(sink).where(F.col("bucket").isin(met) & ~own).select(*key)
+                rows = fresh.join(known, list(key), "left_anti")
+            else:
+                rows = fresh
+            marked = rows.withColumns({"stream": F.lit(stream), "run": F.lit(query), "batch_id": F.lit(batch_id)})
+            replace = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            replace.partitionBy("bucket", "stream", "run", "batch_id").parquet(sink)
+        finally:
+            fresh.unpersist()
 
     return run
 
 
-def run_once(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+def run_once(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Drains what is there and stops."""
-    query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = stream.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
@@ -67,15 +83,20 @@ def drift_check(current: Callable[[SparkSession], DataFrame], on_change: Callabl
     return run
 
 
-def snapshot_every(seconds: float, take: Callable[[SparkSession, int], None], each: Callable[[DataFrame, int], None], clock: Callable[[], float] = time.time) -> Callable[[DataFrame, int], None]:
-    """After a batch, a snapshot if the last one is at least `seconds` old."""
-    last = [None]
+def snapshot_every(
+    seconds: float, take: Callable[[SparkSession, int], None], each: Callable[[DataFrame, int], None], mark: str, clock: Callable[[], float] = time.time
+) -> Callable[[DataFrame, int], None]:
+    """After a batch, a snapshot if the last one is at least `seconds` old; its time is kept at `mark` over restarts."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         each(batch, batch_id)
-        if last[0] is None or clock() - last[0] >= seconds:
-            last[0] = clock()
-            take(batch.sparkSession, batch_id)
+        spark, now = batch.sparkSession, clock()
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(mark)
+        known = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+        last = spark.read.schema("at double").parquet(mark).agg(F.max("at")).first()[0] if known else None
+        if last is None or now - last >= seconds:
+            take(spark, batch_id)
+            spark.createDataFrame([(float(now),)], "at double").coalesce(1).write.mode("append").parquet(mark)
 
     return run
 

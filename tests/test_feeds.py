@@ -51,6 +51,14 @@ def test_binary_feed(spark):
     assert (got[4].operation, got[4].before, got[4].after) == ("delete", {"id": "43", "amount": "null", "raw": "null"}, None)
 
 
+def test_quoted_identifiers(spark):
+    line = 'table "My ""S"""."T.x": UPDATE: old-key: "Id No"[numeric(10,2)]:1.50 new-tuple: "Id No"[numeric(10,2)]:1.50 note[character varying(9)]:\'it\'\'s\' tags[text[]]:\'{a}\' "a:b"["My Type"]:\'x: y[z]:1\''
+    feed = spark.createDataFrame([("0/1", "7", line)], "lsn string, xid string, data string")
+    r = feeds.decode_text_feed(feed).first()
+    assert (r.kind, r.schema, r.table, r.operation) == ("row", 'My "S"', "T.x", "update")
+    assert set(r.before) == {"Id No"} and r.after["note"] == '"it\'s"' and r.after["a:b"] == '"x: y[z]:1"' and set(r.after) == {"Id No", "note", "tags", "a:b"}
+
+
 def test_row_events(spark):
     kind = "array<struct<values:map<string,string>,before_values:map<string,string>,after_values:map<string,string>>>"
     row = lambda i, s: {"id": str(i), "status": s}

@@ -45,6 +45,15 @@ def test_duplicate_submit(spark):
     assert run(spark, broadcast=twice)[0].status == "failed"
 
 
+def test_repeated_answers_count_once(spark):
+    rows = spark.createDataFrame([("q",)], "request_id string")
+    broadcasts = spark.createDataFrame([("q", "t0", 0, "timed out"), ("q", "t1", 5, None)], "request_id string, tx_id string, block_num long, error string")
+    receipts = spark.createDataFrame([("q", "r0", 9, "pending", None, None), ("q", "r1", 7, "finalized", True, None)], RECEIPT)
+    audit = spark.createDataFrame([("q",), ("q",)], "request_id string")
+    got = L.finalize(rows, broadcasts, receipts, audit).collect()
+    assert [(r.tx_id, r.block_num, r.finalized, r.included, r.broadcast_error) for r in got] == [("r1", 7, True, True, None)]
+
+
 def test_gate_and_dlq(spark, tmp_path):
     events = spark.createDataFrame([EVENT], CHANGE_EVENT)
     ready, gated = L.gate_ready(events, spark.createDataFrame([("pg-core", False)], "source_id string, ready boolean"))
@@ -52,11 +61,13 @@ def test_gate_and_dlq(spark, tmp_path):
     rows = L.dlq_rows(gated, F.col("reason"))
     row = rows.first()
     assert row.reason == "source is not ready" and '"identity_key":"' in row.payload and '"after":{"amount":"100.00","status":"issued"}' in row.payload
-    L.write_dlq(rows, f"{tmp_path}/dlq")
-    L.write_dlq(rows, f"{tmp_path}/dlq")
-    assert spark.read.parquet(f"{tmp_path}/dlq").count() == 2
+    for run, total in (("cycle-1", 1), ("cycle-1", 1), ("cycle-2", 2)):  # a retried run doubles nothing
+        L.write_dlq(rows, f"{tmp_path}/dlq", run)
+        assert spark.read.parquet(f"{tmp_path}/dlq").count() == total
     bundles = L.proof_bundles(spark.createDataFrame([("s", "q1"), ("s", "../x")], "source_id string, request_id string"))
-    L.write_bundles(bundles, f"{tmp_path}/proofs")
+    for _ in range(2):
+        L.write_bundles(bundles, f"{tmp_path}/proofs")
+    assert len(list((tmp_path / "proofs" / "source_id=s" / "request_id=q1").glob("*.json"))) == 1
     assert [r.request_id for r in spark.read.json(f"{tmp_path}/proofs").collect()] == ["q1"]
 
 

@@ -30,10 +30,25 @@ def test_forever_with_drift_and_snapshots(spark, tmp_path):
     land(spark, feed, [("s", "a", 1)])
     seen, drift, shots = [], [], []
     clock = iter(range(0, 1000, 10)).__next__
-    each = runs.snapshot_every(15, lambda s, b: shots.append(b), lambda df, b: seen.append(df.count()), clock)
+    each = runs.snapshot_every(15, lambda s, b: shots.append(b), lambda df, b: seen.append(df.count()), f"{tmp_path}/last", clock)
     changed = lambda s: s.createDataFrame([("s", True)], "source_id string, changed boolean")
     query = runs.run_forever(runs.stream_feed(spark, feed, SCHEMA), runs.drift_check(changed, lambda df: drift.append(df.count()), each), f"{tmp_path}/mark", "0 seconds", 1)
     assert not query.isActive and seen == [1] and drift == [1] and shots == [0]
+    # A new process knows the time of the last snapshot: at 10 it is too early, at 20 it is due.
+    again = runs.snapshot_every(15, lambda s, b: shots.append(b), lambda df, b: None, f"{tmp_path}/last", clock)
+    for batch in (1, 2):
+        again(spark.range(1), batch)
+    assert shots == [0, 2]
+
+
+def test_two_streams_and_a_reset_checkpoint_share_a_ledger(spark, tmp_path):
+    """Batch 0 runs three times with other rows: nothing is lost or doubled."""
+    sink = f"{tmp_path}/out"
+    for k, (stream, rows) in enumerate([("a", [("s", "r1", 1), ("s", "r2", 1)]), ("b", [("t", "r9", 1), ("s", "r2", 1)]), ("a", [("s", "r1", 1), ("s", "r3", 1)])]):
+        land(spark, f"{tmp_path}/in{k}", rows)
+        runs.run_once(runs.stream_feed(spark, f"{tmp_path}/in{k}", SCHEMA), runs.deliver_batch(sink, stream=stream), f"{tmp_path}/mark{k}")
+    got = sorted((r.source_id, r.external_ref) for r in spark.read.parquet(sink).collect())
+    assert got == [("s", "r1"), ("s", "r2"), ("s", "r3"), ("t", "r9")]
 
 
 def test_decoded_stream(spark, tmp_path):
