@@ -14,7 +14,7 @@ from changeledger.model import CHANGE_EVENT, EVENT_COLUMNS, KeySpec, SourceSpec,
 from changeledger.operators import batching
 from changeledger.sources import snapshot as N
 
-EVENT = ("pg-core", "postgresql", "erp-1", "ledger", "public", "invoices", "update", '{"id":1001}', "lsn:10/20", "2026-04-17T10:11:12Z", '{"amount":"100.00","status":"issued"}', '{"amount":"100.00","status":"draft"}', '{"txid":44}', "lsn:10/20", "single")
+EVENT = ("pg-core", "postgresql", "erp-1", "ledger", "public", "tickets", "update", '{"id":4711}', "lsn:10/20", "2025-11-03T10:11:12Z", '{"amount":"100.00","status":"issued"}', '{"amount":"100.00","status":"draft"}', '{"txid":44}', "lsn:10/20", "single")
 
 
 def dumps(x):
@@ -32,7 +32,7 @@ def one(df, col):
 def test_envelope(spark):
     row = C.envelope(spark.createDataFrame([EVENT], CHANGE_EVENT)).first()
     e = dict(zip(EVENT_COLUMNS, EVENT))
-    identity = sha(dumps({"source_type": e["source_type"], "source_instance": e["source_instance"], "database_name": "ledger", "schema_or_namespace": "public", "table_or_collection": "invoices", "operation": "update", "primary_key": {"id": 1001}, "change_version": "lsn:10/20"}))
+    identity = sha(dumps({"source_type": e["source_type"], "source_instance": e["source_instance"], "database_name": "ledger", "schema_or_namespace": "public", "table_or_collection": "tickets", "operation": "update", "primary_key": {"id": 4711}, "change_version": "lsn:10/20"}))
     assert (row.identity_key, row.external_ref) == (identity, sha(identity + ":lsn:10/20"))
     assert row.before_hash == sha(e["before"]) and row.after_hash == sha(e["after"]) and row.metadata_hash == sha('{"txid":44}')
     empty = C.envelope(spark.createDataFrame([EVENT[:10] + (None, None, None, "", "single")], CHANGE_EVENT)).first()
@@ -40,9 +40,9 @@ def test_envelope(spark):
 
 
 def test_values(spark):
-    df = spark.createDataFrame([(dt.datetime(2026, 4, 17, 10, 11, 12, 345678), dt.date(2026, 1, 2), Decimal("100.00"), b"\x0a\xff", 'é"\\\n', None, [Decimal("1.50"), None], {"b": 1, "a": None}, True)], "ts timestamp, d date, n decimal(18,2), bin binary, s string, z int, xs array<decimal(5,2)>, m map<string,int>, ok boolean")
+    df = spark.createDataFrame([(dt.datetime(2025, 11, 3, 10, 11, 12, 345678), dt.date(2026, 1, 2), Decimal("100.00"), b"\x0a\xff", 'é"\\\n', None, [Decimal("1.50"), None], {"b": 1, "a": None}, True)], "ts timestamp, d date, n decimal(18,2), bin binary, s string, z int, xs array<decimal(5,2)>, m map<string,int>, ok boolean")
     got = {c: one(df, C.canonical_json(F.struct(F.col(c)), df.select(F.struct(c).alias("v")).schema["v"].dataType)) for c in df.columns}
-    assert got["ts"] == '{"ts":"2026-04-17T10:11:12Z"}' and got["d"] == '{"d":"2026-01-02"}' and got["n"] == '{"n":"100.00"}' and got["bin"] == '{"bin":"0aff"}'
+    assert got["ts"] == '{"ts":"2025-11-03T10:11:12Z"}' and got["d"] == '{"d":"2026-01-02"}' and got["n"] == '{"n":"100.00"}' and got["bin"] == '{"bin":"0aff"}'
     assert got["s"] == dumps({"s": 'é"\\\n'}) and got["z"] == '{"z":null}' and got["xs"] == '{"xs":["1.50",null]}'
     assert one(df, C.canonical_json(F.col("m"), df.schema["m"].dataType)) == '{"a":null,"b":1}'
     with pytest.raises(TypeError):
@@ -59,7 +59,7 @@ def test_batch_ref(spark):
 def test_paging_delivers_each_row_once(spark):
     rows = [(i, f"s{i % 3}", dt.datetime(2026, 4, 20, 8, 0, i // 7)) for i in range(60)]
     df = spark.createDataFrame(rows, "id long, status string, updated_at timestamp")
-    spec = TableSpec("public", "invoices", "updated_at", ("id",))
+    spec = TableSpec("public", "tickets", "updated_at", ("id",))
     from changeledger.operators.keyset import watermark_scan
 
     for limit in (1, 7, 25):
@@ -73,14 +73,14 @@ def test_paging_delivers_each_row_once(spark):
 def test_snapshot_is_stable(spark):
     a = spark.createDataFrame([(1, "issued", dt.datetime(2026, 4, 20, 8)), (2, "paid", dt.datetime(2026, 4, 20, 8, 5)), (3, "late", None)], "id long, status string, updated_at timestamp")
     b = spark.createDataFrame([(9, dt.datetime(2026, 4, 20, 8, 2, 0, 250))], "id long, updated_at timestamp")
-    specs = [TableSpec("p", "invoices", "updated_at", ("id",)), TableSpec("p", "payments", "updated_at", ("id",))]
-    run = lambda n: N.snapshot({"p.invoices": a.repartition(n), "p.payments": b}, specs, SourceSpec("x", "sqlite")).orderBy("order_time").collect()
+    specs = [TableSpec("p", "tickets", "updated_at", ("id",)), TableSpec("p", "payments", "updated_at", ("id",))]
+    run = lambda n: N.snapshot({"p.tickets": a.repartition(n), "p.payments": b}, specs, SourceSpec("x", "sqlite")).orderBy("order_time").collect()
     got = run(1)
-    assert [r.change_version for r in got] == ["p.invoices:2026-04-20T08:00:00Z:1", "p.payments:2026-04-20T08:02:00Z:9", "p.invoices:2026-04-20T08:05:00Z:2"]
-    assert got[0].checkpoint_token == json.dumps({"p.invoices": {"watermark": "2026-04-20T08:00:00Z", "pk": [1]}}, sort_keys=True)
-    assert got[2].checkpoint_token == json.dumps({"p.invoices": {"watermark": "2026-04-20T08:05:00Z", "pk": [2]}, "p.payments": {"watermark": "2026-04-20T08:02:00.000250Z", "pk": [9]}}, sort_keys=True)
+    assert [r.change_version for r in got] == ["p.tickets:2026-04-20T08:00:00Z:1", "p.payments:2026-04-20T08:02:00Z:9", "p.tickets:2026-04-20T08:05:00Z:2"]
+    assert got[0].checkpoint_token == json.dumps({"p.tickets": {"watermark": "2026-04-20T08:00:00Z", "pk": [1]}}, sort_keys=True)
+    assert got[2].checkpoint_token == json.dumps({"p.tickets": {"watermark": "2026-04-20T08:05:00Z", "pk": [2]}, "p.payments": {"watermark": "2026-04-20T08:02:00.000250Z", "pk": [9]}}, sort_keys=True)
     assert got == run(5)
-    kept = N.snapshot({"p.invoices": a, "p.payments": b}, specs, SourceSpec("x", "sqlite"), {"p.payments": (dt.datetime(2026, 4, 21), 9)}).orderBy("order_time").first()
+    kept = N.snapshot({"p.tickets": a, "p.payments": b}, specs, SourceSpec("x", "sqlite"), {"p.payments": (dt.datetime(2026, 4, 21), 9)}).orderBy("order_time").first()
     assert json.loads(kept.checkpoint_token)["p.payments"] == {"pk": [9], "watermark": "2026-04-21T00:00:00Z"}
 
 
@@ -92,18 +92,18 @@ def test_chunks_do_not_depend_on_partitions(spark):
 
 
 def test_tokens(spark):
-    df = spark.createDataFrame([("mysql-bin.000001", 188, 1, "é")], "f string, p long, i int, bad string")
+    df = spark.createDataFrame([("rows.017", 188, 1, "é")], "f string, p long, i int, bad string")
     token = one(df, K.binlog_token(F.col("f"), F.col("p"), F.col("i")))
-    assert token == json.dumps({"mode": "binlog", "log_file": "mysql-bin.000001", "log_pos": 188, "row_index": 1}, sort_keys=True)
+    assert token == json.dumps({"mode": "binlog", "log_file": "rows.017", "log_pos": 188, "row_index": 1}, sort_keys=True)
     assert one(df, K.decode_token(F.lit(token), "binlog"))["log_pos"] == 188 and one(df, K.decode_token(F.lit(token), "trigger_cdc")) is None and one(df, K.decode_token(F.lit("{bad"), "logical_cdc")) is None
     for bad in (K.text(F.col("bad")), K.decode_token(F.lit("{bad"), "logical_cdc", strict=True), K.decode_watermarks(F.lit('{"a.b": {"pk": [1], "watermark": "x"}}'), {"a.b": 2})):
         with pytest.raises(Exception):  # noqa: B017
             one(df, bad)
-    assert one(df, K.lsn_to_long(F.lit("FF/16B6A28"))) == (0xFF << 32) + 0x16B6A28 and one(df, K.long_to_lsn(F.lit((0xFF << 32) + 0x16B6A28))) == "FF/16B6A28"
+    assert one(df, K.lsn_to_long(F.lit("FF/2F00C10"))) == (0xFF << 32) + 0x2F00C10 and one(df, K.long_to_lsn(F.lit((0xFF << 32) + 0x2F00C10))) == "FF/2F00C10"
 
 
 def test_decoding(spark):
-    df = spark.createDataFrame([(dt.datetime(2026, 4, 17, 12, 0, 0, 5), Decimal("1.50"), b"\x01")], "t timestamp, n decimal(5,2), b binary")
+    df = spark.createDataFrame([(dt.datetime(2025, 11, 3, 12, 0, 0, 5), Decimal("1.50"), b"\x01")], "t timestamp, n decimal(5,2), b binary")
     for c, tag in (("t", "datetime"), ("n", "decimal"), ("b", "bytes")):
         assert one(df, D.restore_value(D.tag_value(F.col(c), tag), tag) == F.col(c))
     with pytest.raises(Exception, match="another type"):

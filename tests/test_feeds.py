@@ -7,20 +7,20 @@ from changeledger.operators import assemble as A
 from changeledger.sources import feeds, specs
 from changeledger.sources.binary import decode_binary_feed
 
-INSERT = "table public.invoices: INSERT: id[bigint]:{} status[text]:'{}' updated_at[timestamp with time zone]:'2026-04-17 12:00:01+00'"
+INSERT = "table public.tickets: INSERT: id[bigint]:{} status[text]:'{}' updated_at[timestamp with time zone]:'2025-11-03 12:00:01+00'"
 
 
 def test_text_transaction(spark):
-    rows = [(1, "0/16B6A28", "736", "BEGIN"), (2, "0/16B6A28", "736", INSERT.format(1, "draft")), (3, "0/16B6A28", "736", INSERT.format(2, "issued")), (4, "0/16B6A40", "736", "COMMIT")]
+    rows = [(1, "0/2F00C10", "905", "BEGIN"), (2, "0/2F00C10", "905", INSERT.format(1, "draft")), (3, "0/2F00C10", "905", INSERT.format(2, "issued")), (4, "0/16B6A40", "905", "COMMIT")]
     feed = feeds.decode_text_feed(spark.createDataFrame(rows, "seq long, lsn string, xid string, data string"))
     got = A.assemble_transactions(feed).orderBy("seq").collect()
     assert [(r.event_index, r.total, r.commit_lsn, r.advance) for r in got] == [(1, 2, "0/16B6A40", False), (2, 2, "0/16B6A40", True)]
-    assert got[0].after == {"id": "1", "status": '"draft"', "updated_at": '"2026-04-17 12:00:01+00"'} and (got[0].schema, got[0].table) == ("public", "invoices")
+    assert got[0].after == {"id": "1", "status": '"draft"', "updated_at": '"2025-11-03 12:00:01+00"'} and (got[0].schema, got[0].table) == ("public", "tickets")
     first = A.limit_events(A.assemble_transactions(feed), 1).collect()
     assert [(r.event_index, r.advance) for r in first] == [(1, False)]
-    assert [r.event_index for r in A.limit_events(A.assemble_transactions(feed), 1, ("736", 1)).collect()] == [2]
+    assert [r.event_index for r in A.limit_events(A.assemble_transactions(feed), 1, ("905", 1)).collect()] == [2]
     carried = A.carry_xid(feed.withColumn("xid", F.when(F.col("kind") != "row", F.col("xid")))).orderBy("seq").collect()
-    assert [r.xid for r in carried] == ["736"] * 4
+    assert [r.xid for r in carried] == ["905"] * 4
 
 
 def tuple_(*values):
@@ -30,7 +30,7 @@ def tuple_(*values):
     return out
 
 
-def relation(relid, columns, table=b"invoices"):
+def relation(relid, columns, table=b"tickets"):
     out = b"R" + struct.pack(">I", relid) + b"public\0" + table + b"\0f" + struct.pack(">h", len(columns))
     return out + b"".join(struct.pack(">b", k) + n + b"\0" + struct.pack(">Ii", oid, -1) for k, n, oid in columns)
 
@@ -45,7 +45,7 @@ def test_binary_feed(spark):
     rows = [(i, f"0/{i:X}", "7", bytearray(m)) for i, m in enumerate(msgs)]
     got = decode_binary_feed(spark.createDataFrame(rows, "seq long, lsn string, xid string, data binary")).orderBy("seq").collect()
     assert [r.kind for r in got] == ["begin", "row", "row", "row", "row", "commit"]
-    assert (got[1].operation, got[1].table, got[1].before, got[1].after) == ("insert", "invoices", None, {"id": "42", "note": '"é"'})
+    assert (got[1].operation, got[1].table, got[1].before, got[1].after) == ("insert", "tickets", None, {"id": "42", "note": '"é"'})
     assert (got[2].before, got[2].after, got[2].unchanged_columns) == ({"id": "42", "note": "null"}, {"id": "42", "note": "null"}, ["note"])
     assert (got[3].table, got[3].after) == ("bills", {"id": "43", "amount": '"1.50"', "raw": '"0aff"'})
     assert (got[4].operation, got[4].before, got[4].after) == ("delete", {"id": "43", "amount": "null", "raw": "null"}, None)
@@ -63,22 +63,22 @@ def test_row_events(spark):
     kind = "array<struct<values:map<string,string>,before_values:map<string,string>,after_values:map<string,string>>>"
     row = lambda i, s: {"id": str(i), "status": s}
     rows = [
-        ("mysql-bin.000001", 188, "write", "app", "invoices", [(row(1, "draft"), None, None), (row(2, "issued"), None, None)]),
-        ("mysql-bin.000001", 240, "update", "app", "invoices", [(None, row(2, "issued"), row(2, "archived"))]), ("mysql-bin.000001", 300, "delete", "app", "other", [(row(9, "x"), None, None)]),
+        ("rows.017", 188, "write", "app", "tickets", [(row(1, "draft"), None, None), (row(2, "issued"), None, None)]),
+        ("rows.017", 240, "update", "app", "tickets", [(None, row(2, "issued"), row(2, "archived"))]), ("rows.017", 300, "delete", "app", "other", [(row(9, "x"), None, None)]),
     ]
     feed = spark.createDataFrame(rows, f"log_file string, log_pos long, type string, schema string, table string, rows {kind}")
-    got = feeds.row_events(feed, spark.createDataFrame([("app", "invoices")], "schema string, table string"), ("mysql-bin.000001", 188, 1)).orderBy("log_pos").collect()
+    got = feeds.row_events(feed, spark.createDataFrame([("app", "tickets")], "schema string, table string"), ("rows.017", 188, 1)).orderBy("log_pos").collect()
     assert [(r.operation, r.after["id"], r.after["status"]) for r in got] == [("insert", "2", "issued"), ("update", "2", "archived")]
 
 
 def test_tracking_pages_inside_a_version(spark):
     changes = spark.createDataFrame([(101, "I", 1), (101, "U", 2), (102, "D", 3)], "change_version long, operation string, id long")
     table = spark.createDataFrame([(1, "a"), (2, "b")], "id long, status string")
-    page = feeds.change_tracking(changes, table, ["id"], "dbo.invoices", 0, row_limit=2).orderBy("change_version", "id").collect()
+    page = feeds.change_tracking(changes, table, ["id"], "dbo.tickets", 0, row_limit=2).orderBy("change_version", "id").collect()
     assert page[1].checkpoint_token == '{"mode": "change_tracking", "version": 101}' and page[1].current.status == "b"
-    first = feeds.change_tracking(changes, table, ["id"], "dbo.invoices", 0, row_limit=1).first()
-    assert first.checkpoint_token == '{"mode": "change_tracking", "pk": [1], "table_key": "dbo.invoices", "version": 101}'
-    rest = feeds.change_tracking(changes, table, ["id"], "dbo.invoices", 0, state=(101, 1)).orderBy("change_version").collect()
+    first = feeds.change_tracking(changes, table, ["id"], "dbo.tickets", 0, row_limit=1).first()
+    assert first.checkpoint_token == '{"mode": "change_tracking", "pk": [1], "table_key": "dbo.tickets", "version": 101}'
+    rest = feeds.change_tracking(changes, table, ["id"], "dbo.tickets", 0, state=(101, 1)).orderBy("change_version").collect()
     assert [(r.id, r.operation, r.current is None) for r in rest] == [(2, "update", False), (3, "delete", True)]
     with pytest.raises(ValueError, match="changes since version 5"):
         feeds.change_tracking(changes, table, ["id"], "k", 5, min_valid=9)
@@ -92,14 +92,14 @@ def test_redo_members(spark):
 
 def test_specs(spark):
     schema = spark.createDataFrame([], "ID long, Updated_At timestamp, status string").schema
-    found = specs.resolve_specs({"main": {"invoices": schema}}, {"main": ["invoices"]}, {"primary_key_columns": ["id"]}, "sqlite")
+    found = specs.resolve_specs({"main": {"tickets": schema}}, {"main": ["tickets"]}, {"primary_key_columns": ["id"]}, "sqlite")
     assert found[0].watermark == "Updated_At" and found[0].pk == ("ID",) and found[0].commit_column == "Updated_At"
-    assert specs.resolve_specs({"main": {"invoices": schema}}, {"main": ["invoices"]}, {}, "sqlite", {"main": ["invoices"]}) == []
+    assert specs.resolve_specs({"main": {"tickets": schema}}, {"main": ["tickets"]}, {}, "sqlite", {"main": ["tickets"]}) == []
     for options, kind, said in (({"primary_key_columns": ["id"]}, "postgresql", "no column updated_at"), ({}, "sqlite", "no primary key"), ({"primary_key_columns": ["x"]}, "sqlite", "no column x")):
         with pytest.raises(ValueError, match=said):
-            specs.resolve_specs({"main": {"invoices": schema}}, {"main": ["invoices"]}, options, kind)
+            specs.resolve_specs({"main": {"tickets": schema}}, {"main": ["tickets"]}, options, kind)
     with pytest.raises(ValueError, match="does not exist"):
-        specs.resolve_specs({"main": {}}, {"main": ["invoices"]})
+        specs.resolve_specs({"main": {}}, {"main": ["tickets"]})
 
 
 def test_readers(spark, tmp_path):
