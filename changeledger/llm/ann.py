@@ -187,6 +187,9 @@ def _search(rows: DataFrame, asked: DataFrame, k: int, n: int) -> DataFrame:
     mine = members.groupBy(F.col("vec_id").alias("__id")).agg(F.count("*").alias("own"))
     asked = asked.dropDuplicates(["vec_id", "v"])
     asked = asked.join(mine, asked.vec_id == mine["__id"], "left").select("vec_id", "v", F.coalesce("own", F.lit(0)).alias("own"))
+    # A query is a small row but a long walk through the tree, so tasks are not joined by their bytes.
+    tasks = min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(1, n // 64))
+    asked = asked.repartition(tasks, "vec_id")
     probes = scratch.save(asked.mapInArrow(probe, "query_id long, q array<double>, cell long, parts int, leaves array<long>"), "probes")
     asks = probes.groupBy("cell").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("asks"))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
