@@ -47,3 +47,9 @@ word as (select doc_id, unnest(w) as x, unnest(range(1, len(w) + 1)) as p from d
 kept as (select doc_id, count(*) as n, string_agg(x, ' ' order by p) as t from word anti join gone using (doc_id, p) group by doc_id)
 select d.doc_id, len(d.w) as n_words, len(d.w) - coalesce(kept.n, 0) as n_removed, sha256(coalesce(kept.t, '')) as kept_sha256 from d left join kept using (doc_id)
 """
+
+OP13 = r"""
+with d as (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+best as (select doc_id, t, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size from d)
+select doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept, sha256(t) as text_sha256 from best
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changeledger.llm import ann, flac, mixing, oracles, packing, repair, secrets, simhash, substring, toxicity, urls
+from changeledger.llm import ann, exact, flac, mixing, oracles, packing, repair, secrets, simhash, spelling, substring, toxicity, turns, urls
 from changeledger.llm.common import table
 
 
@@ -47,6 +47,18 @@ def op3_flac(spark, sf_dir):
     return flac.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"), damage=97)
+
+
+def op12_turns(spark, sf_dir):
+    return turns.repair_conversations(table(spark, sf_dir, "conversations"), damage=True)
+
+
+def op13_exact(spark, sf_dir):
+    return exact.find_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_flac": op3_flac,
     "op4_toxicity": op4_toxicity,
@@ -56,5 +68,10 @@ QUERIES = {
     "op9_urls": op9_urls,
     "op6_repair": op6_repair,
     "op7_packing": op7_packing,
-    "op10_substring": op10_substring, "op1_simhash": op1_simhash}
-ORACLE_SQL = {"op9_urls": oracles.OP9, "op10_substring": oracles.OP10}
+    "op10_substring": op10_substring,
+    "op1_simhash": op1_simhash,
+    "op11_spelling": op11_spelling,
+    "op12_turns": op12_turns,
+    "op13_exact": op13_exact,
+}
+ORACLE_SQL = {"op9_urls": oracles.OP9, "op10_substring": oracles.OP10, "op13_exact": oracles.OP13}
