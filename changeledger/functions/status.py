@@ -94,7 +94,9 @@ def should_mark_failed(text: Column, block_num: Column, prior_status: Column, pr
 
 
 def receipt_is_finalized(trust_state: Column, finality_flag: Column, finalized_at: Column) -> Column:
-    return F.coalesce(trust_state.isin("finalized", "finalized_verified"), F.lit(False)) | F.coalesce(finality_flag, F.lit(False)) | finalized_at.isNotNull()
+    """Whether a receipt is final by its trust state, in any letter case, its flag, or a time of finality that is not empty."""
+    trusted = F.lower(trust_state).isin("finalized", "finalized_verified")
+    return F.coalesce(trusted, F.lit(False)) | F.coalesce(finality_flag, F.lit(False)) | F.coalesce(finalized_at.cast("string") != "", F.lit(False))
 
 
 def backoff_delay(streak: Column, base: float = 0.5, most: float = 10.0) -> Column:
@@ -120,8 +122,8 @@ def max_severity(severity: Column) -> Column:
 
 
 def safe_name(name: Column) -> Column:
-    """A plain path component."""
-    return F.coalesce(name.rlike(r"^[^/\\\x00]+$") & ~name.isin(".", ".."), F.lit(False))
+    """A plain path component: not blank, and no dots alone, blanks around them aside."""
+    return F.coalesce(name.rlike(r"^[^/\\\x00]+$") & ~F.regexp_replace(name, r"^\s+|\s+$", "").isin("", ".", ".."), F.lit(False))
 
 
 def validate_images(operation: Column, pk: Column, request_id: Column, numbers: list[Column] = ()) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeledger.operators.ledger import keep_newest
+from changeledger.operators.retention import keep_newest
 
 MANIFEST = "kind string, source_id string, path string, created_at timestamp, size long, severity string, contract_version string"
 

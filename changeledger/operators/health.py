@@ -88,11 +88,14 @@ def source_report(status: DataFrame, health: DataFrame, coverage: DataFrame, slo
 
 
 def failure_streaks(attempts: DataFrame) -> DataFrame:
-    """attempts (source_id, at, ok) with streak: failures in a row up to and with this attempt, since the last success.
+    """attempts (source_id, at, ok, perhaps error) with streak: failures in a row up to and with this attempt, since the
+    last success.
 
-    at is unique within a source. A source with very many attempts is spread over partitions.
+    Attempts of one time go by ok, failures first, and then by error. A source with very many attempts is spread over
+    partitions.
     """
-    return since_last(attempts, ["at"], ["source_id"], F.coalesce("ok", F.lit(False)), "streak")
+    order = [c for c in ("at", "ok", "error") if c in attempts.columns]
+    return since_last(attempts, order, ["source_id"], F.coalesce("ok", F.lit(False)), "streak")
 
 
 def recent_errors(attempts: DataFrame, k: int = 5) -> DataFrame:

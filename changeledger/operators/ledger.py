@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from changeledger.functions import canonical as C
 from changeledger.functions import status as S
+from changeledger.model import CHANGE_EVENT, EVENT_COLUMNS
 
 #: Statuses that a later run can resume, best last.
 STATUSES = ("prepared_registered", "broadcast_included", "finalized_exported")
@@ -24,10 +26,23 @@ class LedgerConfig:
     wait_for_finality: bool = False
 
 
+def _ordered(kind: DataType) -> bool:
+    """Whether values of a type can be compared."""
+    if isinstance(kind, ArrayType):
+        return _ordered(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_ordered(f.dataType) for f in kind)
+    return not isinstance(kind, (MapType, VariantType))
+
+
 def upsert_latest(log: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """Latest row per key of an append-only log: whole rows win, as one maximum that combines before the shuffle."""
+    """Latest row per key of an append-only log: whole rows win, as one maximum that combines before the shuffle.
+
+    Of rows with equal order the one with the greatest remaining columns wins, maps and variants aside.
+    """
     rest = [c for c in log.columns if c not in key]
-    best = log.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("__r"))
+    ties = [f.name for f in log.schema if f.name in rest and f.name not in order and _ordered(f.dataType)]
+    best = log.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(*order, *ties)).alias("__r"))
     return best.select(*key, *[F.col(f"__r.{c}") for c in rest]).select(*log.columns)
 
 
@@ -165,14 +180,31 @@ def reconcile_queue(deliveries: DataFrame, sources: DataFrame, limit: int = 0) -
     return queue.limit(limit) if limit > 0 else queue
 
 
+def stored_events(deliveries: DataFrame) -> DataFrame:
+    """(request_id, trace_id, event columns, envelope columns): events and envelopes rebuilt from stored payloads; the stored trace id stays."""
+    event = F.from_json("event_payload", CHANGE_EVENT).alias("e")
+    rows = deliveries.where("event_payload is not null").select("request_id", "trace_id", event)
+    rows = rows.select("request_id", F.col("trace_id").alias("__trace"), *[F.col(f"e.{c}") for c in EVENT_COLUMNS])
+    return C.envelope(rows).withColumn("trace_id", F.col("__trace")).drop("__trace")
+
+
 def reconcile(deliveries: DataFrame, sources: DataFrame, broadcasts: DataFrame, receipts: DataFrame, audit: DataFrame, limit: int = 0) -> DataFrame:
     """The queue with its new status: finalized where receipt and audit chain are final, else unchanged with last_error.
 
-    trace_id and event_payload stay as stored.
+    Only rows that store their prepared action and event payload can be finalized; the others stay as they are, with
+    checked false. Transaction and block of a queued row stay where no answer has others. stored_events() rebuilds the
+    events and envelopes for export.
     """
-    queue = reconcile_queue(deliveries, sources, limit).drop("tx_id", "block_num")
-    out = finalize(queue, broadcasts, receipts, audit)
-    return out.withColumns({"reconciled": F.col("finalized"), "last_error": F.when(~F.col("finalized"), F.lit("not final")), "status": F.when(F.col("finalized"), "finalized_exported").otherwise(F.col("status"))})
+    queue = reconcile_queue(deliveries, sources, limit)
+    old = {c: f"__{c}" for c in ("tx_id", "block_num", "last_error") if c in queue.columns}
+    out = finalize(queue.withColumnsRenamed(old), broadcasts, receipts, audit)
+    whole = F.col("prepared_action").isNotNull() & F.col("event_payload").isNotNull()
+    final = whole & F.col("finalized")
+    before = lambda c: F.col(old[c]) if c in old else F.lit(None)
+    kept = {c: F.when(whole, F.coalesce(c, before(c))).otherwise(before(c)) for c in ("tx_id", "block_num")}
+    error = F.when(whole & ~F.col("finalized"), F.lit("not final")).when(~whole, before("last_error"))
+    status = F.when(final, "finalized_exported").otherwise(F.col("status"))
+    return out.withColumns({"checked": whole, "reconciled": final, "last_error": error, "status": status, **kept}).drop(*old.values())
 
 
 def advance_checkpoints(results: DataFrame) -> DataFrame:
@@ -238,17 +270,3 @@ def list_ledger(log: DataFrame, order: str, source_id: str | None = None, descen
     """Ledger rows in their listing order, of one source if given."""
     rows = log if source_id is None else log.where(F.col("source_id") == source_id)
     return rows.orderBy(F.col(order).desc() if descending else F.col(order))
-
-
-def keep_newest(log: DataFrame, n: int, by: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(kept, removed): the newest n rows of each group in descending order (unique); n <= 0 keeps all.
-
-    The top n are cut in every task before the shuffle; what is removed lies below the last kept row of its group, a
-    join that can split a hot group.
-    """
-    if n <= 0:
-        return log, log.limit(0)
-    newest = Window.partitionBy(*by).orderBy(*[F.col(c).desc() for c in order])
-    kept = log.withColumn("__n", F.row_number().over(newest)).where(F.col("__n") <= n).drop("__n")
-    last = kept.groupBy(*by).agg(F.min(F.struct(*order)).alias("__last"))
-    return kept, log.join(last, list(by)).where(F.struct(*order) < F.col("__last")).drop("__last")

@@ -27,29 +27,33 @@ r as (select *, sha256(ik || ':' || token) as ref, (n - 1) // 100 as batch_no fr
 """
 
 
-def order_events(t):
-    """Envelopes of the orders after a cursor, in chunks of 100."""
+ORDER = ["order_time", "order_table", "order_pk"]
+
+
+def order_events(t, *columns: str):
+    """Envelopes of the orders after a cursor, in chunks of 100: the columns that the reader wants, as chunks are stored."""
     rows = N.snapshot({ORDERS.key: t.orders}, [ORDERS], SOURCE, {ORDERS.key: (SINCE, 50)})
-    return batching.chunk(C.envelope(rows), 100, ["order_time", "order_table", "order_pk"])
+    return batching.chunk(C.envelope(rows).select(*ORDER, *columns), 100, ORDER)
 
 
 @query("minimum_slice", ORDER_REFS + """select batch_no, count(*) as leaf_count, sha256('{"count":' || count(*) || ',"leaf_external_refs":["' || string_agg(ref, '","' order by ref) || '"]}') as batch_external_ref,
  min_by(token, n) as first_token, max_by(token, n) as last_token from r group by batch_no""")
 def minimum_slice(t):
-    return batching.batches(order_events(t))
+    return batching.batches(order_events(t, "external_ref", "checkpoint_token"))
 
 
 @query("envelopes", ORDER_REFS + """select n as seq, ik as identity_key, ref as external_ref, batch_no, cast(null as varchar) as before_hash,
  sha256('{"o_custkey":' || o_custkey || ',"o_orderdate":"' || ts || '","o_orderkey":' || o_orderkey || ',"o_orderpriority":"' || o_orderpriority || '","o_orderstatus":"' || o_orderstatus || '","o_totalprice":"' || cast(o_totalprice as decimal(18,2)) || '"}') as after_hash,
  sha256('{"capture_mode":"watermark-poll","commit_timestamp_column":"o_orderdate","primary_key_columns":["o_orderkey"],"watermark_column":"o_orderdate"}') as metadata_hash from r""")
 def envelopes(t):
-    return order_events(t).select("seq", "identity_key", "external_ref", "batch_no", "before_hash", "after_hash", "metadata_hash")
+    hashes = ["identity_key", "external_ref", "before_hash", "after_hash", "metadata_hash"]
+    return order_events(t, *hashes).select("seq", "batch_no", *hashes)
 
 
 @query("ref_by_version", ORDER_REFS + "select n as seq, sha256(ik || ':sales.orders:' || ts || ':' || o_orderkey) as external_ref from r")
 def ref_by_version(t):
     rows = N.snapshot({ORDERS.key: t.orders}, [ORDERS], SOURCE, {ORDERS.key: (SINCE, 50)})
-    return batching.chunk(C.envelope(rows, "version"), 100, ["order_time", "order_table", "order_pk"]).select("seq", "external_ref")
+    return batching.chunk(C.envelope(rows, "version").select(*ORDER, "external_ref"), 100, ORDER).select("seq", "external_ref")
 
 
 @query("watermark_scan", f"select event_id, user_id, event_type, {micros('ts')} as ts from events where ts > timestamp '2024-01-01 03:00:00.0005' or (ts = timestamp '2024-01-01 03:00:00.0005' and event_id > 7) order by ts, event_id limit 250")
@@ -81,6 +85,25 @@ def multi_table_snapshot(t):
     return N.snapshot({ORDERS.key: t.orders, EVENTS.key: t.events}, [ORDERS, EVENTS], SOURCE).select("change_version", "commit_timestamp", "checkpoint_token")
 
 
+@query("snapshot_batches", f"""
+with ev as (select * from events union all select * from events where event_id % 1000 = 0),
+c as (select 'sales.orders' as k, 0 as i, o_orderdate as tm, o_orderkey as a, '{{"pk": [' || o_orderkey || '], "watermark": "' || {micros('o_orderdate')} || '"}}' as st,
+  sha256({identity("'sales.orders:' || " + seconds('o_orderdate') + " || ':' || o_orderkey", "'snapshot'", "'{\"o_orderkey\":' || o_orderkey || '}'", 'sales', 'orders')}) as ik from orders
+ union all select 'app.events', 1, ts, event_id, '{{"pk": [' || event_id || '], "watermark": "' || {micros('ts')} || '"}}',
+  sha256({identity("'app.events:' || " + seconds('ts') + " || ':' || event_id", "'snapshot'", "'{\"event_id\":' || event_id || '}'", 'app', 'events')}) from ev),
+w as (select *, row_number() over o as n, last_value(case when i = 0 then st end ignore nulls) over o as s0, last_value(case when i = 1 then st end ignore nulls) over o as s1
+ from c window o as (order by tm, i, a rows between unbounded preceding and current row)),
+t as (select n, ik, '{{' || concat_ws(', ', case when s1 is not null then '"app.events": ' || s1 end, case when s0 is not null then '"sales.orders": ' || s0 end) || '}}' as token from w),
+r as (select n, token, sha256(ik || ':' || token) as ref, (n - 1) // 100 as batch_no from t)
+select batch_no, count(*) as leaf_count, sha256('{{"count":' || count(*) || ',"leaf_external_refs":["' || string_agg(ref, '","' order by ref) || '"]}}') as batch_external_ref,
+ min_by(token, n) as first_token, max_by(token, n) as last_token from r group by batch_no""")
+def snapshot_batches(t):
+    """Two tables, one with repeated rows, as one snapshot, through envelopes into batches: the engine's main chain."""
+    events = t.events.unionByName(t.events.where("event_id % 1000 = 0"))
+    rows = N.snapshot({ORDERS.key: t.orders, EVENTS.key: events}, [ORDERS, EVENTS], SOURCE)
+    return batching.batches(batching.chunk(C.envelope(rows).select(*ORDER, "external_ref", "checkpoint_token"), 100, ORDER))
+
+
 @query("snapshot_images", f"""select '{{"event_id":' || event_id || '}}' as primary_key, '{{"event_id":' || event_id || ',"event_type":"' || event_type || '","props":' || to_json(props) || ',"ts":"' || {seconds('ts')} || '","user_id":' || user_id || ',"value":"' || cast(value as decimal(18,2)) || '"}}' as after from events""")
 def snapshot_images(t):
     return N.snapshot({EVENTS.key: t.events}, [EVENTS], SOURCE).select("primary_key", "after")
@@ -212,7 +235,7 @@ def prepare_payload(t):
 
 @query("batch_payload", """select batch_no, leaf_count, items from (select batch_no, count(*) as leaf_count, '[' || string_agg('{"external_leaf_ref":"' || ref || '","payload":{"key":' || o_orderkey || '}}', ',' order by n) || ']' as items from (""" + ORDER_REFS + """select * from r) group by batch_no)""")
 def batch_payload(t):
-    rows = order_events(t).withColumn("key", F.get_json_object("primary_key", "$.o_orderkey").cast("long"))
+    rows = order_events(t, "primary_key", "external_ref").withColumn("key", F.get_json_object("primary_key", "$.o_orderkey").cast("long"))
     items = F.transform(F.array_sort(F.collect_list(F.struct("seq", C.batch_item(F.struct("key")).alias("item")))), lambda x: x["item"])
     return rows.groupBy("batch_no").agg(F.count("*").alias("leaf_count"), F.to_json(items).alias("items"))
 

@@ -10,7 +10,8 @@ from changeledger.operators import batching as B
 from changeledger.operators import evidence as E
 from changeledger.operators import health as H
 from changeledger.operators import ledger as L
-from changeledger.plans.base import query
+from changeledger.operators.retention import keep_newest as keep
+from changeledger.plans.base import identity, query
 
 CFG = L.LedgerConfig("me", 3, 4)
 FINAL = L.LedgerConfig("me", 3, 4, True)
@@ -134,12 +135,35 @@ def reconcile_queue(t):
     return L.reconcile_queue(latest(t), sources, 2500).select("request_id", "source_id")
 
 
+WHOLE = "(prepared_action is not null and k % 7 <> 0)"
+
+
+def pending(t):
+    """Latest deliveries with the event that they store, which every seventh has lost; a seventh has no prepared action."""
+    k = F.substring("request_id", 2, 20).cast("long")
+    stored = F.concat(
+        F.lit('{"after":{"id":'), k, F.lit(',"tags":["a",null]},"before":null,"change_version":"v'), k, F.lit('","checkpoint_token":"{\\"a\\": '), k, F.lit('}","commit_timestamp":"2024-01-01T00:00:00Z","database_name":"main",'),
+        F.lit('"identity_key":"old","metadata":{"m":1},"mode":"single","operation":"update","primary_key":{"id":'), k,
+        F.lit('},"schema_or_namespace":"app","source_id":"s","source_instance":"main","source_type":"postgresql","table_or_collection":"orders"}'),
+    )
+    return latest(t).withColumns({"trace_id": F.concat(F.lit("t"), k), "event_payload": F.when(k % 7 != 0, stored)})
+
+
 @query("reconcile", f"""with q as (select *, cast(substr(request_id, 2) as bigint) as k from {LATEST} where status in ('prepared_registered', 'broadcast_included'))
-select request_id, {FINALIZED} as reconciled, case when {FINALIZED} then 'finalized_exported' else status end as status, case when not {FINALIZED} then 'not final' end as last_error from q""")
+select request_id, {WHOLE} as checked, {WHOLE} and {FINALIZED} as reconciled, case when {WHOLE} and {FINALIZED} then 'finalized_exported' else status end as status,
+ case when {WHOLE} and not {FINALIZED} then 'not final' end as last_error from q""")
 def reconcile(t):
     sources = t.spark.range(20).selectExpr("concat('s', id) as source_id", "id as source_idx")
     rename = lambda df: df.withColumn("request_id", F.concat(F.lit("d"), F.substring("request_id", 2, 20)))
-    return L.reconcile(latest(t), sources, *map(rename, responses(t))).select("request_id", "reconciled", "status", "last_error")
+    return L.reconcile(pending(t), sources, *map(rename, responses(t))).select("request_id", "checked", "reconciled", "status", "last_error")
+
+
+@query("stored_events", f"""with q as (select *, cast(substr(request_id, 2) as bigint) as k from {LATEST} where cast(substr(request_id, 2) as bigint) % 7 <> 0),
+i as (select *, sha256({identity("'v' || k", "'update'", "'{" + '"id":' + "' || k || '}'", 'app', 'orders')}) as ik from q)
+select request_id, 't' || k as trace_id, ik as identity_key, sha256(ik || ':{{"a": ' || k || '}}') as external_ref, sha256('{{"id":' || k || ',"tags":["a",null]}}') as after_hash,
+ cast(null as varchar) as before_hash, sha256('{{"m":1}}') as metadata_hash from i""")
+def stored_events(t):
+    return L.stored_events(pending(t)).select("request_id", "trace_id", "identity_key", "external_ref", "after_hash", "before_hash", "metadata_hash")
 
 
 RESULTS = "select *, k % 6 <> 0 as ok, if(k % 6 = 0, 'failed', 'broadcast_included') as status, if(k % 12 = 0, null, concat('q', k)) as request_id, if(k % 6 = 0, 'boom', null) as last_error, k % 4 + 1 as members from (" + EXPECTED + ")"
@@ -202,10 +226,23 @@ def batch_bundles(t):
 
 @query("keep_newest", f"select request_id, source_id, row_number() over (partition by source_id order by updated_at desc, request_id desc) <= 25 as kept from {LATEST}")
 def keep_newest(t):
-    kept, removed = L.keep_newest(latest(t), 25, ["source_id"], ["updated_at", "request_id"])
+    kept, removed = keep(latest(t), 25, ["source_id"], ["updated_at", "request_id"])
     return kept.select("request_id", "source_id", F.lit(True).alias("kept")).unionByName(removed.select("request_id", "source_id", F.lit(False).alias("kept")))
 
 
+@query("keep_newest_ties", """with e as (select case when user_id % 7 <> 3 then event_type end as kind, case when event_id % 11 <> 0 then event_id // 50 end as v from events union all
+  select 'click', 3 from events where event_id % 100 = 0),
+r as (select *, row_number() over (partition by kind order by v desc nulls last) as place from e)
+select kind, place <= 1500 as kept, count(*) as n, min(v) as first_at, max(v) as last_at, count(*) - count(v) as nulls from r group by 1, 2""")
+def keep_newest_ties(t):
+    """Order values that repeat or are null, a null group and repeated rows; cells are split down to 200 rows."""
+    rows = t.sql("""select if(user_id % 7 <> 3, event_type, null) as kind, if(event_id % 11 <> 0, cast(floor(event_id / 50) as bigint), null) as at, event_id from {events}
+        union all select 'click', 3L, 0L from {events} where event_id % 100 = 0""")
+    told = [df.withColumn("kept", F.lit(mark)) for df, mark in zip(keep(rows, 1500, ["kind"], ["at"], small=200), (True, False))]
+    counted = [F.count("*").alias("n"), F.min("at").alias("first_at"), F.max("at").alias("last_at"), F.count_if(F.col("at").isNull()).alias("nulls")]
+    return told[0].unionByName(told[1]).groupBy("kind", "kept").agg(*counted)
+
+
 @query("list_ledger", f"select request_id, status from {LATEST} where source_id = 's7'")
 def list_ledger(t):
     return L.list_ledger(latest(t), "updated_at", "s7").select("request_id", "status")
@@ -228,9 +265,13 @@ def should_mark_failed(t):
     return t.events.select("event_id", S.should_mark_failed(text, F.when(e % 3 == 0, e + 1), F.when(e % 5 == 0, "broadcast_included").otherwise("prepared_registered"), F.lit("x1")).alias("failed"))
 
 
-@query("receipt_finality", "select event_id, event_type = 'click' or user_id % 4 = 0 or event_id % 9 = 0 as final from events")
+@query("receipt_finality", """select event_id, event_type = 'click' or user_id % 4 = 0 or event_id % 9 = 0 as final from events""")
 def receipt_finality(t):
-    return t.events.select("event_id", S.receipt_is_finalized(F.when(F.col("event_type") == "click", "finalized_verified"), F.when(F.col("user_id") % 4 == 0, True), F.when(F.col("event_id") % 9 == 0, "2024")).alias("final"))
+    """Trust states in any letter case; an empty time of finality is none."""
+    state = F.when(F.col("event_type") == "click", F.when(F.col("event_id") % 2 == 0, "FINALIZED").otherwise("Finalized_Verified")).when(F.col("event_id") % 2 == 0, "PENDING").otherwise("")
+    flag = F.when(F.col("user_id") % 4 == 0, True).when(F.col("user_id") % 4 == 1, False)
+    time = F.when(F.col("event_id") % 9 == 0, "2024").when(F.col("event_id") % 9 == 1, "")
+    return t.events.select("event_id", S.receipt_is_finalized(state, flag, time).alias("final"))
 
 
 @query("backoff", "select event_id, cast(case when user_id % 9 = 0 then 0 else least(10, 0.5 * pow(2, user_id % 9 - 1)) end as double) as delay, case when event_id % 4 < 2 then '' when event_id % 4 = 2 then '0.1' else '0.1,0.2' end as retries from events")
@@ -329,6 +370,14 @@ def failure_streaks(t):
     return H.failure_streaks(t.sql(ATTEMPTS)).select("source_id", "at", "streak")
 
 
+@query("streaks_of_equal_times", """with a as (select 's' || (user_id % 10) as source_id, event_id // 40 as "at", event_type <> 'error' as ok, 'e' || (event_id % 4) as error from events),
+n as (select *, row_number() over (partition by source_id order by "at", ok, error) as n from a), g as (select *, sum(ok::int) over (partition by source_id order by n) as i from n)
+select source_id, "at", ok, error, cast(sum((not ok)::int) over (partition by source_id, i order by n) as bigint) as streak from g""")
+def streaks_of_equal_times(t):
+    sql = "select concat('s', user_id % 10) as source_id, cast(floor(event_id / 40) as bigint) as at, event_type <> 'error' as ok, concat('e', event_id % 4) as error from {events}"
+    return H.failure_streaks(t.sql(sql)).select("source_id", "at", "ok", "error", "streak")
+
+
 @query("recent_errors", "select source_id, n, \"at\", error from (select 's' || (user_id % 10) as source_id, event_id as \"at\", 'e' || event_id as error, row_number() over (partition by user_id % 10 order by event_id desc) as n from events where event_type = 'error') where n <= 5")
 def recent_errors(t):
     return H.recent_errors(t.sql(ATTEMPTS))

@@ -7,6 +7,7 @@ from changeledger.model import CHANGE_EVENT
 from changeledger.operators import evidence as E
 from changeledger.operators import health as H
 from changeledger.operators import ledger as L
+from changeledger.operators import retention as R
 from tests.test_canonical import EVENT
 
 CFG = L.LedgerConfig("me", 1, 1)
@@ -87,9 +88,9 @@ def test_retention_and_latest(spark):
     log = spark.createDataFrame([("a", "s", "1", None), ("a", "s", "2", "x"), ("b", "s", "3", None), ("c", "t", "1", None)], "request_id string, source_id string, updated_at string, note string")
     now = {r.request_id: (r.updated_at, r.note) for r in L.upsert_latest(log, ["request_id"], ["updated_at"]).collect()}
     assert now == {"a": ("2", "x"), "b": ("3", None), "c": ("1", None)}
-    kept, removed = L.keep_newest(log, 1, ["source_id"], ["updated_at", "request_id"])
+    kept, removed = R.keep_newest(log, 1, ["source_id"], ["updated_at", "request_id"])
     assert sorted(r.request_id for r in kept.collect()) == ["b", "c"] and removed.count() == 2
-    assert L.keep_newest(log, 0, ["source_id"], ["updated_at"])[0].count() == 4
+    assert R.keep_newest(log, 0, ["source_id"], ["updated_at"])[0].count() == 4
 
 
 def test_evidence(spark, tmp_path):
