@@ -2,19 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeledger.operators import scratch
+from changeledger.operators.scratch import closing, scratch_dir  # noqa: F401  for the operators and their tests
 from changeledger.shipping import ship
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Spark's own switch that deletes a finished write's shuffle files, which no later step reads.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,80 +23,12 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the session names; a new local one only where none is set and the master is local."""
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    if given:
-        return given
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="changeledger-"))
-    return sc._jsc.sc().getCheckpointDir().get()
-
-
-class Scratch:
-    """Tables written under the shared folder, so that a lost executor costs a reread and no recomputation.
-
-    free() deletes a table that no later step reads, close() all of them; what a result still reads goes when the
-    driver ends.
-    """
-
-    live: list[Scratch] = []
+class Scratch(scratch.Scratch):
+    """Scratch tables of operators whose Python stages need the package on every worker."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.root, self.paths = spark, f"{scratch_dir(spark)}/cl-{uuid.uuid4().hex}", {}
-        self.saved = 0
+        super().__init__(spark)
         ship(spark)
-        Scratch.live.append(self)
-
-    def _place(self, path: str):
-        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()), jpath
-
-    def path(self, name: str) -> str:
-        """A new path for a table of this scratch."""
-        if not self.saved:
-            fs, root = self._place(self.root)
-            fs.mkdirs(root)
-            fs.deleteOnExit(root)
-        self.saved += 1
-        return f"{self.root}/{name}-{self.saved}"
-
-    def save(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-        path, schema = self.path(name), df.schema
-        before = self.spark.conf.get(CLEANUP, "false")
-        self.spark.conf.set(CLEANUP, "true")
-        try:
-            df.write.option("compression", compression).parquet(path)
-        finally:
-            self.spark.conf.set(CLEANUP, before)
-        out = self.spark.read.schema(schema).parquet(path)
-        self.paths[id(out)] = (out, path)
-        return out
-
-    def free(self, *frames: DataFrame) -> None:
-        for df in frames:
-            _, path = self.paths.pop(id(df))
-            fs, jpath = self._place(path)
-            fs.delete(jpath, True)
-
-    def close(self) -> None:
-        fs, root = self._place(self.root)
-        fs.delete(root, True)
-        self.paths.clear()
-        if self in Scratch.live:
-            Scratch.live.remove(self)
-
-
-@contextmanager
-def closing() -> Iterator[None]:
-    """Deletes the scratch tables that the body made, at its end: for a caller that has stored their result."""
-    known = list(Scratch.live)
-    yield
-    for scratch in [s for s in Scratch.live if s not in known]:
-        scratch.close()
 
 
 def _star(scratch: Scratch, edges: DataFrame, large: bool) -> DataFrame:

@@ -28,6 +28,8 @@ SAMPLE_DOCS, SHRINK = 2000, 6
 #: Share of held-out ordinary tokens that may reach the threshold; the threshold where no sample fixes it.
 FALSE_RATE, THRESHOLD = 0.0005, 0.7
 BLOCK, MASK = 256, "[SECRET]"
+#: Code points of a text that redact() cuts at a time.
+PAGE = 4096
 SPAN = "array<struct<start:bigint,end:bigint,kind:int>>"
 
 
@@ -148,18 +150,10 @@ def score(token: Column, ratios: list[float]) -> Column:
     return total / (F.length(token) - 1 + SHRINK)
 
 
-def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """(doc_id, n_assign, n_access, n_hex, n_markov, base_sha256, spans) for every row of docs (doc_id, text).
-
-    Markov spans are the tokens of 12 or more characters, outside all base spans, whose score reaches the model's
-    threshold; of a token that a base span covers in part, the rest counts. A null text is empty; texts without a
-    secret have empty spans and the hash of the empty string; repeated rows and null ids each get a row; other columns
-    are ignored; an empty table gives no rows.
-    """
-    model = model or train(docs)
-    rows = base_spans(docs.select("doc_id", "text"))
-    base = F.sort_array(F.concat("__assign", "__access", "__hex"))
-    rows = rows.withColumn("__base", base)
+def _spans(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """docs with __base and __markov: the spans of the fixed rules and those that the models add, in code points."""
+    rows = base_spans(docs, text)
+    rows = rows.withColumn("__base", F.sort_array(F.concat("__assign", "__access", "__hex")))
     # Base spans as so many spaces, so that places stay the same.
     spaces = lambda m: F.repeat(F.lit(" "), F.length(m))
     rows = _replaced(rows, "__text", ASSIGN, lambda m, v: F.when(F.length(v) >= 12, spaces(m)).otherwise(m))
@@ -173,7 +167,19 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     found = F.filter(F.transform("__s", place), lambda x: x["llr"] >= model.threshold)
     clear = F.filter(found, lambda x: ~F.exists("__base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
     spans = F.transform(clear, lambda x: F.struct(x["start"], x["end"], x["kind"]))
-    rows = rows.withColumn("__markov", F.coalesce(spans, F.array().cast(SPAN)))
+    return rows.withColumn("__markov", F.coalesce(spans, F.array().cast(SPAN))).drop("__m", "__llr", "__p", "__s")
+
+
+def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """(doc_id, n_assign, n_access, n_hex, n_markov, base_sha256, spans) for every row of docs (doc_id, text).
+
+    Markov spans are the tokens of 12 or more characters, outside all base spans, whose score reaches the model's
+    threshold; of a token that a base span covers in part, the rest counts. A null text is empty; texts without a
+    secret have empty spans and the hash of the empty string; a text of any length is read whole; spans that start
+    together go by kind; repeated rows and null ids each get a row; other columns are ignored; an empty table gives no rows.
+    """
+    model = model or train(docs)
+    rows = _spans(docs.select("doc_id", "text"), model)
     kind = F.array(*map(F.lit, KINDS))
     text = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(kind, x["kind"]), x["start"], x["end"])), ",")
     # Sorted as (start, end, kind) above; by contract start, then kind.
@@ -184,20 +190,57 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     return rows.select("doc_id", *counts, digest.alias("base_sha256"), text(by_kind(F.concat("__base", "__markov"))).alias("spans"))
 
 
+def _gaps(rows: DataFrame) -> DataFrame:
+    """rows with __gap: what no span of __all (sorted) covers, as (p, q) in code points; spans that touch or overlap are one.
+
+    A span starts a new gap where it starts after all earlier ends, whose running maximum is taken by blocks.
+    """
+    rows = rows.withColumn("__ends", F.transform("__all", lambda x: x["end"]))
+    block = lambda b: F.array_max(F.slice("__ends", b * BLOCK + 1, F.lit(BLOCK)))
+    rows = rows.withColumn("__tops", F.transform(F.sequence(F.lit(0), F.floor(F.size("__ends") / BLOCK).cast("int")), block))
+    rows = rows.withColumn("__heads", F.transform("__tops", lambda _, j: F.array_max(F.slice("__tops", F.lit(1), j))))
+
+    def gap(x: Column, i: Column) -> Column:
+        b = F.floor(i / BLOCK).cast("int")
+        before = F.greatest(F.get("__heads", b), F.array_max(F.slice("__ends", b * BLOCK + 1, i % BLOCK)))
+        return F.struct(before.alias("p"), x["start"].alias("q"))
+
+    first = F.filter(F.transform("__all", gap), lambda g: g["p"].isNull() | (g["q"] > g["p"]))
+    inner = F.transform(first, lambda g: F.struct(F.coalesce(g["p"], F.lit(0).cast("long")).alias("p"), g["q"].alias("q")))
+    last = F.struct(F.array_max("__ends").alias("p"), F.length("__whole").cast("long").alias("q"))
+    return rows.withColumn("__gap", F.concat(inner, F.array(last))).drop("__ends", "__tops", "__heads")
+
+
+def _without() -> Column:
+    """__whole with MASK between its gaps; pages of PAGE code points keep the cost linear in the text."""
+    page = F.col("__pages")
+
+    def piece(g: Column) -> Column:
+        a, z = F.floor(g["p"] / PAGE).cast("int"), F.floor((g["q"] - 1) / PAGE).cast("int")
+        head = F.substring(F.get(page, a), (g["p"] - a * PAGE + 1).cast("int"), (g["q"] - g["p"]).cast("int"))
+        middle = F.array_join(F.slice(page, a + 2, F.greatest(z - a - 1, F.lit(0))), "")
+        tail = F.substring(F.get(page, z), F.lit(1), (g["q"] - z * PAGE).cast("int"))
+        return F.when(g["q"] <= g["p"], F.lit("")).when(a == z, head).otherwise(F.concat(head, middle, tail))
+
+    return F.array_join(F.transform("__gap", piece), MASK)
+
+
 def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """docs with every secret in `text` replaced by MASK; null texts stay null and all rows and columns are kept.
 
-    n_chars, where there is one, is the new length of a changed text. Columns may have any names; an empty table gives
-    no rows, repeated rows and null ids stay.
+    What is masked is the union of the spans that scan() reports, so that no character of one is left; spans that touch
+    or overlap share one MASK. n_chars, where there is one, is the new length of a changed text. Columns may have any
+    names; an empty table gives no rows, repeated rows and null ids stay.
     """
     model = model or train(docs)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("new"))
-    mask = F.lit(MASK)
-    rows = _replaced(rows, "new", ASSIGN, lambda m, v: F.when(F.length(v) >= 12, mask).otherwise(m))
-    rows = _replaced(_replaced(rows, "new", ACCESS, lambda m, _: mask), "new", HEX, lambda m, _: mask)
-    rows = _replaced(rows, "new", TOKEN, lambda m, _: F.when(score(m, model.ratios) >= model.threshold, mask).otherwise(m))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("__whole"))
+    rows = _spans(rows, model, "__whole").withColumn("__all", F.sort_array(F.concat("__base", "__markov")))
+    some = F.size("__all") > 0
+    rows = rows.withColumn("__pages", F.when(some, F.regexp_extract_all("__whole", F.lit(f"(?s).{{1,{PAGE}}}"), F.lit(0))))
+    rows = _gaps(rows)
+    rows = rows.withColumn("__new", F.when(some, _without()).otherwise(F.col("__whole")))
     out = {c: F.col("row").getField(c) for c in docs.columns}
     if "n_chars" in out:
-        out["n_chars"] = F.when(F.col("new") == out["text"], out["n_chars"]).otherwise(F.length("new").cast(docs.schema["n_chars"].dataType))
-    out["text"] = F.col("new")
+        out["n_chars"] = F.when(some, F.length("__new").cast(docs.schema["n_chars"].dataType)).otherwise(out["n_chars"])
+    out["text"] = F.col("__new")
     return rows.select(*[v.alias(c) for c, v in out.items()])

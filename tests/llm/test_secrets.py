@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from changeledger.llm import secrets
 from changeledger.llm.queries import op2_secrets
 from tests.conftest import SF
@@ -55,6 +57,42 @@ def test_small(spark):
     assert not any(brute(t)[1] for t in clean.values())
 
 
+def masked(text, spans):
+    """text with every maximal run of covered characters as one mask; spans that touch are one run."""
+    covered = [False] * len(text)
+    for span in filter(None, spans.split(",")):
+        _, a, z = span.split(":")
+        covered[int(a) : int(z)] = [True] * (int(z) - int(a))
+    return "".join(("[SECRET]" if not i or not covered[i - 1] else "") if covered[i] else c for i, c in enumerate(text))
+
+
+def test_redact_masks_the_union_of_all_spans(spark):
+    """Spans of several kinds that overlap, touch or hold one another, many of them, and spans over the pages' edges."""
+    h, a = "0123456789abcdef", "AKIA" + "B7" * 9
+    texts = [
+        "0123456789abcdeapi_key=abcdefghijklmnop x", f"token={h}{a}", f"{h}{a}{h}", f"{a}token={a}", f"é😀{h}secret: {a}", f"apikey={h}.{h}.{a} end", f"{h}", f" {h} ", f"x token={h} y {a}{h}",
+        f"token={h}-{a} " * 700, "😀" * 4090 + h + "y" * 8190 + a + " é" * 4100 + f"secret={h}", "z" * 4096 + " " + h, "no secret", f"{h}Qm9ZLw8Tq2VnRj4x{a}",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'m' as __all", "cast(length(text) as int) as n_chars", "1 as __gap")
+    model = secrets.train(spark.read.parquet(f"{SF}/documents.parquet"))
+    spans = {r.doc_id: r.spans for r in secrets.scan(df, model).collect()}
+    out = secrets.redact(df, model)
+    assert out.columns == df.columns
+    for r in out.collect():
+        assert r.text == masked(texts[r.doc_id], spans[r.doc_id]), r.doc_id
+        assert r.n_chars == len(r.text) and not brute(r.text)[1]
+
+
+def test_no_span_is_left_in_the_corpus(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = secrets.train(docs)
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    spans = {r.doc_id: r.spans for r in secrets.scan(docs, model).collect()}
+    new = {r.doc_id: r.text for r in secrets.redact(docs, model).select("doc_id", "text").collect()}
+    assert sum(map(bool, spans.values())) > 30
+    assert all(new[d] == masked(texts[d], spans[d]) and not brute(new[d])[1] for d in texts)
+
+
 def test_scores(spark):
     model = secrets.train(spark.read.parquet(f"{SF}/documents.parquet"))
     words = ["QmFzZTY0xK9zLw8Tq2VnRj4Yp7Ud", "9f8e7d6c5b4a39281706f5e4", "internationalizationcharacteristically", "thereanderationtheding", "Zx81Kq92mmT0"]
