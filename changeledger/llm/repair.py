@@ -22,7 +22,7 @@ from changeledger.shipping import ship
 
 SHARD_IDS = 1 << 20
 #: Stored bytes of the input in one part (a few shards), and the most parts that a table has.
-PART_BYTES, MOST_PARTS = 8 << 20, 100_000
+PART_BYTES, MOST_PARTS = 16 << 20, 100_000
 SCHEMA = "part int, shard int, start long, n_ids long, base int, doc_ids binary, id_null binary, lengths binary, first binary, rules binary, spans binary, symbols binary"
 
 
@@ -158,10 +158,8 @@ TYPES = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("start", pa.int
 
 
 def _parts(docs: DataFrame) -> int:
-    """Parts for the size of docs: Spark's estimate from the stored files, else the measured length of the texts."""
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= 1 << 60:  # no files to tell it
-        size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    """Parts for the measured length of the texts, whatever docs is made of."""
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")).cast("long"))).first()[0] or 0
     return max(1, min(MOST_PARTS, -(-size // PART_BYTES)))
 
 
