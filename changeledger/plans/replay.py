@@ -9,7 +9,7 @@ from changeledger.operators.scratch import scratch_path
 from changeledger.plans.base import query
 from changeledger.plans.ledger import DELIVERIES, LATEST
 from changeledger.sources.binary import decode_binary_feed
-from changeledger.streaming import runs
+from changeledger.streaming import health, runs
 
 #: Messages of three tables of two columns; the first table is renamed at sequence number 7005.
 MESSAGES = """
@@ -61,16 +61,40 @@ def stream_delivery_status(t):
     return L.upsert_latest(t.spark.read.parquet(f"{path}/updates"), ["request_id"], ["updated_at"])
 
 
-@query("stream_health", """with a as (select 's' || (user_id % 10) as s, event_id as n, event_type <> 'error' as ok from events),
-w as (select *, lag(ok) over (partition by s order by n) as prev, max(case when ok then n end) over (partition by s order by n rows between unbounded preceding and 1 preceding) as good,
- max(case when ok then n end) over (partition by s) as best, row_number() over (partition by s, ok order by n desc) as back from a)
-select s as source_id, count(*) filter (where not ok and n > coalesce(best, -1)) as failure_streak, count(*) filter (where ok and not prev and good is not null) as reconnects,
- coalesce(string_agg('e' || n, ',' order by n) filter (where not ok and back <= 5), '') as errors from w group by s""")
+ATTEMPTS = """select concat('s', user_id % 10) as source_id, timestamp_seconds(86400 + event_id) as at, not (cast(floor(event_id / 60) as int) % 2 = 1 and event_type <> 'click') as ok,
+ concat('e', 86400 + event_id) as error, event_id from {events}"""
+
+
+@query("stream_health", """with a as (select 's' || (user_id % 10) as s, 86400 + event_id as n, not ((event_id // 60) % 2 = 1 and event_type <> 'click') as ok from events),
+g as (select *, count(*) filter (where ok) over w as i, lag(ok) over w as prev, coalesce(max(case when ok then n end) over (partition by s order by n rows between unbounded preceding and 1 preceding), -1) as good
+ from a window w as (partition by s order by n)),
+k as (select *, count(*) filter (where not ok) over (partition by s, i order by n) as streak, count(*) filter (where ok and not prev and good >= 0) over (partition by s order by n) as reconnects,
+ array_to_string(list_slice(list('e' || n) filter (where not ok) over (partition by s order by n), -5, -1), ',') as errors from g),
+b as (select *, case when not ok then 1000 * n + cast(least(10000, 500 * pow(2, streak - 1)) as bigint) end as backoff from k),
+bad as (select s, n as f, lead(n) over (partition by s order by n) as later from b where not ok and streak >= 3),
+o as (select s, f + 30 as e from bad where later is null or later >= f + 30),
+x as (select s, n as t, 'attempt' as cause, n as upto from b union all select s, e, 'fallback over', e - 1 from o union all select s, e + 15, 'probation over', e + 14 from o),
+y as (select x.*, (select max(n) from b where b.s = x.s and n <= upto) as last, (select max(f) from bad where bad.s = x.s and f <= upto) as f,
+ (select max(e) from o where o.s = x.s and e <= t) as e from x),
+z as (select y.*, case when f + 30 > t then 1000 * (f + 30) end as fallback, case when e + 15 > t then 1000 * (e + 15) end as probation from y)
+select z.s as source_id, 1000 * z.t as at_ms, cause, b.streak as failure_streak, backoff as backoff_ms, fallback as fallback_ms, probation as probation_ms, b.reconnects, coalesce(b.errors, '') as errors,
+ case when fallback is not null then 'fallback' when probation is not null then 'probation' when backoff > 1000 * t then 'backoff' else 'streaming' end as state from z join b on b.s = z.s and b.n = z.last""")
 def stream_health(t):
-    sql = "select concat('s', user_id % 10) as source_id, timestamp_seconds(event_id) as at, event_type <> 'error' as ok, concat('e', event_id) as error from {events}"
-    path, schema = landed(t, sql)
-    health = runs.stream_health(runs.stream_feed(t.spark, f"{path}/feed", schema))
-    runs.run_once(health, lambda rows, _: rows.write.mode("append").parquet(f"{path}/health"), f"{path}/mark", "update")
-    last = L.upsert_latest(t.spark.read.parquet(f"{path}/health"), ["source_id"], ["at"])
+    """Attempts land out of order in files that the stream reads one by one; a last row of another source moves the
+    watermark past them all, so that silent sources leave fallback and probation."""
+    rows, path = t.sql(ATTEMPTS), scratch_path(t.spark)
+    most = rows.agg(F.max("event_id")).first()[0]
+    place = F.floor((F.col("event_id") + F.xxhash64("event_id") % 10) * 4 / (most + 1))
+    for k in range(-1, 5):
+        rows.where(place == k).drop("event_id").coalesce(1).write.mode("append").parquet(f"{path}/feed")
+    end = rows.limit(1).select(F.lit("clock").alias("source_id"), F.timestamp_seconds(F.lit(most + 96_400)).alias("at"), F.lit(True).alias("ok"), F.lit("").alias("error"))
+    end.coalesce(1).write.mode("append").parquet(f"{path}/feed")
+    feed = runs.stream_feed(t.spark, f"{path}/feed", rows.drop("event_id").schema, files=1)
+    log = health.stream_health(feed, lateness="30 seconds")
+    runs.run_once(log, lambda found, _: found.write.mode("append").parquet(f"{path}/health"), f"{path}/mark", "update")
+    millis = lambda c: F.unix_millis(c)
     long = lambda c: F.col(c).cast("long").alias(c)
-    return last.select("source_id", long("failure_streak"), long("reconnects"), F.array_join("errors", ",").alias("errors"))
+    return t.spark.read.parquet(f"{path}/health").where("source_id != 'clock'").select(
+        "source_id", millis("at").alias("at_ms"), "cause", long("failure_streak"), millis("backoff_until").alias("backoff_ms"), millis("fallback_until").alias("fallback_ms"), millis("probation_until").alias("probation_ms"),
+        long("reconnects"), F.array_join("errors", ",").alias("errors"), "state",
+    )

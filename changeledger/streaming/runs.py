@@ -3,16 +3,13 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from changeledger.operators.ledger import upsert_latest
-from changeledger.shipping import ship
 
 
 def stream_feed(spark: SparkSession, path: str, schema, decode: Callable[[DataFrame], DataFrame] | None = None, form: str = "parquet", files: int = 100) -> DataFrame:
@@ -105,44 +102,3 @@ def delivery_status(stream: DataFrame) -> DataFrame:
     """Latest status per request, for update mode."""
     return upsert_latest(stream.select("request_id", "status", "updated_at"), ["request_id"], ["updated_at"])
 
-
-HEALTH = "source_id string, at timestamp, failure_streak int, backoff_until timestamp, fallback_until timestamp, probation_until timestamp, reconnects int, errors array<string>, state string"
-KEPT = "streak int, backoff timestamp, fallback timestamp, probation timestamp, reconnects int, connected boolean, errors array<string>"
-
-
-def stream_health(attempts: DataFrame, threshold: int = 3, fallback_s: float = 30, probation_s: float = 15, base_s: float = 0.5, most_s: float = 10, history: int = 5) -> DataFrame:
-    """State machine per source over attempts (source_id, at, ok, error), in time order within each batch.
-
-    A failure lengthens the streak and the backoff; from `threshold` failures on the source falls back for a while,
-    and then is on probation. A success clears streak and backoff only. The first connect is no reconnect.
-    """
-    ship(attempts.sparkSession)
-
-    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        streak, backoff, fallback, probation, reconnects, connected, errors = state.get if state.exists else (0, None, None, None, 0, False, [])
-        rows = pd.concat(list(frames)).sort_values("at")
-        later = lambda at, s: at + pd.Timedelta(seconds=s)
-        errors = list(errors)
-        for at, ok, error in zip(rows["at"], rows["ok"], rows["error"]):
-            if fallback is not None and at >= fallback:
-                probation, fallback = later(fallback, probation_s), None
-            if probation is not None and at >= probation:
-                probation = None
-            if ok:
-                reconnects += int(connected and streak > 0)
-                streak, backoff, connected = 0, None, True
-                continue
-            streak += 1
-            errors = [*errors, error][-history:]
-            backoff = later(at, min(most_s, base_s * 2 ** min(streak - 1, 60)))
-            if streak >= threshold:
-                fallback, probation = later(at, fallback_s), None
-        state.update((streak, backoff, fallback, probation, reconnects, connected, errors))
-        name = "fallback" if fallback is not None else "probation" if probation is not None else "backoff" if backoff is not None else "streaming"
-        row = {"source_id": [key[0]], "at": [rows["at"].iloc[-1]], "failure_streak": [streak], "backoff_until": [backoff], "fallback_until": [fallback], "probation_until": [probation], "reconnects": [reconnects], "errors": [errors], "state": [name]}
-        frame = pd.DataFrame(row)
-        for c in ("backoff_until", "fallback_until", "probation_until"):
-            frame[c] = pd.to_datetime(frame[c])
-        yield frame
-
-    return attempts.select("source_id", "at", "ok", "error").groupBy("source_id").applyInPandasWithState(run, HEALTH, KEPT, "update", GroupStateTimeout.NoTimeout)

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from changeledger.sources import feeds
-from changeledger.streaming import runs
+from changeledger.streaming import health, runs
 
 SCHEMA = "source_id string, external_ref string, n long"
 
@@ -73,12 +73,35 @@ def test_delivery_status(spark, tmp_path):
 
 
 def test_health_machine(spark, tmp_path):
-    at = lambda s: dt.datetime(2026, 1, 1, 0, 0, s)
-    plan = {"fall": [(0, True)] + [(s, False) for s in (1, 2, 3)], "back": [(0, True), (1, False), (2, True)], "prob": [(s, False) for s in (1, 2, 3)] + [(35, True)], "over": [(s, False) for s in (1, 2, 3)] + [(59, True)]}
+    """Attempts come out of order in three batches; silent sources leave fallback and probation by the clock of another."""
+    at = lambda s: dt.datetime(2026, 1, 1, 0, s // 60, s % 60)
+    plan = {
+        "fall": [(0, True)] + [(s, False) for s in (1, 2, 3)], "back": [(0, True), (1, False), (2, True)], "prob": [(s, False) for s in (1, 2, 3)] + [(35, True)],
+        "none": [(5, None)], "again": [(1, False), (2, False), (3, False), (33, False), (80, True)], "clock": [(s, True) for s in (4, 30, 40, 600)],
+    }
     rows = [(k, at(s), ok, f"e{s}") for k, xs in plan.items() for s, ok in xs]
     schema = "source_id string, at timestamp, ok boolean, error string"
-    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in")
-    got = {r.source_id: r for r in collect(runs.stream_health(runs.stream_feed(spark, f"{tmp_path}/in", schema)), tmp_path)}
-    assert (got["fall"].state, got["fall"].failure_streak, got["fall"].fallback_until) == ("fallback", 3, at(33)) and got["fall"].errors == ["e1", "e2", "e3"]
-    assert (got["back"].state, got["back"].failure_streak, got["back"].reconnects) == ("streaming", 0, 1)
-    assert (got["prob"].state, got["prob"].probation_until, got["prob"].reconnects) == ("probation", at(48), 0) and got["over"].state == "streaming"
+    for near, far in ((0, 4), (5, 36), (37, 600)):
+        part = [r for r in rows if at(near) <= r[1] <= at(far)]
+        spark.createDataFrame(part[::-1], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = health.stream_health(runs.stream_feed(spark, f"{tmp_path}/in", schema, files=1), lateness="5 seconds")
+    log = {}
+    for r in collect(stream, tmp_path):
+        log.setdefault(r.source_id, []).append((r.at, r.cause, r.failure_streak, r.fallback_until, r.probation_until, r.state))
+    assert [x[1:3] for x in log["fall"]] == [("attempt", 0), ("attempt", 1), ("attempt", 2), ("attempt", 3), ("fallback over", 3), ("probation over", 3)]
+    assert log["fall"][3] == (at(3), "attempt", 3, at(33), None, "fallback") and log["fall"][4] == (at(33), "fallback over", 3, None, at(48), "probation")
+    assert log["fall"][5] == (at(48), "probation over", 3, None, None, "streaming")
+    assert [x[5] for x in log["back"]] == ["streaming", "backoff", "streaming"]
+    assert log["prob"][-2:] == [(at(35), "attempt", 0, None, at(48), "probation"), (at(48), "probation over", 0, None, None, "streaming")]
+    # A failure at the very end of fallback comes after that end.
+    assert [x[:2] for x in log["again"]][3:] == [(at(33), "fallback over"), (at(33), "attempt"), (at(48), "probation over"), (at(63), "fallback over"), (at(78), "probation over"), (at(80), "attempt")]
+    assert log["none"] == [(at(5), "attempt", 1, None, None, "backoff")] and len(log["clock"]) == 3  # the last one is within the lateness
+
+
+def test_health_forgets_silent_sources():
+    rules = {"threshold": 3, "fallback": 30, "probation": 15, "base": 1, "most": 10, "history": 2, "forget": 100}
+    machine = health.Machine(rules, None)
+    rows = [machine.attempt(t, False, f"e{t}") for t in (1, 2, 3)]
+    assert [r[3] for r in rows] == [2, 4, 7] and rows[-1][7] == ["e2", "e3"] and machine.ends() == [(33, "fallback")]
+    again = health.Machine(rules, machine.kept())
+    assert [r[:2] for r in again.until(60)] == [(33, "fallback over"), (48, "probation over")] and again.ends() == []
