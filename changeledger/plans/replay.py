@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from changeledger.operators import ledger as L
 from changeledger.operators.scratch import scratch_path
-from changeledger.plans.base import query
+from changeledger.plans.base import SQL, query
 from changeledger.plans.ledger import DELIVERIES, LATEST
 from changeledger.sources.binary import decode_binary_feed
-from changeledger.streaming import health, runs
+from changeledger.streaming import health, runs, transactions
 
 #: Messages of three tables of two columns; the first table is renamed at sequence number 7005.
 MESSAGES = """
@@ -28,11 +28,23 @@ select seq, '0/1' as lsn, '7' as xid, unhex(h) as data from m"""
  case when o_custkey % 3 < 2 then cast(o_orderkey as varchar) end as after_id, case o_custkey % 3 when 0 then '"' || o_orderstatus || '"' when 1 then 'null' end as after_status,
  case when o_custkey % 6 = 4 then 'status' else '' end as unchanged from orders""")
 def binary_feed(t):
-    rows = decode_binary_feed(t.sql(MESSAGES)).where("kind = 'row'")
+    return images(decode_binary_feed(t.sql(MESSAGES)))
+
+
+def images(decoded):
+    rows = decoded.where("kind = 'row'")
     cell = lambda side, name: F.col(side)[name].alias(f"{side}_{name}")
-    images = [cell(side, name) for side in ("before", "after") for name in ("id", "status")]
+    cells = [cell(side, name) for side in ("before", "after") for name in ("id", "status")]
     unchanged = F.coalesce(F.array_join("unchanged_columns", ","), F.lit(""))
-    return rows.select("seq", "operation", F.col("table").alias("tbl"), *images, unchanged.alias("unchanged"))
+    return rows.select("seq", "operation", F.col("table").alias("tbl"), *cells, unchanged.alias("unchanged"))
+
+
+def in_order(rows, path: str, parts: int, key: str) -> None:
+    """Lands rows as files by ranges of key, one after another, as a log grows."""
+    ends = rows.agg(F.min(key), F.max(key)).first()
+    place = F.floor((F.col(key) - ends[0]) * parts / (ends[1] - ends[0] + 1))
+    for k in range(parts):
+        rows.where(place == k).coalesce(1).write.mode("append").parquet(path)
 
 
 def landed(t, sql: str) -> tuple[str, str]:
@@ -98,3 +110,32 @@ def stream_health(t):
         "source_id", millis("at").alias("at_ms"), "cause", long("failure_streak"), millis("backoff_until").alias("backoff_ms"), millis("fallback_until").alias("fallback_ms"), millis("probation_until").alias("probation_ms"),
         long("reconnects"), F.array_join("errors", ",").alias("errors"), "state",
     )
+
+
+#: Transactions of seven rows, of which every fifth is not committed; their rows carry no transaction id.
+LOG = """with e as (select event_id, event_id div 7 as x, concat('s', event_id div 7 % 3) as source_id, event_type from {events})
+select source_id, 10 * event_id + 5 as seq, 'row' as kind, cast(null as string) as xid, concat('0/', hex(event_id)) as lsn, event_type, map('id', cast(event_id as string)) as after from e
+union all select source_id, 10 * min(event_id), 'begin', cast(x as string), '0/0', null, null from e group by x, source_id
+union all select source_id, 10 * max(event_id) + 9, 'commit', cast(x as string), concat('0/C', x), null, null from e where x % 5 <> 0 group by x, source_id"""
+
+
+@query("stream_transactions", """with e as (select event_id, event_id // 7 as x, event_type from events where (event_id // 7) % 5 <> 0)
+select 's' || (x % 3) as source_id, cast(x as varchar) as xid, 10 * event_id + 5 as seq, row_number() over (partition by x order by event_id) as event_index, count(*) over (partition by x) as total,
+ '0/C' || x as commit_lsn, event_id = max(event_id) over (partition by x) as advance, event_type, cast(event_id as varchar) as id from e""")
+def stream_transactions(t):
+    """Files of a log end inside transactions, which are whole all the same."""
+    rows, path = t.sql(LOG), scratch_path(t.spark)
+    in_order(rows, f"{path}/feed", 5, "seq")
+    made = transactions.stream_transactions(runs.stream_feed(t.spark, f"{path}/feed", rows.schema, files=1))
+    runs.run_once(made, lambda found, _: found.write.mode("append").parquet(f"{path}/out"), f"{path}/mark")
+    return t.spark.read.parquet(f"{path}/out").select("source_id", "xid", "seq", "event_index", "total", "commit_lsn", "advance", "event_type", F.col("after")["id"].alias("id"))
+
+
+@query("stream_binary_feed", SQL["binary_feed"])
+def stream_binary_feed(t):
+    """Relation messages of earlier files, one of which is replaced later, decode the tuples of later ones."""
+    rows, path = t.sql(MESSAGES), scratch_path(t.spark)
+    in_order(rows, f"{path}/feed", 5, "seq")
+    made = transactions.stream_binary_feed(runs.stream_feed(t.spark, f"{path}/feed", rows.schema, files=1))
+    runs.run_once(made, lambda found, _: found.write.mode("append").parquet(f"{path}/out"), f"{path}/mark")
+    return images(t.spark.read.parquet(f"{path}/out"))

@@ -7,6 +7,7 @@ parsed by an Arrow function. Each tuple message finds the latest relation messag
 from __future__ import annotations
 
 import struct
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -83,21 +84,21 @@ def asof_relation(tuples: DataFrame, rels: DataFrame) -> DataFrame:
     return known.where("__rel is null").select(*tuples.columns, "__at.*")
 
 
-def decode_binary_feed(feed: DataFrame) -> DataFrame:
+def decode_binary_feed(feed: DataFrame, asof: Callable[[DataFrame, DataFrame], DataFrame] = asof_relation) -> DataFrame:
     """(seq, lsn, xid, kind, relid, schema, table, operation, before, after, unchanged_columns) of feed.
 
     Images are maps from column to JSON value. An unchanged large value is null in the image and named in
-    unchanged_columns. Begin and commit rows have null images; rows of unknown relations have a null table.
+    unchanged_columns. Begin and commit rows have null images; rows of unknown relations have a null table. asof finds
+    the relation message before each tuple.
     """
     hexed = F.hex("data")
     kind = F.decode(F.substring("data", 1, 1), "UTF-8")
     rows = feed.select("seq", "lsn", "xid", kind.alias("k"), hexed.alias("h"))
     marks = rows.where("k in ('B', 'C')").select("seq", "lsn", "xid", F.when(F.col("k") == "B", "begin").otherwise("commit").alias("kind"))
     data = rows.where("k in ('I', 'U', 'D')").withColumn("relid", _int(F.col("h"), F.lit(3), 4))
-    part = F.decode(F.unhex(F.substring("h", 11, 2)), "UTF-8")
-    data = data.withColumn("part", part).withColumn("one", _tuple(F.col("h"), F.lit(13)))
-    data = data.withColumn("two", F.when((F.col("k") == "U") & F.col("part").isin("K", "O"), _tuple(F.col("h"), (F.col("one.end") + 2).cast("int"))))
-    known = asof_relation(data, relations(feed))
+    known = asof(data, relations(feed))
+    known = known.withColumns({"part": F.decode(F.unhex(F.substring("h", 11, 2)), "UTF-8"), "one": _tuple(F.col("h"), F.lit(13))})
+    known = known.withColumn("two", F.when((F.col("k") == "U") & F.col("part").isin("K", "O"), _tuple(F.col("h"), (F.col("one.end") + 2).cast("int"))))
     pair = lambda items: F.zip_with("columns", items, lambda c, i: F.struct(c["name"].alias("name"), c["oid"].alias("oid"), i["kind"].alias("kind"), i["hex"].alias("hex")))
 
     def image(items: Column) -> Column:
