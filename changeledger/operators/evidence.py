@@ -11,12 +11,13 @@ MANIFEST = "kind string, source_id string, path string, created_at timestamp, si
 
 
 def write_evidence(df: DataFrame, root: str, kind: str, source_id: str, stamp: str, severity: str = "healthy", version: str = "1") -> DataFrame:
-    """Writes a snapshot as JSON under kind/source/stamp and returns its manifest row."""
+    """Writes a snapshot as JSON under kind/source/stamp and returns its manifest row; a retry replaces both."""
     path = f"{root}/{kind}/{source_id}/{stamp}"
-    df.write.json(path)
+    df.write.mode("overwrite").json(path)
     size = df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("size"))
     row = size.select(F.lit(kind).alias("kind"), F.lit(source_id).alias("source_id"), F.lit(path).alias("path"), F.to_timestamp(F.lit(stamp), "yyyyMMdd'T'HHmmss").alias("created_at"), F.col("size").cast("long").alias("size"), F.lit(severity).alias("severity"), F.lit(version).alias("contract_version"))
-    row.write.mode("append").parquet(f"{root}/manifest")
+    entry = row.withColumn("entry", F.lit(f"{kind}-{source_id}-{stamp}")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    entry.partitionBy("entry").parquet(f"{root}/manifest")
     return row
 
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from changeledger.functions import canonical as C
 from changeledger.functions import status as S
 from changeledger.model import CHANGE_EVENT, EVENT_COLUMNS
+from changeledger.operators.versions import Versions
 
 #: Statuses that a later run can resume, best last.
 STATUSES = ("prepared_registered", "broadcast_included", "finalized_exported")
@@ -253,11 +254,20 @@ def proof_bundles(finalized: DataFrame, members: DataFrame | None = None, by: li
     return out.withColumns({"mode": F.lit("single" if members is None else "batch"), "path": path, "safe": safe})
 
 
-def write_bundles(bundles: DataFrame, directory: str) -> None:
-    """Safe bundles, one JSON file per request in its own folder under its source; a rerun replaces the same requests."""
-    rows = bundles.where("safe").drop("safe").repartition("source_id", "request_id")
-    replace = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    replace.partitionBy("source_id", "request_id").json(directory)
+def write_bundles(bundles: DataFrame, directory: str, run: str) -> int:
+    """Commits the safe bundles of one run as JSON lines to the versioned table at `directory`; returns the version.
+
+    Files follow bytes, not requests. The same run again replaces its own rows; a request that a later run exports again
+    is what read_bundles() gives.
+    """
+    table = Versions(bundles.sparkSession, directory, form="json")
+    rows = bundles.where("safe").drop("safe").withColumn("exported", F.lit(table.manifest()["version"] + 1))
+    return table.commit(rows, run)
+
+
+def read_bundles(spark: SparkSession, directory: str) -> DataFrame:
+    """The last export of every request."""
+    return upsert_latest(Versions(spark, directory, form="json").read(), ["source_id", "request_id"], ["exported"]).drop("exported")
 
 
 def write_dlq(rows: DataFrame, directory: str, run: str) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from changeledger.operators import ledger as L
 from changeledger.operators.scratch import scratch_path
+from changeledger.operators.versions import read_versions
 from changeledger.plans.base import SQL, query
 from changeledger.plans.ledger import DELIVERIES, LATEST
 from changeledger.sources.binary import decode_binary_feed
@@ -61,7 +62,7 @@ def stream_deliveries(t):
     for stream, mark in (("a", "one"), ("a", "two"), ("b", "three")):
         feed = runs.stream_feed(t.spark, f"{path}/feed", schema, files=3)
         runs.run_once(feed, runs.deliver_batch(f"{path}/ledger", stream=stream), f"{path}/{mark}")
-    return t.spark.read.parquet(f"{path}/ledger").select("source_id", "external_ref", "k")
+    return read_versions(t.spark, f"{path}/ledger").select("source_id", "external_ref", "k")
 
 
 @query("stream_delivery_status", f"select request_id, status, updated_at from {LATEST}")

@@ -10,6 +10,7 @@ from changeledger.functions import decode as D
 from changeledger.functions import status as S
 from changeledger.functions import tokens as K
 from changeledger.operators.keyset import keyset_after
+from changeledger.operators.versions import Versions
 
 
 def match_specs(feed: DataFrame, specs: DataFrame, on: list[str]) -> DataFrame:
@@ -35,6 +36,13 @@ def purge_processed(log: DataFrame, token: Column | str) -> DataFrame:
     return log.where(F.col("event_id") > F.coalesce(done, F.lit(-(1 << 63))))
 
 
+def publish_purge(log: Versions, token: str) -> int:
+    """Publishes a version of a trigger log without the rows that the checkpoint has passed; only files with such rows are
+    written anew, and readers of the version before still find its files."""
+    done = K.decode_token(F.lit(token), "trigger_cdc")["event_id"]
+    return log.rewrite(F.col("event_id") > F.coalesce(done, F.lit(-(1 << 63))), f"purge-{token}")
+
+
 #: Sections of a decoded line, told apart outside quotes.
 _OLD = r"(?s)old-(?:key|tuple):\s*((?:[^']|'(?:''|[^'])*')*?)\s*new-tuple:\s*(.*)$"
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeledger.operators.ledger import upsert_latest
+from changeledger.operators.versions import FAN, Versions
 
 
 def stream_feed(spark: SparkSession, path: str, schema, decode: Callable[[DataFrame], DataFrame] | None = None, form: str = "parquet", files: int = 100) -> DataFrame:
@@ -18,35 +19,30 @@ def stream_feed(spark: SparkSession, path: str, schema, decode: Callable[[DataFr
     return decode(rows) if decode else rows
 
 
-#: Partitions of a delivery ledger by a hash of the key, so that a batch reads only those it may meet.
-BUCKETS = 64
+def deliver_batch(sink: str, key: Sequence[str] = ("source_id", "external_ref"), stream: str = "main", fan: int = FAN) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that appends only events the ledger, a versioned table at `sink`, does not hold.
 
-
-def deliver_batch(sink: str, key: Sequence[str] = ("source_id", "external_ref"), stream: str = "main") -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that appends only events the ledger does not hold.
-
-    Rows carry the stream, the run (the id that a query keeps with its checkpoint) and the batch id. A batch that runs
-    again after a crash compares with what all others wrote and replaces its own rows; another stream, or the same one
-    after its checkpoint was reset, never replaces them. So no event is lost or doubled.
+    Only files whose filters may hold a key of the batch are opened, and a batch adds one small file; fan of them are
+    merged. A commit's tag is stream, run (the id that a query keeps with its checkpoint) and batch: a batch that runs
+    again after a crash compares with what all others wrote and replaces its own rows; another stream, or the same one after its
+    checkpoint was reset, never replaces them. Of a key's rows in one batch the greatest stays, so a replay stores the
+    same values. The streams of one ledger run one after another. Batches that were merged by then are not replaced:
+    their rows are known, and nothing is doubled.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(sink)
         query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
-        place = F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).cast("int")
-        fresh = batch.dropDuplicates(list(key)).withColumn("bucket", place).persist()
+        tag = f"{stream}/{query}/{batch_id}"
+        table = Versions(spark, sink, key)
+        fresh = upsert_latest(batch, list(key), []).persist()
         try:
-            if jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
-                met = [r.bucket for r in fresh.select("bucket").distinct().collect()]  # BUCKETS of them at most
-                own = (F.col("stream") == stream) & (F.col("run") == query) & (F.col("batch_id") == batch_id)
-                known = spark.read.parquet(sink).where(F.col("bucket").isin(met) & ~own).select(*key)
-                rows = fresh.join(known, list(key), "left_anti")
-            else:
-                rows = fresh
-            marked = rows.withColumns({"stream": F.lit(stream), "run": F.lit(query), "batch_id": F.lit(batch_id)})
-            replace = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            replace.partitionBy("bucket", "stream", "run", "batch_id").parquet(sink)
+            now = table.manifest()
+            paths = table.candidates(fresh, now, tag)
+            rows = fresh.join(table.load(paths, now["schema"]).select(*key), list(key), "left_anti") if paths else fresh
+            if not rows.isEmpty() or any(f["tag"] == tag for f in now["files"]):
+                table.commit(rows, tag)
+                table.compact(fan)
         finally:
             fresh.unpersist()
 

@@ -66,10 +66,9 @@ def test_gate_and_dlq(spark, tmp_path):
         L.write_dlq(rows, f"{tmp_path}/dlq", run)
         assert spark.read.parquet(f"{tmp_path}/dlq").count() == total
     bundles = L.proof_bundles(spark.createDataFrame([("s", "q1"), ("s", "../x")], "source_id string, request_id string"))
-    for _ in range(2):
-        L.write_bundles(bundles, f"{tmp_path}/proofs")
-    assert len(list((tmp_path / "proofs" / "source_id=s" / "request_id=q1").glob("*.json"))) == 1
-    assert [r.request_id for r in spark.read.json(f"{tmp_path}/proofs").collect()] == ["q1"]
+    for run in ("one", "one", "two"):
+        L.write_bundles(bundles.withColumn("note", F.lit(run)), f"{tmp_path}/proofs", run)
+    assert [(r.request_id, r.note) for r in L.read_bundles(spark, f"{tmp_path}/proofs").collect()] == [("q1", "two")]
 
 
 def test_members_of_failed_batches(spark):

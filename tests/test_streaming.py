@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from changeledger.operators.versions import read_versions
 from changeledger.sources import feeds
 from changeledger.streaming import health, runs
 
@@ -19,7 +20,7 @@ def test_run_once_is_idempotent(spark, tmp_path):
     runs.run_once(runs.stream_feed(spark, feed, SCHEMA), each, mark)
     land(spark, feed, [("s", "b", 2), ("t", "a", 3)])
     runs.run_once(runs.stream_feed(spark, feed, SCHEMA), each, mark)
-    got = lambda: sorted((r.source_id, r.external_ref) for r in spark.read.parquet(sink).collect())
+    got = lambda: sorted((r.source_id, r.external_ref) for r in read_versions(spark, sink).collect())
     assert got() == [("s", "a"), ("s", "b"), ("t", "a")]
     each(spark.createDataFrame([("s", "b", 2), ("t", "a", 3)], SCHEMA), 1)  # the last batch again, as after a crash
     assert got() == [("s", "a"), ("s", "b"), ("t", "a")]
@@ -47,7 +48,7 @@ def test_two_streams_and_a_reset_checkpoint_share_a_ledger(spark, tmp_path):
     for k, (stream, rows) in enumerate([("a", [("s", "r1", 1), ("s", "r2", 1)]), ("b", [("t", "r9", 1), ("s", "r2", 1)]), ("a", [("s", "r1", 1), ("s", "r3", 1)])]):
         land(spark, f"{tmp_path}/in{k}", rows)
         runs.run_once(runs.stream_feed(spark, f"{tmp_path}/in{k}", SCHEMA), runs.deliver_batch(sink, stream=stream), f"{tmp_path}/mark{k}")
-    got = sorted((r.source_id, r.external_ref) for r in spark.read.parquet(sink).collect())
+    got = sorted((r.source_id, r.external_ref) for r in read_versions(spark, sink).collect())
     assert got == [("s", "r1"), ("s", "r2"), ("s", "r3"), ("t", "r9")]
 
 
