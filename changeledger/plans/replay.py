@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
+from changeledger.operators import keyset
 from changeledger.operators import ledger as L
 from changeledger.operators.scratch import scratch_path
 from changeledger.operators.versions import read_versions
 from changeledger.plans.base import SQL, query
+from changeledger.plans.capture import ORDERS
 from changeledger.plans.ledger import DELIVERIES, LATEST
+from changeledger.sources import specs
 from changeledger.sources.binary import decode_binary_feed
+from changeledger.sources.sqlite import write_shards
 from changeledger.streaming import health, runs, transactions
 
 #: Messages of three tables of two columns; the first table is renamed at sequence number 7005.
@@ -140,3 +146,12 @@ def stream_binary_feed(t):
     made = transactions.stream_binary_feed(runs.stream_feed(t.spark, f"{path}/feed", rows.schema, files=1))
     runs.run_once(made, lambda found, _: found.write.mode("append").parquet(f"{path}/out"), f"{path}/mark")
     return images(t.spark.read.parquet(f"{path}/out"))
+
+
+@query("sqlite_source", "select o_orderkey, o_custkey, o_orderdate from orders where o_orderdate > timestamp '1995-05-05' or (o_orderdate = timestamp '1995-05-05' and o_orderkey > 900)")
+def sqlite_source(t):
+    """Orders handed over as SQLite files, read by ranges of row ids after a cursor, which the files' own filters see."""
+    path = scratch_path(t.spark)
+    write_shards(t.orders.select("o_orderkey", "o_custkey", "o_orderdate").repartition(4), path, "orders")
+    rows = specs.read_source(t.spark, "sqlite", {"path": path, "table": "orders"})
+    return keyset.watermark_scan(rows, ORDERS, (dt.datetime(1995, 5, 5), 900)).select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"))

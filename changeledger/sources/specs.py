@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from changeledger.functions import canonical as C
 from changeledger.model import TableSpec
+from changeledger.sources.sqlite import read_sqlite
 
 #: The JDBC engines and their drivers; the other sources name a Spark connector.
 JDBC = {
@@ -44,8 +45,11 @@ def reader_options(kind: str, options: dict) -> tuple[str, dict]:
 
 
 def read_source(spark: SparkSession, kind: str, options: dict) -> DataFrame:
+    """A source by its kind: a registered reader, SQLite files by path and table, else Spark's connector for it."""
     if kind in _READERS:
         return _READERS[kind](spark, options)
+    if kind == "sqlite" and "table" in options:
+        return read_sqlite(spark, options)
     name, rest = reader_options(kind, options)
     path = rest.pop("path", None) if name == "parquet" else None
     return spark.read.format(name).options(**rest).load(*([path] if path else []))
