@@ -94,6 +94,13 @@ def redo_where_values(sql: Column) -> Column:
 TAGS = ("datetime", "date", "time", "decimal", "decimal128", "objectid", "timestamp", "bytes", "binary", "null", "str", "int", "float", "bool")
 
 
+#: Tags whose values can be compared with a column of a type.
+FITTING = {
+    "bigint": ("int", "null"), "int": ("int", "null"), "smallint": ("int", "null"), "tinyint": ("int", "null"), "double": ("float", "int", "null"), "float": ("float", "int", "null"), "boolean": ("bool", "null"),
+    "decimal": ("decimal", "decimal128", "int", "null"), "timestamp": ("datetime", "timestamp", "null"), "timestamp_ntz": ("datetime", "timestamp", "null"), "date": ("date", "null"), "string": ("str", "objectid", "time", "null"),
+}
+
+
 def tag_value(col: Column, tag: str) -> Column:
     """(type, value): a checkpoint scalar as text that keeps its type."""
     if tag not in TAGS:

@@ -273,7 +273,18 @@ def join_checkpoints(t):
     """Fleet-wide resume: rows of many tables against one exploded token."""
     rows = t.sql("select o_orderkey, concat('sales.', case o_orderkey % 3 when 0 then 'a' when 1 then 'b' else 'c' end) as key from {orders}")
     token = '{"sales.a": {"pk": [100], "watermark": "2020-01-01T00:00:00Z"}, "sales.b": {"pk": [200], "watermark": "2020-01-01T00:00:00Z"}}'
-    return N.join_checkpoints(rows, "key", F.col("o_orderkey"), F.lit(token), {"sales.a": 1, "sales.b": 1}).select("o_orderkey", "key", "last")
+    return N.join_checkpoints(rows, "key", F.lit(token), ["o_orderkey"]).select("o_orderkey", "key", F.col("cursor.pk")[0].alias("last"))
+
+
+@query("join_checkpoints_composite", """with l as (select *, 'sales.' || case l_suppkey % 3 when 0 then 'a' when 1 then 'b' else 'c' end as key, 'k' || l_linenumber as part from lineitem)
+select l_orderkey, part, key, l_shipdate from l where key = 'sales.c' or (key = 'sales.a' and (l_shipdate, l_orderkey, part) > (timestamp '1995-06-17 00:00:00', 1000, 'k3'))
+ or (key = 'sales.b' and (l_shipdate, l_orderkey, part) > (timestamp '1996-01-02 00:00:00', 9, 'k10'))""")
+def join_checkpoints_composite(t):
+    """Watermark, number and text, part by part: 9 is before 1000 and k10 before k9; one table's cursor is tagged."""
+    rows = t.lineitem.withColumns({"key": F.expr("concat('sales.', case l_suppkey % 3 when 0 then 'a' when 1 then 'b' else 'c' end)"), "part": F.concat(F.lit("k"), "l_linenumber")})
+    tagged = '{"pk": [{"type": "int", "value": "9"}, {"type": "str", "value": "k10"}], "watermark": {"type": "datetime", "value": "1996-01-02T00:00:00.000000"}}'
+    token = '{"sales.a": {"pk": [1000, "k3"], "watermark": "1995-06-17T00:00:00Z"}, "sales.b": ' + tagged + "}"
+    return N.join_checkpoints(rows, "key", F.lit(token), ["l_orderkey", "part"], "l_shipdate").select("l_orderkey", "part", "key", "l_shipdate")
 
 
 @query("lsn_math", """with v as (select event_id, event_id * 7919 // 4096 as hi, case when event_id % 5 = 0 then 0 else (event_id * 104729) % 4294967296 end as lo from events)

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeledger.functions import canonical as C
+from changeledger.functions import decode as D
 from changeledger.functions import tokens as K
 from changeledger.model import EVENT_COLUMNS, KeySpec, SourceSpec, TableSpec
-from changeledger.operators.keyset import watermark_scan
+from changeledger.operators.keyset import keyset_after, watermark_scan
 from changeledger.operators.prefix import running_last, sequence
 
 
@@ -81,16 +82,34 @@ def union_candidates(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def join_checkpoints(rows: DataFrame, key: str, cursor: Column, token: Column, keys: dict[str, int]) -> DataFrame:
-    """Fleet-wide resume: rows of many tables (named in `key`) behind their table's cursor go; tables without one stay.
+def _typed(element: Column, kind: str) -> Column:
+    """An element of a cursor as a value of the column that it is compared with: a JSON scalar's text, or that of a tagged
+    value, whose tag must fit the column's type."""
+    tagged = F.from_json(element, "type string, value string")
+    good = F.lit(",".join(D.FITTING.get(kind.split("(")[0], ("str", "null"))))
+    fits = F.find_in_set(tagged["type"], good) > 0
+    value = F.when(tagged["type"].isNull() | tagged["value"].isNull(), element).when(fits, tagged["value"])
+    value = value.otherwise(F.raise_error(F.concat(F.lit(f"a cursor of {kind} holds "), tagged["type"])).cast("string"))
+    return value.cast(kind)
 
-    token holds the cursors of `keys` (table to number of key columns); rows compare their first key column, `cursor`,
-    with that of the token. The exploded token has a row per table, and Spark picks the join by its size.
+
+def join_checkpoints(rows: DataFrame, key: str, token: Column, pk: list[str], watermark: str | None = None) -> DataFrame:
+    """Fleet-wide resume: rows of many tables (named in `key`) at or behind their table's cursor go; tables without one stay.
+
+    Rows compare as (watermark, *pk), or as pk alone without a watermark column, with the same parts of their table's
+    entry of the token, part by part and each by its column's type; rows with a null part, which no cursor passes, go where
+    there is a cursor. A key list of another length is an error. `cursor` is the entry, as text. The exploded token has a
+    row per table, and Spark picks the join by its size.
     """
     spark = rows.sparkSession
-    state = spark.range(1).select(F.explode(K.decode_watermarks(token, keys)).alias("__key", "s")).select("__key", F.col("s.pk")[0].alias("last"))
-    joined = rows.join(state, rows[key] == state["__key"], "left").drop("__key")
-    return joined.where(F.col("last").isNull() | (cursor > F.col("last").cast("bigint")))
+    entries = spark.range(1).select(F.explode(K.decode_watermarks(token)).alias("__key", "cursor"))
+    length = F.when(F.size("cursor.pk") == len(pk), F.col("cursor")).otherwise(F.raise_error(F.lit("checkpoint key has a wrong number of values")).cast("struct<watermark:string,pk:array<string>>"))
+    entries = entries.withColumn("cursor", length)
+    kinds = dict(rows.dtypes)
+    joined = rows.join(entries, rows[key] == entries["__key"], "left").drop("__key")
+    parts = ([(watermark, F.col("cursor.watermark"))] if watermark else []) + [(c, F.get("cursor.pk", F.lit(i))) for i, c in enumerate(pk)]
+    after = keyset_after([F.col(c) for c, _ in parts], [_typed(x, kinds[c]) for c, x in parts])
+    return joined.where(F.col("cursor").isNull() | after)
 
 
 def _given(cursor: tuple) -> str:
