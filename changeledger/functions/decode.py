@@ -15,16 +15,23 @@ REDO_VALUE = r"((?:TO_\w+\((?:'(?:''|[^'])*'|[^()'])*\))|'(?:''|[^'])*'|[^,\s()]
 OIDS = {"int": (20, 21, 23, 26), "float": (700, 701), "bool": (16,), "text_number": (1700,), "json": (114, 3802)}
 
 
+#: Fixed value: what the output plugin writes for a large value that an update leaves as it was.
+UNCHANGED = "unchanged-toast-datum"
+
+
 def pg_literal(literal: Column) -> Column:
-    """Text of a literal: NULL is null, quotes go, doubled quotes become one; other text stays."""
+    """Text of a literal: NULL and an unchanged value are null, quotes go, doubled quotes become one, bits are their digits;
+    other text stays."""
     quoted = F.regexp_extract(literal, r"(?s)^'(.*)'$", 1)
-    return F.when(F.upper(literal) == "NULL", F.lit(None).cast("string")).when(literal.startswith("'"), F.replace(quoted, F.lit("''"), F.lit("'"))).otherwise(literal)
+    bits = literal.rlike(r"^B'[01]*'$")
+    text = F.when(literal.startswith("'"), F.replace(quoted, F.lit("''"), F.lit("'"))).when(bits, F.regexp_extract(literal, "'(.*)'", 1)).otherwise(literal)
+    return F.when((F.upper(literal) != "NULL") & (literal != UNCHANGED), text)
 
 
 def pg_literal_json(literal: Column) -> Column:
     """The literal as JSON: null, number and boolean literals bare, all else as a string."""
     bare = literal.rlike(r"^-?(0|[1-9]\d*)$") | literal.isin("true", "false")
-    return F.when(F.upper(literal) == "NULL", F.lit("null")).when(bare, literal).otherwise(_string(pg_literal(literal)))
+    return F.when((F.upper(literal) == "NULL") | (literal == UNCHANGED), F.lit("null")).when(bare, literal).otherwise(_string(pg_literal(literal)))
 
 
 def _string(text: Column) -> Column:
@@ -53,6 +60,13 @@ def text_image(section: Column) -> Column:
     return F.when(section.isNotNull() & (F.size(names) > 0), image_)
 
 
+def text_unchanged(section: Column) -> Column:
+    """Names of the columns of a section whose value an update left as it was."""
+    names, values = F.regexp_extract_all(section, F.lit(TEXT_COLUMN), F.lit(1)), F.regexp_extract_all(section, F.lit(TEXT_COLUMN), F.lit(3))
+    marked = F.filter(F.arrays_zip(names.alias("name"), values.alias("value")), lambda x: x["value"] == UNCHANGED)
+    return F.transform(marked, lambda x: identifier(x["name"]))
+
+
 def redo_value(value: Column) -> Column:
     """Text of a redo literal; time literals become UTC text, NULL null."""
     inner = F.regexp_extract(value, r"^TO_\w+\('((?:''|[^'])*)'", 1)

@@ -76,6 +76,17 @@ def text_feed(t):
     return out.select("o_orderkey", "kind", "operation", raw_json("before"), raw_json("after"))
 
 
+@query("text_feed_unchanged", """select o_orderkey, '{"bits":"0110","id":' || o_orderkey || ',"note":' || case when o_custkey % 3 = 0 then 'null' when o_custkey % 3 = 1 then '"unchanged-toast-datum"' else 'null' end
+ || ',"odd name":' || case when o_custkey % 2 = 0 then 'null' else '"x"' end || '}' as after,
+ concat_ws(',', case when o_custkey % 3 = 0 then 'note' end, case when o_custkey % 2 = 0 then 'odd name' end) as unchanged from orders""")
+def text_feed_unchanged(t):
+    """Values that an update left as they were, beside nulls and texts that only look like them, and bit strings."""
+    rows = t.sql("""select o_orderkey, '0/1' as lsn, '7' as xid, concat('table app.notes: UPDATE: id[bigint]:', o_orderkey, ' note[text]:',
+        case o_custkey % 3 when 0 then 'unchanged-toast-datum' when 1 then "'unchanged-toast-datum'" else 'null' end, ' "odd name"[text]:', if(o_custkey % 2 = 0, 'unchanged-toast-datum', "'x'"), " bits[bit(4)]:B'0110'") as data from {orders}""")
+    out = feeds.decode_text_feed(rows)
+    return out.select("o_orderkey", raw_json("after"), F.array_join("unchanged_columns", ",").alias("unchanged"))
+
+
 def raw_json(column: str):
     """A map of JSON values as one canonical object."""
     pairs = F.transform(F.array_sort(F.map_entries(column)), lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"]))

@@ -48,10 +48,12 @@ _OLD = r"(?s)old-(?:key|tuple):\s*((?:[^']|'(?:''|[^'])*')*?)\s*new-tuple:\s*(.*
 
 
 def decode_text_feed(feed: DataFrame) -> DataFrame:
-    """feed (lsn, xid, data, ...) with kind (begin, commit, row, other), schema, table, operation, before and after.
+    """feed (lsn, xid, data, ...) with kind (begin, commit, row, other), schema, table, operation, before, after and
+    unchanged_columns.
 
     Images are maps from column to JSON value. An insert has an after image, a delete a before image from its old key
-    or its only tuple, an update both where the line holds both.
+    or its only tuple, an update both where the line holds both. A large value that an update left as it was is null in
+    the image and named in unchanged_columns.
     """
     data = F.col("data")
     head = rf"(?s)^table ({D.IDENTIFIER})\.({D.IDENTIFIER}): (INSERT|UPDATE|DELETE): ?(.*)$"
@@ -63,7 +65,7 @@ def decode_text_feed(feed: DataFrame) -> DataFrame:
     before = F.when(F.col("__op") == "DELETE", F.col("__body")).when(split & (F.col("__op") == "UPDATE"), old)
     after = F.when(F.col("__op") == "INSERT", F.col("__body")).when(F.col("__op") == "UPDATE", F.when(split, new).otherwise(F.col("__body")))
     named = lambda i: F.when(is_row, D.identifier(F.regexp_extract(data, head, i)))
-    return out.withColumns({"schema": named(1), "table": named(2), "operation": F.when(is_row, F.lower("__op")), "before": D.text_image(before), "after": D.text_image(after)}).drop("__op", "__body")
+    return out.withColumns({"schema": named(1), "table": named(2), "operation": F.when(is_row, F.lower("__op")), "before": D.text_image(before), "after": D.text_image(after), "unchanged_columns": D.text_unchanged(after)}).drop("__op", "__body")
 
 
 def row_events(feed: DataFrame, specs: DataFrame | None = None, state: tuple | None = None, row_limit: int = 0) -> DataFrame:
