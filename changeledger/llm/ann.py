@@ -25,6 +25,8 @@ from changeledger.llm.common import Scratch
 SHARE, LEAST, MOST = 50, 20_000, 200_000
 #: Further sampled vectors that calibrate the visits; children of a node; sample vectors in a leaf.
 HELD_OUT, BRANCH, LEAF, SEED = 10_000, 8, 40, 5
+#: Components whose squares could overflow in sums, and whose inverses' squares could vanish.
+LARGE = 2.0**500
 #: Recall among the held-out vectors from which no more leaves are visited.
 RECALL = 0.97
 #: Rows of a leaf in one block at most, queries of a leaf in one block, and queries compared with a block at a time.
@@ -34,6 +36,10 @@ BLOCK, QUERIES, STEP = 8192, 16_384, 512
 class Tree:
     def __init__(self, x: np.ndarray, branch: int = BRANCH, leaf: int = LEAF):
         rnd = np.random.default_rng(SEED)
+        # A power of two that brings the sample's components to where their squares are safe.
+        top = np.abs(x).max(initial=0)
+        self.scale = 2.0 ** (int(np.frexp(top)[1]) - 1) if top > LARGE else 1.0
+        x = x / self.scale
         self.centers, self.children = [x.mean(0) if len(x) else np.zeros(x.shape[1])], [None]
         todo = [(0, np.arange(len(x)))]
         while todo:
@@ -54,6 +60,7 @@ class Tree:
 
     def leaves(self, x: np.ndarray) -> np.ndarray:
         """The leaf that each row descends to."""
+        x = x / self.scale
         at = np.zeros(len(x), np.int64)
         todo = [(0, np.arange(len(x)))]
         while todo:
@@ -68,6 +75,7 @@ class Tree:
 
     def search(self, q: np.ndarray, visits: int, sizes: dict[int, int] | None = None, least: int = 0) -> list[int]:
         """The first `visits` leaves of one query, best bin first, and more until they hold `least` rows by `sizes`."""
+        q = q / self.scale
         heap, out, held = [(0.0, 0)], [], 0
         while heap and (len(out) < visits or held < least):
             _, node = heapq.heappop(heap)
@@ -94,7 +102,7 @@ class Tree:
             return
         leaf, rank = self.leaves(x), []
         for i in rows:
-            d = ((x - x[i]) ** 2).sum(1)
+            d = _far(x, x[i])
             d[i] = np.inf
             near = np.argpartition(d, k)[:k]
             order = {n: j for j, n in enumerate(self.search(x[i], total))}
@@ -240,13 +248,31 @@ def _cells(sizes: dict[int, int], block: int) -> dict[int, tuple[int, int]]:
 def _near(ids: np.ndarray, x: np.ndarray, q: np.ndarray, own: np.ndarray, who: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query place, vec_id, distance) of each query's k nearest rows of one leaf, ties of the last included.
 
-    A matrix product finds them up to its rounding error; the distances returned are computed exactly.
+    A matrix product finds them up to its rounding error; the distances returned are computed exactly. Where components are so
+    large or small that sums of squares could overflow or vanish, _far computes all distances; one beyond double precision is infinite
+    and still ranks.
     """
-    square, length = (x * x).sum(1), (q * q).sum(1)
-    d = length[:, None] + square[None, :] - 2 * q @ x.T
-    d[ids[None, :] == own[:, None]] = np.inf
-    last = np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1]
-    slack = 1e-12 * (length + square.max())
-    i, j = np.nonzero((d <= (last + slack)[:, None]) & np.isfinite(d))
-    far = np.concatenate([np.sqrt(((x[j[a : a + 65536]] - q[i[a : a + 65536]]) ** 2).sum(1)) for a in range(0, len(i), 65536)] or [np.zeros(0)])
+    mine = ids[None, :] == own[:, None]
+    if not 1 / LARGE <= max(np.abs(x).max(initial=0), np.abs(q).max(initial=0)) <= LARGE:
+        d, slack = np.stack([_far(x, one) for one in q]), 0.0
+    else:
+        square, length = (x * x).sum(1), (q * q).sum(1)
+        d, slack = length[:, None] + square[None, :] - 2 * q @ x.T, 1e-12 * (length + square.max())[:, None]
+    # Own rows come last, after any candidates at infinity.
+    d[mine] = np.nan
+    last = np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1 :][:, :1]
+    i, j = np.nonzero(((d <= last + slack) | np.isnan(last)) & ~mine)
+    far = np.concatenate([_far(x[j[a : a + 65536]], q[i[a : a + 65536]]) for a in range(0, len(i), 65536)] or [np.zeros(0)])
     return who[i], ids[j], far
+
+
+def _far(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances of rows; differences that are large or tiny are divided by a power of two, which changes no rounding."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        step = np.abs(x - q)
+        top = step.max(1, initial=0)
+        odd = (top > LARGE) & np.isfinite(top) | (top < 1 / LARGE) & (top > 0)
+        if not odd.any():
+            return np.sqrt((step * step).sum(1))
+        scale = np.where(odd, 2.0 ** (np.frexp(top)[1] - 1.0), 1.0)
+        return np.sqrt(((step / scale[:, None]) ** 2).sum(1)) * scale

@@ -1,7 +1,8 @@
 """URL verdicts: host and path rules, and block decisions carried along redirects; DataFrame functions only.
 
 An edge joins a page's address (host and path) to every address that its canonical links and refresh redirects name:
-absolute, without scheme, from the root or relative, with dot segments resolved and character references decoded.
+absolute, without scheme, from the root or relative to the page or its first base, with dot segments resolved and character
+references decoded. Tags are read attribute by attribute, quoted values as units; comments, scripts and styles are left out.
 Distributed connected components over these edges are the alias classes. A page's own rule decides first, so an
 explicit allow stays; a page without a rule is blocked if any address of its class falls under a block rule.
 """
@@ -24,10 +25,12 @@ RULES = (
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The named character references that occur in addresses.
 NAMED = (("&quot;", '"'), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
-VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-WORDS = r"""(?:"(?:[^"]*\s)?canonical(?:\s[^"]*)?"|'(?:[^']*\s)?canonical(?:\s[^']*)?'|canonical\b)"""
-CANONICAL = r"(?is)<link\b[^>]*\srel\s*=\s*" + WORDS + "[^>]*>"
-REFRESH = r"""(?is)<meta\b[^>]*\shttp-equiv\s*=\s*["']?\s*refresh\b[^>]*>"""
+#: What holds no tags of the page: comments, and the text of scripts and styles, closed or not.
+SILENT = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\b|\z)|<style\b.*?(?:</style\b|\z)"
+#: A tag of interest to its end: a quoted value after `=` is one unit, so a `>` inside it ends nothing.
+TAG = r"""(?is)<(?:link|meta|base)\b(?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+>"""
+#: An attribute: its name, and its value in double quotes, single quotes or none.
+ATTRIBUTE = r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?"""
 TARGET = r"""(?is)^[\s\d.]*[;,]\s*(?:url\s*=)?\s*["']?([^"']+)"""
 REFERENCE = r"&#(?:[xX]([0-9a-fA-F]{1,6})|([0-9]{1,7}));?"
 
@@ -52,10 +55,25 @@ def rule(host_: Column, path_: Column, rules=RULES) -> tuple[Column, Column]:
     return tuple(F.coalesce(*[F.when(f, F.lit(value(r))) for f, r in zip(fits, ordered)]) for value in (lambda r: r[0] + r[1], lambda r: r[2]))
 
 
+def tags(html: Column) -> Column:
+    """The link, meta and base tags of a page in order: (name, attributes), both in lower case but for values.
+
+    attributes is an array of (name, value); a name that repeats counts once, the first.
+    """
+    def read(tag: Column) -> Column:
+        inner = F.regexp_replace(tag, r"(?is)^<(?:link|meta|base)", "")
+        part = lambda i: F.regexp_extract_all(inner, F.lit(ATTRIBUTE), F.lit(i))
+        joined = lambda a, b: F.concat(a, b)
+        value = F.zip_with(F.zip_with(part(2), part(3), joined), part(4), joined)
+        return F.struct(F.lower(F.substring(tag, 2, 4)).alias("tag"), F.zip_with(part(1), value, lambda n, v: F.struct(F.lower(n).alias("name"), v.alias("value"))).alias("has"))
+
+    shown = F.regexp_replace(html, SILENT, " ")
+    return F.transform(F.regexp_extract_all(shown, F.lit(TAG), F.lit(0)), read)
+
+
 def _attribute(tag: Column, name: str) -> Column:
-    """An attribute's value, whichever way it is quoted; empty if there is none."""
-    pattern = r"(?is)\s" + name + VALUE
-    return F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
+    """An attribute's value; empty if there is none."""
+    return F.coalesce(F.get(F.filter(tag["has"], lambda a: a["name"] == name), F.lit(0))["value"], F.lit(""))
 
 
 def _decoded(text: Column) -> Column:
@@ -104,11 +122,17 @@ def target_address(to: Column, host_: Column, path_: Column) -> Column:
 
 def alias_edges(pages: DataFrame) -> DataFrame:
     """(a, b): a page's address and each address that its canonical links and refresh redirects name."""
-    tags = lambda pattern: F.regexp_extract_all("html", F.lit(pattern), F.lit(0))
-    links = F.transform(tags(CANONICAL), lambda t: _decoded(_attribute(t, "href")))
-    moves = F.transform(tags(REFRESH), lambda t: F.regexp_extract(_decoded(_attribute(t, "content")), TARGET, 1))
-    found = pages.select("node", "host", "path", F.explode(F.concat(links, moves)).alias("to"))
-    edges = found.select(F.col("node").alias("a"), target_address(F.col("to"), F.col("host"), F.col("path")).alias("b"))
+    rows = pages.where(F.col("html").rlike("(?i)canonical|refresh")).select("node", "host", "path", tags(F.col("html")).alias("tags"))
+    based = F.get(F.filter("tags", lambda t: (t["tag"] == "base") & F.exists(t["has"], lambda a: a["name"] == "href")), F.lit(0))
+    base = target_address(_decoded(_attribute(based, "href")), F.col("host"), F.col("path"))
+    rows = rows.withColumn("base", F.when(based.isNotNull(), F.nullif(base, F.lit(""))))
+    canonical = lambda t: (t["tag"] == "link") & F.array_contains(F.split(F.lower(_attribute(t, "rel")), r"\s+"), "canonical")
+    refresh = lambda t: (t["tag"] == "meta") & (F.lower(F.trim(_attribute(t, "http-equiv"))) == "refresh")
+    links = F.transform(F.filter("tags", canonical), lambda t: _decoded(_attribute(t, "href")))
+    moves = F.transform(F.filter("tags", refresh), lambda t: F.regexp_extract(_decoded(_attribute(t, "content")), TARGET, 1))
+    found = rows.select("node", "host", "path", "base", F.explode(F.concat(links, moves)).alias("to"))
+    at = [F.coalesce(F.regexp_extract("base", r"(?s)^([^/]*)(.*)$", i), F.col(c)) for i, c in ((1, "host"), (2, "path"))]
+    edges = found.select(F.col("node").alias("a"), target_address(F.col("to"), *at).alias("b"))
     return edges.where("a != '' and b != '' and a != b")
 
 
@@ -116,7 +140,7 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict) for every row of pages (page_id, url, html; other columns are ignored).
 
     A null url or one without `://` has empty host and path, no rule and verdict allow. Repeated rows each get a row;
-    null html names no alias; an empty table gives no rows.
+    null html names no alias, and html of any length is read whole; an empty table gives no rows.
     """
     base = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     base = base.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), "html")

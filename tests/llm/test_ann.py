@@ -76,3 +76,18 @@ def test_query(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     rows = [r for r in rows if r[1] is not None and all(x is not None and np.isfinite(x) for x in r[1]) and any(r[1])]
     assert recall(op5_ann(spark, SF).collect(), brute(rows, [r for r in rows if r[0] % 100 == 0])) >= 0.95
+
+
+def test_large_components(spark):
+    """Components near the ends of double precision: all candidates come, in the order of their exact distances."""
+    rnd = np.random.default_rng(3)
+    x = [rnd.normal(size=4) * 10.0 ** e for e in [160] * 20 + [0] * 15 + [-160] * 5] + [np.array([1.7e308, 0, 0, 0]), np.array([-1.7e308, 0, 0, 0])]
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.search(df, df, k=50).orderBy("query_id", "rank").collect()
+    exact = lambda a, b: float(np.hypot.reduce(np.abs(a - b)))
+    with np.errstate(over="ignore"):
+        for q in range(len(x)):
+            mine = [r for r in got if r.query_id == q]
+            want = sorted((exact(x[q], x[v]), v) for v in range(len(x)) if v != q)
+            assert sorted(r.vec_id for r in mine) == sorted(v for _, v in want) and [r.rank for r in mine] == list(range(1, len(x)))
+            assert np.allclose([r.score for r in mine], [d for d, _ in want], rtol=1e-12, atol=0)

@@ -48,6 +48,33 @@ def test_small(spark):
     assert sorted(map(str, want)) == sorted(str((r.page_id, r.host, r.path, r.rule, r.verdict)) for r in got)
 
 
+def test_html_is_read_tag_by_tag(spark):
+    """Each page either names http://f.net/es/1 (blocked), or only seems to."""
+    to = "http://f.net/es/1"
+    yes = [
+        f'<link title="a>b" rel="canonical" href="{to}">', f"<link title='>' rel=canonical href={to} >", f'<link data-x="rel=alternate" rel="canonical" href="{to}"/>', f"<LINK HREF='{to}' REL='x CANONICAL'>",
+        f'<base href="http://f.net/es/"><link rel=canonical href="1">', f'<base target=_top><base href="//f.net/es/x"><base href="http://c.org/"><link rel=canonical href=1>', f'<base href="/es/"><link rel=canonical href="//f.net/es/1">',
+        f"<!-- x --><link rel=canonical href={to}><!-- y", f"<script>a<b</script><link rel=canonical href={to}>", f'<meta content="0; url={to}" http-equiv="Refresh">', f'<base href="http://f.net/es/"><meta http-equiv=refresh content="3;url=1">',
+        f'<link rel=canonical title=it\'s href="{to}">', f'<link rel="canonical" href="{to}" rel="alternate">',
+    ]
+    no = [
+        f"<!-- <link rel=canonical href={to}> -->", f"<script>'<link rel=canonical href={to}>'</script>", f"<style><link rel=canonical href={to}>", f"<!-- open <link rel=canonical href={to}>", f'<link title="rel=canonical" rel=alternate href="{to}">',
+        f'<p title="<link rel=canonical">x</p><link rel="x-canonical" href="{to}">', '<base href="http://c.org/"><link rel=canonical href="/es/1">', f'<linkx rel=canonical href="{to}">', f'<link rel=alternate rel=canonical href="{to}">',
+    ]
+    long = "<p a='" + "=" * 200_000 + "'>" + "x" * 200_000
+    rows = [(i, f"http://p{i}.org/a", h) for i, h in enumerate(yes + no + [long + yes[0]])]
+    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    wrong = [rows[i][2][:200] for i, v in got.items() if v != ("block" if i < len(yes) or i == len(rows) - 1 else "allow")]
+    assert not wrong and len(got) == len(rows), wrong
+
+
+def test_a_base_moves_the_block(spark):
+    """A blocked page with a base elsewhere hands its block to the address that its canonical link names there."""
+    rows = [(1, "http://f.net/es/1", '<base href="http://c.org/d/"><link rel=canonical href=z>'), (2, "http://c.org/d/z", ""), (3, "http://f.net/es/z", "")]
+    got = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: "block", 2: "block", 3: "block"}
+
+
 def test_resolved(spark):
     cases = {"/a/b/../c": "/a/c", "/..": "/", "/a/.": "/a/", "/a/./b": "/a/b", "": "", "/../../x": "/x", "/a//b": "/a//b", "/a/..": "/"}
     df = spark.createDataFrame([(k,) for k in cases], "p string")
