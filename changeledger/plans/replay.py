@@ -155,3 +155,65 @@ def sqlite_source(t):
     write_shards(t.orders.select("o_orderkey", "o_custkey", "o_orderdate").repartition(4), path, "orders")
     rows = specs.read_source(t.spark, "sqlite", {"path": path, "table": "orders"})
     return keyset.watermark_scan(rows, ORDERS, (dt.datetime(1995, 5, 5), 900)).select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"))
+
+
+PLACE = "least(3, cast(floor((event_id - lo) * 4 / (hi - lo + 1)) as int))"
+EVENT_FILES = f"""with m as (select min(event_id) as lo, max(event_id) as hi from events), e as (select *, {PLACE} as part from events, m)"""
+
+
+def event_files(t) -> tuple[str, object]:
+    """The events as four files by ranges of ids, landed one after another."""
+    rows, path = t.events.select("event_id", "user_id", "event_type"), scratch_path(t.spark)
+    in_order(rows, f"{path}/feed", 4, "event_id")
+    return path, rows.schema
+
+
+@query("stream_forever", "select 's' || (user_id % 10) as source_id, 'e' || event_id as external_ref from events")
+def stream_forever(t):
+    """A polling stream that stops after as many loops as there are files."""
+    path, schema = event_files(t)
+    feed = runs.stream_feed(t.spark, f"{path}/feed", schema, files=1)
+    named = feed.select(F.concat(F.lit("s"), F.col("user_id") % 10).alias("source_id"), F.concat(F.lit("e"), "event_id").alias("external_ref"))
+    runs.run_forever(named, runs.deliver_batch(f"{path}/ledger"), f"{path}/mark", "0 seconds", 4)
+    return read_versions(t.spark, f"{path}/ledger").select("source_id", "external_ref")
+
+
+@query("stream_drift", EVENT_FILES + """, k as (select part, event_type, min(part) over (partition by event_type) as first from e)
+select b.part as batch_id, event_type as source_id from (select distinct part from k) b join (select distinct event_type, first from k) f on b.part > f.first""")
+def stream_drift(t):
+    """Before each batch, sources whose signature differs from the stored one; here a source changes once it has delivered."""
+    path, schema = event_files(t)
+    kinds = t.events.select(F.col("event_type").alias("source_id"), F.lit("new").alias("signature")).distinct()
+    seen = []
+
+    def current(spark):
+        there = read_versions(spark, f"{path}/ledger").select("source_id").distinct() if seen else spark.createDataFrame([], "source_id string")
+        stored = kinds.join(there, "source_id", "left_anti").unionByName(there.withColumn("signature", F.lit("old")))
+        return specs.signature_changed(stored, kinds)
+
+    def changed(found):
+        found.select("source_id", F.lit(len(seen)).cast("long").alias("batch_id")).write.mode("append").parquet(f"{path}/drift")
+
+    deliver = runs.deliver_batch(f"{path}/ledger")
+
+    def each(batch, batch_id):
+        deliver(batch.select(F.col("event_type").alias("source_id"), F.col("event_id").cast("string").alias("external_ref")), batch_id)
+        seen.append(batch_id)
+
+    runs.run_once(runs.stream_feed(t.spark, f"{path}/feed", schema, files=1), runs.drift_check(current, changed, each), f"{path}/mark")
+    return t.spark.read.parquet(f"{path}/drift")
+
+
+@query("stream_snapshots", EVENT_FILES + " select b as batch_id, (select count(*) from e where part <= b) as delivered from (select unnest([0, 2]) as b)")
+def stream_snapshots(t):
+    """A snapshot of the ledger's size after a batch, where the last one is 15 seconds old by a clock of ten seconds a batch."""
+    path, schema = event_files(t)
+    deliver = runs.deliver_batch(f"{path}/ledger", ["external_ref"])
+
+    def take(spark, batch_id):
+        count = read_versions(spark, f"{path}/ledger").agg(F.count("*").alias("delivered"))
+        count.select(F.lit(batch_id).cast("long").alias("batch_id"), "delivered").write.mode("append").parquet(f"{path}/shots")
+
+    each = runs.snapshot_every(15, take, lambda batch, k: deliver(batch.select(F.col("event_id").cast("string").alias("external_ref")), k), f"{path}/last", iter(range(0, 1000, 10)).__next__)
+    runs.run_once(runs.stream_feed(t.spark, f"{path}/feed", schema, files=1), each, f"{path}/mark")
+    return t.spark.read.parquet(f"{path}/shots")
