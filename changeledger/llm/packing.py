@@ -24,7 +24,8 @@ def pack(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """(bin, offset) of every piece.
 
     Pieces above a third of the capacity fit at most twice into a bin: each, the longest first, is matched with the
-    longest remaining one that still fits. The others fill the smallest gap that holds them, the longest first.
+    longest remaining one that still fits. The others fill the smallest gap that holds them, the longest first. Of
+    equal lengths the earlier piece comes first.
     """
     n = len(lengths)
     bins, offsets = np.full(n, -1, np.int64), np.zeros(n, np.int64)

@@ -189,7 +189,7 @@ def compact(first: DataFrame) -> DataFrame:
     """Repeated edges (f, t, src, src_p, src_dk) with `head`, the source place of the first edge of their path.
 
     A path follows consecutive source coordinates and ends where the node between two edges has more than one repeated
-    edge in or out.
+    edge in or out. The window over a source holds that text's repeated edges, and so is bounded by its words.
     """
     leaving = first.groupBy(F.col("f").alias("node")).agg(F.count("*").alias("outs"))
     entering = first.groupBy(F.col("t").alias("node")).agg(F.count("*").alias("ins"))
@@ -272,7 +272,8 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
 
     Null or empty texts have no words and keep the empty text; texts under `window` words lose nothing. A null doc_id
     orders after all others. Rows that share an id (or have none) are judged apart and never against each other; equal
-    rows get equal answers. Other columns are ignored; an empty table gives no rows.
+    rows get equal answers. Texts are read whole, however long: one task holds one text with the spans that others take
+    from it, each start and length once. Other columns are ignored; an empty table gives no rows.
     """
     texts, rows, spans = repeated_spans(docs, window)
     per_row = spans.groupBy("rid").agg(F.collect_list(F.struct("start", "n", "digest")).alias("spans"))
