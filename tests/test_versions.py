@@ -56,22 +56,22 @@ def test_two_writers(spark, tmp_path, monkeypatch):
 
 
 def test_files_read_and_kept_stay_few(spark, tmp_path, monkeypatch):
-    """Forty batches of new keys: what a batch opens does not grow, and files follow the logarithm of batches."""
+    """Batches of new keys: what a batch opens does not grow, and files follow the logarithm of batches."""
     sink, opened = f"{tmp_path}/ledger", []
     plain = V.Versions.candidates
     monkeypatch.setattr(V.Versions, "candidates", lambda self, *a: (opened.append(plain(self, *a)), opened[-1])[1])
     each = runs.deliver_batch(sink, fan=4)
     spark.conf.set("spark.sql.shuffle.partitions", "1")
     try:
-        for k in range(40):
+        for k in range(20):
             each(rows(spark, 20 * k, 20 * k + 20), k)
         table = V.Versions(spark, sink, ["source_id", "external_ref"])
-        assert table.read().count() == 800 and len(table.files()) <= 9
+        assert table.read().count() == 400 and len(table.files()) <= 8
         assert max(map(len, opened)) <= 2 and len(opened[-1]) <= 2
-        each(rows(spark, 790, 810), 40)  # ten of its keys are known
-        assert table.read().count() == 810 and table.read().distinct().count() == 810 and 1 <= len(opened[-1]) <= 4
-        each(rows(spark, 790, 810), 40)  # the same batch again
-        assert table.read().count() == 810
+        each(rows(spark, 390, 410), 20)  # ten of its keys are known
+        assert table.read().count() == 410 and table.read().distinct().count() == 410 and 1 <= len(opened[-1]) <= 4
+        each(rows(spark, 390, 410), 20)  # the same batch again
+        assert table.read().count() == 410
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
