@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from changeledger.operators import keyset
 from changeledger.operators import ledger as L
+from changeledger.operators.scratch import place as place_of
 from changeledger.operators.scratch import scratch_path
 from changeledger.operators.versions import read_versions
 from changeledger.plans.base import SQL, query
@@ -46,12 +47,28 @@ def images(decoded):
     return rows.select("seq", "operation", F.col("table").alias("tbl"), *cells, unchanged.alias("unchanged"))
 
 
-def in_order(rows, path: str, parts: int, key: str) -> None:
-    """Lands rows as files by ranges of key, one after another, as a log grows."""
-    ends = rows.agg(F.min(key), F.max(key)).first()
-    place = F.floor((F.col(key) - ends[0]) * parts / (ends[1] - ends[0] + 1))
-    for k in range(parts):
-        rows.where(place == k).coalesce(1).write.mode("append").parquet(path)
+#: Rows of a landed file of a log; the most that a micro-batch of one file gives to one task.
+ROWS_A_FILE = 1_000_000
+
+
+def land(rows, path: str, place, parts: int) -> None:
+    """Lands rows as one file for each number from 0 to parts - 1 that `place` gives, in one pass; later numbers have later times."""
+    rows.withColumn("__place", place.cast("int")).repartitionById(parts, F.col("__place")).drop("__place").write.parquet(path)
+    fs, folder = place_of(rows.sparkSession, path)
+    files = [s for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")]
+    first = max((s.getModificationTime() for s in files), default=0) // 1000 * 1000
+    for s in files:
+        fs.setTimes(s.getPath(), first + 10 * int(s.getPath().getName().split("-")[1]), -1)
+
+
+def in_order(rows, path: str, parts: int, key: str, most: int | None = ROWS_A_FILE) -> None:
+    """Lands rows as files by ranges of key, one after another, as a log grows: `parts` files, more where they would hold
+    more than `most` rows."""
+    low, high, n = rows.agg(F.min(key), F.max(key), F.count("*")).first()
+    if not n:
+        return rows.write.parquet(path)
+    parts = max(parts, -(-n // most) if most else 0)
+    land(rows, path, F.floor((F.col(key) - low) * parts / (high - low + 1)), parts)
 
 
 def landed(t, sql: str) -> tuple[str, str]:

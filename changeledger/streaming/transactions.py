@@ -1,15 +1,17 @@
 """Transactions and relation messages that span micro-batches (WIN-1, WIN-2, JN-10, SRC-9 on streams).
 
 A feed is landed in the order of its log: rows of a later micro-batch have greater `seq`. Inside a batch rows come in any
-order. What is open at a batch's end waits in the state store.
+order, and those of one key are held by one task, so a feed lands in files of bounded size. What is open at a batch's end
+waits in the state store.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -18,10 +20,10 @@ from changeledger.shipping import ship
 from changeledger.sources.binary import decode_binary_feed
 from changeledger.streaming.health import with_timers
 
-ROW = "seq long, lsn string, body string"
+WAITING = pa.schema([("own", pa.string()), ("seq", pa.int64()), ("lsn", pa.string()), ("body", pa.string())])
 MADE = "source_id string, xid string, seq long, lsn string, event_index long, total long, commit_lsn string, advance boolean, body string"
-#: Rows of a transaction given at a time.
-PART = 10_000
+#: Rows in an entry of the state, and rows given at a time.
+PART, OUT = 10_000, 100_000
 #: JSON of packed columns keeps microseconds.
 EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
 
@@ -31,57 +33,119 @@ def ordered(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(list(rows)).sort_values("seq", kind="stable")
 
 
+def filled(values: np.ndarray) -> np.ndarray:
+    """Texts with missing and empty ones as None."""
+    return np.array([None if v is None or v != v or v == "" else v for v in values], dtype=object)
+
+
+def groups(batch: pd.DataFrame, given: str | None) -> tuple[pd.DataFrame, str | None]:
+    """A source's ordered rows with `own`, their transaction, and `turn`, how many commits of it came before; and the open begin.
+
+    A row or commit without xid takes that of the begin before it, unless a commit has come since.
+    """
+    xid, kind = filled(batch["xid"].to_numpy(object)), batch["kind"].to_numpy(object)
+    begin, commit = kind == "begin", kind == "commit"
+    marks = np.maximum.accumulate(np.where(begin | commit, np.arange(1, len(kind) + 1), 0))
+    after = np.concatenate(([given], np.where(begin, xid, None)))  # what a mark leaves open, by its place plus one
+    open_before = after[np.concatenate(([0], marks[:-1]))]
+    own = np.where(pd.isna(xid), open_before, xid)
+    out = batch.assign(own=np.where(pd.isna(own), "", own), commit=commit)[~begin]
+    out["turn"] = out.groupby("own", sort=False)["commit"].cumsum() - out["commit"]
+    return out, after[marks[-1]]
+
+
+def packed(rows: pd.DataFrame) -> bytes:
+    table = pa.Table.from_pandas(rows[["own", "seq", "lsn", "body"]], WAITING, preserve_index=False)
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, WAITING) as writer:
+        writer.write_table(table)
+    return out.getvalue().to_pybytes()
+
+
+def unpacked(blob: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(blob).read_all().to_pandas()
+
+
+def hashes(names: pd.Series) -> np.ndarray:
+    return pd.util.hash_array(np.asarray(names, dtype=object))
+
+
 class Transactions(StatefulProcessor):
-    """Holds a source's open transactions and gives a transaction's rows when its commit comes."""
+    """Holds a source's open transactions and gives a transaction's rows when its commit comes.
+
+    What begins and ends in one micro-batch never enters the state. Rows of open transactions wait together in entries of
+    PART rows, and `current` lists hash and entry of each of them, so a batch asks for the entries that it needs alone.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.current = handle.getValueState("current", "xid string")
-        self.count = handle.getMapState("count", "xid string", "n long")
-        self.rows = handle.getMapState("rows", "xid string, n long", ROW)
-
-    def committed(self, key: tuple, xid: str, lsn: str) -> Iterator[pd.DataFrame]:
-        total = self.count.getValue((xid,))[0] if self.count.containsKey((xid,)) else 0
-        names = [c.split()[0] for c in MADE.split(", ")]
-        for part in itertools.batched(range(1, total + 1), PART):
-            held = [(n, *self.rows.getValue((xid, n))) for n in part]
-            yield pd.DataFrame([(key[0], xid, seq, at, n, total, lsn, bool(lsn) and n == total, body) for n, seq, at, body in held], columns=names)
-            for n in part:
-                self.rows.removeKey((xid, n))
-        if total:
-            self.count.removeKey((xid,))
+        self.current = handle.getValueState("current", "xid string, next long, h binary, part binary")
+        self.rows = handle.getMapState("rows", "part long", "packed binary")
+
+    def load(self, part: int) -> pd.DataFrame:
+        return unpacked(bytes(self.rows.getValue((part,))[0]))
+
+    def release(self, source: str, ends: pd.Series, new: pd.Series, parts: np.ndarray, counts: pd.Series) -> Iterator[pd.DataFrame]:
+        """Waiting rows of transactions whose commits (`ends`: lsn by name) have come; what else waits beside them stays."""
+        totals, first = counts.add(new.reindex(counts.index, fill_value=0)), pd.Series(0, counts.index)
+        for part in parts:
+            rows = self.load(int(part))
+            mine = rows["own"].isin(counts.index)
+            out = rows[mine]
+            place = out.groupby("own", sort=False).cumcount() + 1 + out["own"].map(first)
+            yield made(out.assign(source_id=source, xid=out["own"], event_index=place, total=out["own"].map(totals), commit_lsn=out["own"].map(ends)))
+            first = first.add(out.groupby("own").size(), fill_value=0).astype("int64")
+            self.store(int(part), rows[~mine])
+
+    def store(self, part: int, rows: pd.DataFrame) -> None:
+        if len(rows):
+            self.rows.updateValue((part,), (packed(rows),))
+            h = np.unique(hashes(rows["own"]))
+            self.index.append((h, np.full(len(h), part)))
+        else:
+            self.rows.removeKey((part,))
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802
-        given = self.current.get()[0] if self.current.exists() else None
-        counts: dict[str, int] = {}
-
-        def store() -> None:
-            for x, n in counts.items():
-                self.count.updateValue((x,), (n,))
-            counts.clear()
-
-        batch = ordered(rows)
-        for kind, xid, seq, lsn, body in zip(*(batch[c] for c in ("kind", "xid", "seq", "lsn", "body"))):
-            xid = None if pd.isna(xid) else xid
-            if kind == "begin":
-                given = xid
-            elif kind == "commit":
-                store()
-                yield from self.committed(key, xid or given or "", lsn or "")
-                given = None
-            else:
-                own = xid or given or ""
-                if own not in counts:
-                    counts[own] = self.count.getValue((own,))[0] if self.count.containsKey((own,)) else 0
-                counts[own] += 1
-                self.rows.updateValue((own, counts[own]), (int(seq), lsn, body))
-        store()
-        self.current.update((given,))
+        given, following, h, part = self.current.get() if self.current.exists() else (None, 0, b"", b"")
+        h, part = np.frombuffer(bytes(h), np.uint64), np.frombuffer(bytes(part), np.int64)
+        batch, given = groups(ordered(rows), given)
+        data, ends = batch[~batch["commit"]], batch[batch["commit"]]
+        ends = ends.set_index(["own", "turn"])["lsn"].fillna("")
+        turns = pd.MultiIndex.from_frame(data[["own", "turn"]])
+        closed = np.asarray(turns.isin(ends.index))
+        done, left = data[closed], data[~closed]
+        done = done.assign(source_id=key[0], xid=done["own"], commit_lsn=ends.reindex(turns[closed]).to_numpy(object))
+        by = done.groupby(["own", "turn"], sort=False)["seq"]
+        done = done.assign(event_index=by.cumcount() + 1, total=by.transform("size"))
+        first = ends[ends.index.get_level_values(1) == 0].droplevel(1)  # earlier rows belong to a name's first commit
+        parts = np.unique(part[np.isin(h, hashes(first.index))])
+        counts = pd.Series(0, first.index[:0])
+        for p in parts:  # counted before they are given, entry by entry, as one transaction may fill many
+            own = self.load(int(p))["own"]
+            counts = counts.add(own[own.isin(first.index)].value_counts(), fill_value=0).astype("int64")
+        self.index = [(h[~np.isin(part, parts)], part[~np.isin(part, parts)])]
+        if len(parts):
+            early = done["turn"] == 0
+            before = done["own"].map(counts).fillna(0).astype("int64").where(early, 0)
+            done = done.assign(event_index=done["event_index"] + before, total=done["total"] + before)
+            yield from self.release(key[0], first, done[early].groupby("own").size(), parts, counts)
+        for at in range(0, len(done), OUT):
+            yield made(done.iloc[at : at + OUT])
+        for at in range(0, len(left), PART):
+            self.store(following, left.iloc[at : at + PART])
+            following += 1
+        h, part = (np.concatenate([x[k] for x in self.index]) for k in (0, 1))
+        self.current.update((given, following, h.astype(np.uint64).tobytes(), part.astype(np.int64).tobytes()))
 
     def close(self) -> None:
         pass
 
 
+def made(rows: pd.DataFrame) -> pd.DataFrame:
+    """Rows of a committed transaction in the columns of MADE."""
+    rows = rows.assign(advance=(rows["commit_lsn"] != "") & (rows["event_index"] == rows["total"]))
+    return rows[[c.split()[0] for c in MADE.split(", ")]].astype({"seq": "int64", "event_index": "int64", "total": "int64"})
+
+
 def stream_transactions(feed: DataFrame) -> DataFrame:
     """Data rows of a feed (source_id, seq, kind, xid, lsn, any others) with event_index, total, commit_lsn and advance.
 

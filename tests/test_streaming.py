@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from changeledger.operators.versions import read_versions
 from changeledger.sources import feeds
-from changeledger.streaming import health, runs
+from changeledger.streaming import health, runs, transactions
 
 SCHEMA = "source_id string, external_ref string, n long"
 
@@ -106,3 +106,41 @@ def test_health_forgets_silent_sources():
     assert [r[3] for r in rows] == [2, 4, 7] and rows[-1][7] == ["e2", "e3"] and machine.ends() == [(33, "fallback")]
     again = health.Machine(rules, machine.kept())
     assert [r[:2] for r in again.until(60)] == [(33, "fallback over"), (48, "probation over")] and again.ends() == []
+
+
+def test_transactions_wait_together(spark, tmp_path):
+    """Interleaved, reused and never committed transactions over three files; entries of the state are shared and few."""
+    log = [
+        [("begin", "a"), ("row", None), ("row", "b"), ("row", "c"), ("row", None)], [("row", None), ("row", "b"), ("commit", None), ("row", "a"), ("commit", "a"), ("row", "a"), ("row", "")],
+        [("commit", "b"), ("row", "b"), ("commit", "b"), ("row", "c"), ("commit", "a"), ("commit", "z")],
+    ]
+    seq = iter(range(100))
+    for part in log:
+        rows = [("s", next(seq), kind, xid, "0/9" if kind == "commit" else "0/1", f"v{kind}") for kind, xid in part]
+        spark.createDataFrame(rows[::-1], "source_id string, seq long, kind string, xid string, lsn string, note string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    schema = spark.read.parquet(f"{tmp_path}/in").schema
+    got = collect(transactions.stream_transactions(runs.stream_feed(spark, f"{tmp_path}/in", schema, files=1)), tmp_path, "append")
+    found = sorted((r.seq, r.xid, r.event_index, r.total, r.advance, r.note) for r in got)
+    a, b = [(1, "a", 1, 3), (4, "a", 2, 3), (5, "a", 3, 3)], [(2, "b", 1, 2), (6, "b", 2, 2)]
+    whole = sorted([*a, *b, (8, "a", 1, 1), (10, "a", 1, 1), (13, "b", 1, 1)])
+    assert found == [(*r, r[2] == r[3], "vrow") for r in whole]
+
+
+def test_closed_transactions_never_enter_the_state():
+    """A batch of whole transactions costs two calls of the state, however many there are."""
+    calls = []
+
+    class Known:
+        def exists(self):
+            return False
+
+        def __getattr__(self, name):
+            return lambda *a: calls.append(name)
+
+    import pandas as pd
+
+    n = 3000
+    rows = pd.DataFrame({"kind": ["begin", "row", "commit"] * n, "xid": [x for k in range(n) for x in (str(k), None, None)], "seq": range(3 * n), "lsn": "0/1", "body": "{}"})
+    held = transactions.Transactions()
+    held.current = held.rows = Known()
+    assert sum(map(len, held.handleInputRows(("s",), iter([rows]), None))) == n and calls == ["update"]
