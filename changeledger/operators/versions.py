@@ -28,6 +28,8 @@ from changeledger.shipping import ship
 
 #: Bytes of a file, commits of a level that are merged, ranges of hashes, bits and probes for each key of a filter.
 TARGET, FAN, BUCKETS, BITS, PROBES = 128 << 20, 8, 64, 12, 7
+#: Rows of a file at most, by the counts that writers give: one task writes a file, and sorts it if there are others.
+ROWS = 1_000_000
 INDEX = "path string, bucket int, bits binary"
 
 
@@ -122,15 +124,17 @@ class Versions:
             raise FileNotFoundError(f"no version of {self.root}")
         return self.load(self.files(manifest), manifest["schema"])
 
-    def stage(self, rows: DataFrame, tag: str, level: int = 0, size: int = 0) -> list[dict]:
-        """Writes rows as files of about TARGET bytes, given their expected size, and indexes them; entries for a manifest."""
-        name, n = uuid.uuid4().hex, max(1, -(-size // TARGET))
+    def stage(self, rows: DataFrame, tag: str, level: int = 0, size: int = 0, count: int = 0) -> list[dict]:
+        """Writes rows as files of about TARGET bytes and ROWS rows, given their expected size and the most that they can
+        count, and indexes them; entries for a manifest."""
+        name, n = uuid.uuid4().hex, max(1, -(-size // TARGET), -(-count // ROWS))
         keyed = rows.withColumn("__h", F.xxhash64(*self.key)) if self.key else rows
-        spread = keyed.repartitionByRange(n, "__h").sortWithinPartitions("__h").drop("__h") if self.key and n > 1 else rows.coalesce(n) if n == 1 else rows.repartition(n)
+        # An exchange even to one file: the tasks that make the rows stay many, and none holds the memory of all of them.
+        spread = keyed.repartitionByRange(n, "__h").sortWithinPartitions("__h").drop("__h") if self.key and n > 1 else rows.repartition(n)
         spread.write.format(self.form).save(f"{self.root}/data/{name}")
         fs, path = self._fs(f"{self.root}/data/{name}")
         found = [(s.getPath().getName(), s.getLen()) for s in fs.listStatus(path) if s.getPath().getName().startswith("part-")]
-        entries = [{"path": f"data/{name}/{p}", "bytes": b, "tag": tag, "level": level, "index": name} for p, b in found]
+        entries = [{"path": f"data/{name}/{p}", "bytes": b, "tag": tag, "level": level, "index": name, "rows": -(-count // len(found))} for p, b in found]
         if self.key and entries:
             self._index([e["path"] for e in entries], rows.schema, name)
         return entries
@@ -145,7 +149,7 @@ class Versions:
         def filters(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             return pd.DataFrame({"path": [key[0]], "bucket": [key[1]], "bits": [bloom(rows["h"].to_numpy())]})
 
-        hashes.groupBy("path", "bucket").applyInPandas(filters, INDEX).coalesce(1).write.parquet(f"{self.root}/index/{name}")
+        hashes.groupBy("path", "bucket").applyInPandas(filters, INDEX).repartition(1).write.parquet(f"{self.root}/index/{name}")
 
     def candidates(self, keys: DataFrame, manifest: dict | None = None, without: str | None = None) -> list[str]:
         """Files, but for those of the tag `without`, that may hold a row with one of the keys; no file that holds one is missing."""
@@ -166,12 +170,12 @@ class Versions:
         live = {f["path"] for f in entries}
         return [p for (p,) in found.collect() if p in live]  # one for each file of the table at most
 
-    def commit(self, rows: DataFrame, tag: str, replace: Sequence[str] = (), level: int = 0, size: int = 0) -> int:
+    def commit(self, rows: DataFrame, tag: str, replace: Sequence[str] = (), level: int = 0, size: int = 0, count: int = 0) -> int:
         """Adds rows under a tag, in place of that tag's files and of the files named in `replace`; returns the version.
 
         A conflict stages nothing again: the new files go into the next version, unless files to replace are gone.
         """
-        entries = self.stage(rows, tag, level, size)
+        entries = self.stage(rows, tag, level, size, count)
         while True:
             now = self.manifest()
             if not set(replace) <= set(self.files(now)):
@@ -196,7 +200,7 @@ class Versions:
                 return done
             old = [f for fs in tags[full[0]].values() for f in fs]
             rows = self.load([f["path"] for f in old], now["schema"])
-            self.commit(rows, f"merge-{uuid.uuid4().hex}", [f["path"] for f in old], full[0] + 1, sum(f["bytes"] for f in old))
+            self.commit(rows, f"merge-{uuid.uuid4().hex}", [f["path"] for f in old], full[0] + 1, sum(f["bytes"] for f in old), sum(f["rows"] for f in old))
             done += 1
 
     def rewrite(self, keep: Column, tag: str) -> int:
@@ -208,8 +212,8 @@ class Versions:
         lost = [p for (p,) in rows.where(~F.coalesce(keep, F.lit(False))).select(at).distinct().collect()]  # one for each file
         if not lost:
             return now["version"]
-        size = sum(f["bytes"] for f in now["files"] if f["path"] in set(lost))
-        return self.commit(self.load(lost, now["schema"]).where(keep), tag, lost, 0, size)
+        old = [f for f in now["files"] if f["path"] in set(lost)]
+        return self.commit(self.load(lost, now["schema"]).where(keep), tag, lost, 0, sum(f["bytes"] for f in old), sum(f["rows"] for f in old))
 
     def vacuum(self, versions: int = 2) -> int:
         """Deletes manifests before the last `versions` and folders that no manifest left names; how many folders went.

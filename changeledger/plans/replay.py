@@ -181,7 +181,7 @@ EVENT_FILES = f"""with m as (select min(event_id) as lo, max(event_id) as hi fro
 def event_files(t) -> tuple[str, object]:
     """The events as four files by ranges of ids, landed one after another."""
     rows, path = t.events.select("event_id", "user_id", "event_type"), scratch_path(t.spark)
-    in_order(rows, f"{path}/feed", 4, "event_id")
+    in_order(rows, f"{path}/feed", 4, "event_id", None)  # a file is a batch, and batches are four
     return path, rows.schema
 
 

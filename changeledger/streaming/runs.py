@@ -41,7 +41,7 @@ def deliver_batch(sink: str, key: Sequence[str] = ("source_id", "external_ref"),
             paths = table.candidates(fresh, now, tag)
             rows = fresh.join(table.load(paths, now["schema"]).select(*key), list(key), "left_anti") if paths else fresh
             if not rows.isEmpty() or any(f["tag"] == tag for f in now["files"]):
-                table.commit(rows, tag)
+                table.commit(rows, tag, count=fresh.count())
                 table.compact(fan)
         finally:
             fresh.unpersist()

@@ -97,3 +97,15 @@ def test_purge_publishes_a_version(spark, tmp_path):
     assert sorted(r.event_id for r in table.read().collect()) == list(range(15, 30))
     assert before[2] in table.files() and table.read(3).count() == 30  # an untouched file stays; the old version is readable
     assert feeds.publish_purge(table, token) == 4 and feeds.publish_purge(table, "no token") == 4
+
+
+def test_batches_are_cut_by_rows(spark, tmp_path, monkeypatch):
+    """A delivered batch is written by tasks of a bounded number of rows, and merges keep to it."""
+    monkeypatch.setattr(V, "ROWS", 100)
+    each = runs.deliver_batch(f"{tmp_path}/t", ["external_ref"], fan=2)
+    each(rows(spark, 0, 1000), 0)
+    table = V.Versions(spark, f"{tmp_path}/t", ["external_ref"])
+    assert len(table.files()) == 10 and table.read().count() == 1000
+    each(rows(spark, 500, 1500), 1)
+    assert {f["level"] for f in table.manifest()["files"]} == {1} and len(table.files()) >= 15
+    assert sorted(r.n for r in table.read().collect()) == list(range(1500))
