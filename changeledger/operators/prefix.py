@@ -18,14 +18,14 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantT
 
 from changeledger.operators.scratch import Scratch
 
-#: Measured bytes of stored rows for each partition, and the most partitions.
-PER_TASK, MOST = 64 << 20, 100_000
+#: Measured bytes and counted rows for each partition, whatever number of shuffle partitions the session has; the most partitions.
+PER_TASK, ROWS, MOST = 64 << 20, 1_000_000, 100_000
 #: Places number rows within partitions in their low bits.
 LOW = 33
 
 
-def partitions(size: int) -> int:
-    return max(1, min(MOST, -(-size // PER_TASK)))
+def partitions(size: int, rows: int = 0) -> int:
+    return max(1, min(MOST, max(-(-size // PER_TASK), -(-rows // ROWS))))
 
 
 def _hashable(kind: DataType) -> bool:
@@ -52,14 +52,20 @@ class Placed:
         self.rows = scratch.save(df.withColumns(made), "rows")
         narrow = self.rows.select(*order, "__tie", "__row", *values)
         whole = [*order, "__tie", "__row"]
-        spread = narrow.repartitionByRange(partitions(scratch.bytes(self.rows)), *whole).sortWithinPartitions(*whole)
+        self.parts = partitions(scratch.bytes(self.rows), self.rows.count())
+        spread = narrow.repartitionByRange(self.parts, *whole).sortWithinPartitions(*whole)
         place = F.monotonically_increasing_id()
         kept = spread.select(*within, *values, "__row", place.alias("__place"))
         self.order = scratch.save(kept, "order").withColumn("__b", F.shiftright("__place", LOW))
 
+    def by(self, *within: str) -> DataFrame:
+        """The order with the rows of a partition and group together."""
+        return self.order.repartition(self.parts, "__b", *within)
+
     def result(self, found: DataFrame, value: str, name: str) -> DataFrame:
         """df's columns and the value found for each row as `name`."""
-        return self.rows.join(found.select("__row", F.col(value).alias("__found")), "__row").select(*[f"`{c}`" for c in self.columns if c != name], F.col("__found").alias(name))
+        values = found.select("__row", F.col(value).alias("__found")).repartition(self.parts, "__row")
+        return self.rows.repartition(self.parts, "__row").join(values, "__row").select(*[f"`{c}`" for c in self.columns if c != name], F.col("__found").alias(name))
 
 
 def _with(rows: DataFrame, ends: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -77,7 +83,7 @@ def _before(*groups: str):
 def sequence(df: DataFrame, keys: Sequence[str], name: str = "seq", within: Sequence[str] = ()) -> DataFrame:
     """df with `name` = 1, 2, ... in the order of keys, apart for each combination of `within`."""
     placed = Placed(df, keys, within)
-    rows = placed.order
+    rows = placed.by(*within) if within else placed.order
     if within:
         number = F.row_number().over(Window.partitionBy("__b", *within).orderBy("__place"))
     else:
@@ -92,7 +98,7 @@ def sequence(df: DataFrame, keys: Sequence[str], name: str = "seq", within: Sequ
 def running_last(df: DataFrame, keys: Sequence[str], group: str, groups: Sequence[str], value: Column) -> DataFrame:
     """df with __state: for each of `groups` (in that order) the last value of its rows so far, null before the first."""
     placed = Placed(df, keys, __g=F.col(group), __v=value)
-    rows = placed.order
+    rows = placed.by()
     local = Window.partitionBy("__b").orderBy("__place")
     own = lambda g: F.when(F.col("__g") == g, F.col("__v"))
     lasts = F.array(*[F.last(own(g), ignorenulls=True).over(local) for g in groups])
@@ -110,7 +116,7 @@ def running_within(df: DataFrame, keys: Sequence[str], within: Sequence[str], va
     A hot group is spread over partitions like any other rows; only its last value per partition is carried on.
     """
     placed = Placed(df, keys, within, __v=value)
-    rows = placed.order
+    rows = placed.by(*within)
     local = F.last("__v", ignorenulls=True).over(Window.partitionBy("__b", *within).orderBy("__place"))
     ends = rows.groupBy("__b", *within).agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), F.col("__place"))).alias("__end"))
     carried = ends.withColumn("__carried", F.last("__end", ignorenulls=True).over(_before(*within)))
@@ -125,7 +131,7 @@ def since_last(df: DataFrame, keys: Sequence[str], within: Sequence[str], mark:
     """
     placed = Placed(df, keys, within, __m=mark)
     local = Window.partitionBy("__b", *within).orderBy("__place")
-    counted = placed.order.withColumn("__rn", F.row_number().over(local))
+    counted = placed.by(*within).withColumn("__rn", F.row_number().over(local))
     counted = counted.withColumn("__good", F.max(F.when(F.col("__m"), F.col("__rn"))).over(local))
     ends = counted.groupBy("__b", *within).agg(F.count("*").alias("__n"), F.max("__good").alias("__end"))
     ends = ends.withColumn("__off", F.coalesce(F.sum("__n").over(_before(*within)), F.lit(0)))

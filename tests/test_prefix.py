@@ -78,3 +78,15 @@ def test_closing_deletes_what_the_body_stored(spark):
         roots = [s.root for s in Scratch.live[-1:]]
     fs = spark._jvm.org.apache.hadoop.fs.Path(roots[0]).getFileSystem(spark._jsc.hadoopConfiguration())
     assert not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(roots[0]))
+
+
+def test_tasks_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    """Windows and joins run in partitions by the counted rows, whatever number of shuffle partitions the session has."""
+    monkeypatch.setattr(prefix, "ROWS", 50)
+    rows = spark.range(1000).selectExpr("id as at", "id % 3 as source", "id % 10 = 0 as ok")
+    out = prefix.since_last(rows, ["at"], ["source"], F.col("ok"), "run")
+    assert out.rdd.getNumPartitions() == 20
+    last, got = {}, {(r.source, r.at): r.run for r in out.collect()}
+    for k in range(1000):
+        last[k % 3] = 0 if k % 10 == 0 else last.get(k % 3, 0) + 1
+        assert got[(k % 3, k)] == last[k % 3]
