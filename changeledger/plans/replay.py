@@ -51,12 +51,12 @@ def images(decoded):
 ROWS_A_FILE = 1_000_000
 
 
-def land(rows, path: str, place, parts: int) -> None:
+def land(rows, path: str, place, parts: int, *left_out: str) -> None:
     """Lands rows as one file for each number from 0 to parts - 1 that `place` gives, in one pass; later numbers have later times."""
-    rows.withColumn("__place", place.cast("int")).repartitionById(parts, F.col("__place")).drop("__place").write.parquet(path)
+    rows.withColumn("__place", place.cast("int")).repartitionById(parts, F.col("__place")).drop("__place", *left_out).write.parquet(path)
     fs, folder = place_of(rows.sparkSession, path)
     files = [s for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")]
-    first = max((s.getModificationTime() for s in files), default=0) // 1000 * 1000
+    first = max((s.getModificationTime() for s in files), default=0) - 10 * parts
     for s in files:
         fs.setTimes(s.getPath(), first + 10 * int(s.getPath().getName().split("-")[1]), -1)
 
@@ -71,27 +71,28 @@ def in_order(rows, path: str, parts: int, key: str, most: int | None = ROWS_A_FI
     land(rows, path, F.floor((F.col(key) - low) * parts / (high - low + 1)), parts)
 
 
-def landed(t, sql: str) -> tuple[str, str]:
-    """(folder, schema) of a feed landed as files for a stream."""
+def landed(t, sql: str) -> tuple[str, str, int]:
+    """(folder, schema, files of a quarter) of a feed landed as files for a stream."""
     rows, path = t.sql(sql), scratch_path(t.spark)
-    rows.repartition(4).write.mode("overwrite").parquet(f"{path}/feed")
-    return path, rows.schema
+    quarter = max(1, -(-rows.count() // (4 * ROWS_A_FILE)))
+    rows.repartition(4 * quarter).write.mode("overwrite").parquet(f"{path}/feed")
+    return path, rows.schema, quarter
 
 
 @query("stream_deliveries", "select 's' || (o_custkey % 20) as source_id, 'ref' || (o_orderkey // 2) as external_ref, min(o_orderkey // 2) as k from orders group by 1, 2")
 def stream_deliveries(t):
     """A feed with repeats, delivered in several batches; the checkpoint is reset and a second stream runs as well."""
-    path, schema = landed(t, "select concat('s', o_custkey % 20) as source_id, concat('ref', cast(floor(o_orderkey / 2) as bigint)) as external_ref, cast(floor(o_orderkey / 2) as bigint) as k from {orders}")
+    path, schema, quarter = landed(t, "select concat('s', o_custkey % 20) as source_id, concat('ref', cast(floor(o_orderkey / 2) as bigint)) as external_ref, cast(floor(o_orderkey / 2) as bigint) as k from {orders}")
     for stream, mark in (("a", "one"), ("a", "two"), ("b", "three")):
-        feed = runs.stream_feed(t.spark, f"{path}/feed", schema, files=3)
+        feed = runs.stream_feed(t.spark, f"{path}/feed", schema, files=3 * quarter)
         runs.run_once(feed, runs.deliver_batch(f"{path}/ledger", stream=stream), f"{path}/{mark}")
     return read_versions(t.spark, f"{path}/ledger").select("source_id", "external_ref", "k")
 
 
 @query("stream_delivery_status", f"select request_id, status, updated_at from {LATEST}")
 def stream_delivery_status(t):
-    path, schema = landed(t, DELIVERIES)
-    latest = runs.delivery_status(runs.stream_feed(t.spark, f"{path}/feed", schema, files=2))
+    path, schema, quarter = landed(t, DELIVERIES)
+    latest = runs.delivery_status(runs.stream_feed(t.spark, f"{path}/feed", schema, files=2 * quarter))
     keep = lambda rows, batch: rows.write.mode("append").parquet(f"{path}/updates")
     runs.run_once(latest, keep, f"{path}/mark", "update")
     return L.upsert_latest(t.spark.read.parquet(f"{path}/updates"), ["request_id"], ["updated_at"])
@@ -119,10 +120,10 @@ def stream_health(t):
     """Attempts land out of order in files that the stream reads one by one; a last row of another source moves the
     watermark past them all, so that silent sources leave fallback and probation."""
     rows, path = t.sql(ATTEMPTS), scratch_path(t.spark)
-    most = rows.agg(F.max("event_id")).first()[0]
-    place = F.floor((F.col("event_id") + F.xxhash64("event_id") % 10) * 4 / (most + 1))
-    for k in range(-1, 5):
-        rows.where(place == k).drop("event_id").coalesce(1).write.mode("append").parquet(f"{path}/feed")
+    most, n = rows.agg(F.max("event_id"), F.count("*")).first()
+    parts = max(4, -(-n // ROWS_A_FILE))
+    place = F.floor((F.col("event_id") + F.xxhash64("event_id") % 10) * parts / (most + 1)) + 1
+    land(rows, f"{path}/feed", place, parts + 2, "event_id")
     end = rows.limit(1).select(F.lit("clock").alias("source_id"), F.timestamp_seconds(F.lit(most + 96_400)).alias("at"), F.lit(True).alias("ok"), F.lit("").alias("error"))
     end.coalesce(1).write.mode("append").parquet(f"{path}/feed")
     feed = runs.stream_feed(t.spark, f"{path}/feed", rows.drop("event_id").schema, files=1)
