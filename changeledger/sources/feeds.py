@@ -14,8 +14,11 @@ from changeledger.operators.versions import Versions
 
 
 def match_specs(feed: DataFrame, specs: DataFrame, on: list[str]) -> DataFrame:
-    """feed rows of tracked tables; Spark broadcasts the spec list if its size allows."""
-    return feed.join(specs, on, "inner")
+    """feed rows of tracked tables.
+
+    specs is a list of tables, which every task can hold; a join that sorts would bring all rows of a hot table to one task.
+    """
+    return feed.join(F.broadcast(specs), on, "inner")
 
 
 def trigger_log(log: DataFrame, specs: DataFrame, after_event_id: int, limit: int = 0) -> DataFrame:

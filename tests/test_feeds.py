@@ -126,3 +126,11 @@ def test_redo_literals_are_parsed_once(spark):
     assert (r.before, r.after, r.row_index) == ({"ID": "7", "A": "0"}, {"ID": "7", "A": "1"}, 1)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert 0 < plan.count("regexp_extract_all(") <= 10
+
+
+def test_rows_of_a_hot_table_are_not_sorted_in_one_task(spark):
+    feed = spark.range(1000).selectExpr("'bin.1' as log_file", "id as log_pos", "'write' as type", "'app' as schema", "if(id % 2 = 0, 'events', 'other') as table", "array(struct(map('id', string(id)) as values, map('id', 'b') as before_values, map('id', 'a') as after_values)) as rows")
+    out = feeds.row_events(feed, spark.createDataFrame([("app", "events")], "schema string, table string"), ("bin.1", 99, 1), 300)
+    assert [r.log_pos for r in out.collect()] == list(range(100, 700, 2))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
