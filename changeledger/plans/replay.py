@@ -61,14 +61,16 @@ def land(rows, path: str, place, parts: int, *left_out: str) -> None:
         fs.setTimes(s.getPath(), first + 10 * int(s.getPath().getName().split("-")[1]), -1)
 
 
-def in_order(rows, path: str, parts: int, key: str, most: int | None = ROWS_A_FILE) -> None:
+def in_order(rows, path: str, parts: int, key: str, most: int | None = ROWS_A_FILE) -> int:
     """Lands rows as files by ranges of key, one after another, as a log grows: `parts` files, more where they would hold
-    more than `most` rows."""
+    more than `most` rows; returns their number."""
     low, high, n = rows.agg(F.min(key), F.max(key), F.count("*")).first()
     if not n:
-        return rows.write.parquet(path)
+        rows.write.parquet(path)
+        return parts
     parts = max(parts, -(-n // most) if most else 0)
     land(rows, path, F.floor((F.col(key) - low) * parts / (high - low + 1)), parts)
+    return parts
 
 
 def landed(t, sql: str) -> tuple[str, str, int]:
@@ -160,9 +162,9 @@ def stream_transactions(t):
 def stream_binary_feed(t):
     """Relation messages of earlier files, one of which is replaced later, decode the tuples of later ones."""
     rows, path = t.sql(MESSAGES), scratch_path(t.spark)
-    in_order(rows, f"{path}/feed", 5, "seq")
-    made = transactions.stream_binary_feed(runs.stream_feed(t.spark, f"{path}/feed", rows.schema, files=1))
-    runs.run_once(made, lambda found, _: found.write.mode("append").parquet(f"{path}/out"), f"{path}/mark")
+    files = -(-in_order(rows, f"{path}/feed", 5, "seq") // 5)
+    feed = runs.stream_feed(t.spark, f"{path}/feed", rows.schema, files=files)
+    runs.run_once(feed, transactions.decode_batch(f"{path}/relations", lambda found, _: found.write.mode("append").parquet(f"{path}/out")), f"{path}/mark")
     return images(t.spark.read.parquet(f"{path}/out"))
 
 

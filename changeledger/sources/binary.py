@@ -10,13 +10,17 @@ import struct
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeledger.functions.decode import pg_value_json
 from changeledger.operators.prefix import running_within
 from changeledger.shipping import ship
 
+#: Relation messages that are broadcast with the range of numbers that each holds for; more of them are carried by ordered passes.
+FEW = 256
+#: Tuples that a task decodes; their decoding costs far more than their move, and a feed's files may be few.
+ROWS_A_TASK = 50_000
 RELATION = "seq long, relid long, schema string, table string, columns array<struct<name:string,oid:long,key:boolean>>"
 
 
@@ -77,6 +81,13 @@ def _tuple(hexed: Column, at: Column) -> Column:
 
 def asof_relation(tuples: DataFrame, rels: DataFrame) -> DataFrame:
     """tuples (seq, relid, ...) with the latest relation (schema, table, columns) of their relid before them."""
+    found = rels.limit(FEW + 1).collect()
+    if len(found) <= FEW:
+        spans = rels.sparkSession.createDataFrame(found, RELATION).withColumn("__from", F.coalesce("seq", F.lit(-(1 << 63)))).drop("seq")
+        spans = spans.withColumn("__to", F.lead("__from").over(Window.partitionBy("relid").orderBy("__from"))).withColumnRenamed("relid", "__relid")
+        holds = (F.col("relid") == F.col("__relid")) & (F.col("seq") > F.col("__from")) & (F.col("__to").isNull() | (F.col("seq") <= F.col("__to")))
+        tasks = max(1, -(-tuples.count() // ROWS_A_TASK))
+        return tuples.repartition(tasks, "seq").join(F.broadcast(spans), holds, "left").drop("__relid", "__from", "__to")
     rel = F.struct("schema", "table", "columns")
     both = tuples.withColumn("__rel", F.lit(None).cast("struct<schema:string,table:string,columns:array<struct<name:string,oid:bigint,key:boolean>>>")).unionByName(rels.select("seq", "relid", rel.alias("__rel")), allowMissingColumns=True)
     # A feed has a few hot tables: their rows are spread over partitions, and the last relation is carried on.

@@ -7,7 +7,7 @@ waits in the state store.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from changeledger.operators.scratch import place
 from changeledger.shipping import ship
-from changeledger.sources.binary import decode_binary_feed
+from changeledger.sources.binary import RELATION, asof_relation, decode_binary_feed, relations
 from changeledger.streaming.health import with_timers
 
 WAITING = pa.schema([("own", pa.string()), ("seq", pa.int64()), ("lsn", pa.string()), ("body", pa.string())])
@@ -165,37 +166,26 @@ def stream_transactions(feed: DataFrame) -> DataFrame:
     return made.withColumn("__o", F.from_json("body", kind, EXACT)).select(*[c for c in made.columns if c != "body"], "__o.*")
 
 
-class Relations(StatefulProcessor):
-    """Keeps the latest relation message of a table and gives every tuple message the one before it."""
+def decode_batch(state: str, each: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function of a stream (seq, lsn, xid, data): each gets decode_binary_feed() of every batch.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.latest = handle.getValueState("latest", "rel string")
-
-    def handleInputRows(self, key, rows, timerValues):  # noqa: N802
-        rel = self.latest.get()[0] if self.latest.exists() else None
-        batch = ordered(rows)
-        new = [None if pd.isna(r) else r for r in batch["rel"]]
-        known = [rel := r or rel for r in new]
-        if known and known[-1] is not None:
-            self.latest.update((known[-1],))
-        out = batch.drop(columns="rel").assign(rel=known)
-        yield out[[r is None for r in new]]
-
-    def close(self) -> None:
-        pass
-
-
-def asof_state(tuples: DataFrame, rels: DataFrame) -> DataFrame:
-    """asof_relation() of a stream: relation messages of earlier batches are versioned state of their table."""
-    ship(tuples.sparkSession)
-    with_timers(tuples.sparkSession)
-    both = tuples.withColumn("rel", F.lit(None).cast("string")).unionByName(rels.select("seq", "relid", F.to_json(F.struct("schema", "table", "columns")).alias("rel")), allowMissingColumns=True)
-    made = both.groupBy("relid").transformWithStateInPandas(Relations(), both.schema, "Append", "None")
-    form = "schema string, table string, columns array<struct<name:string,oid:bigint,key:boolean>>"
-    return made.withColumn("__at", F.from_json("rel", form)).select(*tuples.columns, "__at.*")
-
-
-def stream_binary_feed(feed: DataFrame) -> DataFrame:
-    """decode_binary_feed() of a stream (seq, lsn, xid, data)."""
-    return decode_binary_feed(feed, asof_state)
+    Only relation messages are carried: a batch leaves the latest of every table, of its own or an earlier batch, in a folder
+    of its number under `state`, and starts from that of the batch before, so one that runs again finds the same. Tuples
+    never meet in one task, so a batch may have files of any number.
+    """
 
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        folder = lambda k: f"{state}/{k}"
+        rels = relations(batch)
+        if batch_id:
+            rels = rels.unionByName(spark.read.schema(RELATION).parquet(folder(batch_id - 1)))
+        rest = F.struct("schema", "table", "columns")
+        latest = rels.groupBy("relid").agg(F.max("seq").alias("seq"), F.max_by(rest, F.coalesce("seq", F.lit(-(1 << 63)))).alias("r"))
+        latest.select("seq", "relid", "r.*").coalesce(1).write.mode("overwrite").parquet(folder(batch_id))
+        each(decode_binary_feed(batch, lambda tuples, _: asof_relation(tuples, rels)), batch_id)
+        if batch_id > 1:  # the batch before may have to run again
+            fs, old = place(spark, folder(batch_id - 2))
+            fs.delete(old, True)
+
+    return run

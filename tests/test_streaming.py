@@ -1,4 +1,5 @@
 import datetime as dt
+import struct
 
 from pyspark.sql import functions as F
 
@@ -144,3 +145,25 @@ def test_closed_transactions_never_enter_the_state():
     held = transactions.Transactions()
     held.current = held.rows = Known()
     assert sum(map(len, held.handleInputRows(("s",), iter([rows]), None))) == n and calls == ["update"]
+
+
+def test_relations_of_earlier_batches_decode_tuples(spark, tmp_path):
+    """Three batches of two files; a table's message is replaced in the second, another table never has one; a batch runs again."""
+    text = lambda v: b"t" + struct.pack(">I", len(v)) + v
+    rel = lambda k, name: b"R" + struct.pack(">I", k) + b"app\0" + name + b"\0d" + struct.pack(">h", 1) + b"\1id\0" + struct.pack(">Ii", 20, -1)
+    row = lambda k, v: b"I" + struct.pack(">I", k) + b"N" + struct.pack(">h", 1) + text(v)
+    log = [[(1, rel(1, b"a"))], [(2, row(1, b"10")), (3, row(2, b"11"))], [(4, row(1, b"12")), (5, rel(1, b"b"))], [(6, row(1, b"13"))], [(7, row(1, b"14"))], [(8, b"C")]]
+    for part in log:
+        spark.createDataFrame([(seq, "0/1", "7", bytearray(d)) for seq, d in part], "seq long, lsn string, xid string, data binary").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    schema = spark.read.parquet(f"{tmp_path}/in").schema
+    got, batches = {}, []
+    each = transactions.decode_batch(f"{tmp_path}/state", lambda df, k: got.__setitem__(k, sorted((r.seq, r.kind, r.table, (r.after or {}).get("id")) for r in df.collect())))
+
+    def twice(batch, k):
+        batches.append(batch.count())
+        each(batch, k)
+        each(batch, k)
+
+    runs.run_once(runs.stream_feed(spark, f"{tmp_path}/in", schema, files=2), twice, f"{tmp_path}/mark")
+    assert batches == [3, 3, 2]
+    assert got == {0: [(2, "row", "a", "10"), (3, "row", None, None)], 1: [(4, "row", "a", "12"), (6, "row", "b", "13")], 2: [(7, "row", "b", "14"), (8, "commit", None, None)]}
