@@ -86,18 +86,22 @@ def pieces(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None)
         from pyspark import TaskContext
 
         tokens, rid = encoder(tokenizer), TaskContext.get().partitionId() << 40
+        names = ["rid", "doc_id", "piece", "start", "length", "ids_crc32"]
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        made = lambda out: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part, out = b.slice(at, 256), []
-                for d, ids in zip(part.column(0).to_pylist(), tokens.encode(part.column(1).to_pylist())):
-                    ids = np.append(ids.astype("<u4"), np.uint32(END_ID))
-                    cuts = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)]
-                    for k, (a, z) in enumerate(zip(cuts[:-1], cuts[1:])):
-                        out.append((rid, d, k, a, z - a, zlib.crc32(ids[a:z].data)))
-                        rid += 1
-                cols = zip(*out)
-                types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["rid", "doc_id", "piece", "start", "length", "ids_crc32"])
+            out = []
+            for d, ids in zip(b.column(0).to_pylist(), tokens.each(b.column(1))):
+                ids = np.append(ids.astype("<u4"), np.uint32(END_ID))
+                cuts = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)]
+                for k, (a, z) in enumerate(zip(cuts[:-1], cuts[1:])):
+                    out.append((rid, d, k, a, z - a, zlib.crc32(ids[a:z].data)))
+                    rid += 1
+                if len(out) >= 1024:
+                    yield made(out)
+                    out = []
+            if out:
+                yield made(out)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECES)
 

@@ -178,14 +178,12 @@ def encode(docs: DataFrame, path: str, tokenizer: str | None = None, shard_ids:
         part, tokens = TaskContext.get().partitionId(), encoder(tokenizer)
         base, shard, start, docs, held = max(tokens.tokenizer.get_vocab_size(), END_ID + 1), 0, 0, [], 0
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                piece = b.slice(at, 256)
-                for d, ids in zip(piece.column(0).to_pylist(), tokens.encode(piece.column(1).to_pylist())):
-                    docs.append((d, np.append(ids, tokens.dtype(END_ID))))
-                    held += len(ids) + 1
-                    if held >= shard_ids:
-                        yield pa.RecordBatch.from_pylist([_shard_row(part, shard, start, docs, base)], TYPES)
-                        shard, start, docs, held = shard + 1, start + held, [], 0
+            for d, ids in zip(b.column(0).to_pylist(), tokens.each(b.column(1))):
+                docs.append((d, np.append(ids, tokens.dtype(END_ID))))
+                held += len(ids) + 1
+                if held >= shard_ids:
+                    yield pa.RecordBatch.from_pylist([_shard_row(part, shard, start, docs, base)], TYPES)
+                    shard, start, docs, held = shard + 1, start + held, [], 0
         if docs:
             yield pa.RecordBatch.from_pylist([_shard_row(part, shard, start, docs, base)], TYPES)
 

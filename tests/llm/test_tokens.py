@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -29,6 +30,28 @@ def test_encoder():
     assert [x.tolist() + [2] for x in e.encode(texts)] == [plain(t) for t in texts]
 
 
+def test_words_go_to_the_model_once_a_group():
+    """Repeated words, with marks and line feeds too, cost the library nothing, and groups of any size give its ids."""
+    e, given = Encoder(), []
+    library = e.model
+
+    class Model:
+        token_to_id = library.token_to_id
+
+        def encode_batch_fast(self, joined, **kept):
+            given.extend(w for text in joined for w in text.split(e.gap)[:-1])
+            return library.encode_batch_fast(joined, **kept)
+
+    e.model = Model()
+    texts = [f"Some word, más {k % 7} words.\nSome word; a{k % 3}b más" for k in range(500)] + ODD
+    for size, least, most in ((1 << 20, 1, 1), (1000, 15, 40)):
+        given.clear()
+        e.GROUP_BYTES = size
+        assert [x.tolist() + [2] for x in e.each(pa.array(texts))] == [plain(t) for t in texts]
+        assert least <= max(map(given.count, given)) <= most and least <= given.count("\u0120word")
+        assert {"Some", "\u0120words", "\u0120word", "\u0120mÃ¡s"} < set(given)
+
+
 def test_other_tokenizers_encode_whole_texts(tmp_path):
     """A normalizer, an added token with a space or another pre-tokenizer: no chunks, and the library's ids."""
     described = json.loads(T.to_str())
